@@ -146,3 +146,107 @@ def q_votes_scale(spark: SparkSession, sf: str) -> DataFrame:
 @register("votes_scale_top_rate")
 def q_votes_scale_top_rate(spark: SparkSession, sf: str) -> DataFrame:
     return helpfulness(reviews_scale(spark, sf), complete_only=False).top_rate()
+
+
+# --- G. split and folds -----------------------------------------------------
+
+from reviewlens.operators import metrics as M  # noqa: E402
+from reviewlens.operators import split as S  # noqa: E402
+from reviewlens.operators import text as TX  # noqa: E402
+
+SUMMARY_ROWS = ["review_summary", "rating"]
+DETAIL_ROWS = ["review_detail", "rating"]
+
+
+def labelled(spark: SparkSession, sf: str, needed: list[str]) -> DataFrame:
+    """Reviews with the needed columns present, labelled 0/1."""
+    return label_sentiment(require(reviews_view(spark, sf), needed))
+
+
+@register("hash_split")
+def q_hash_split(spark: SparkSession, sf: str) -> DataFrame:
+    return S.with_split(reviews_view(spark, sf)).select("review_id", "split")
+
+
+@register("hash_folds")
+def q_hash_folds(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = S.hash_split(labelled(spark, sf, SUMMARY_ROWS))
+    return S.with_folds(train, 10).select("review_id", "sentiment", "fold")
+
+
+@register("fold_class_counts")
+def q_fold_class_counts(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = S.hash_split(labelled(spark, sf, SUMMARY_ROWS))
+    return S.class_counts(S.with_folds(train, 10), "sentiment", by="fold")
+
+
+# --- H. tokens, stop words, vocabulary --------------------------------------
+
+
+@register("tokens_summary")
+def q_tokens_summary(spark: SparkSession, sf: str) -> DataFrame:
+    rows = require(reviews_view(spark, sf), SUMMARY_ROWS)
+    return TX.token_table(rows, "review_summary")
+
+
+@register("content_tokens_summary")
+def q_content_tokens_summary(spark: SparkSession, sf: str) -> DataFrame:
+    rows = require(reviews_view(spark, sf), SUMMARY_ROWS)
+    return TX.token_table(rows, "review_summary", stop_words=True)
+
+
+@register("tokens_detail")
+def q_tokens_detail(spark: SparkSession, sf: str) -> DataFrame:
+    rows = require(reviews_view(spark, sf), DETAIL_ROWS)
+    return TX.token_table(rows, "review_detail")
+
+
+@register("content_tokens_detail")
+def q_content_tokens_detail(spark: SparkSession, sf: str) -> DataFrame:
+    rows = require(reviews_view(spark, sf), DETAIL_ROWS)
+    return TX.token_table(rows, "review_detail", stop_words=True)
+
+
+@register("vocabulary_summary")
+def q_vocabulary_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """What Word2Vec learns words for: content tokens of the training side, seen 5+ times."""
+    train, _ = S.hash_split(labelled(spark, sf, SUMMARY_ROWS))
+    return TX.vocabulary(train, "review_summary")
+
+
+@register("vocabulary_detail")
+def q_vocabulary_detail(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = S.hash_split(labelled(spark, sf, DETAIL_ROWS))
+    return TX.vocabulary(train, "review_detail")
+
+
+# --- J. metrics on a fixed arithmetic score ---------------------------------
+
+
+def fixed_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled reviews scored by ``(review_id * 37 % 1000) / 1000``, predicted 1 above 0.5."""
+    s = (F.col("review_id") * 37 % 1000) / 1000.0
+    rows = label_sentiment(require(reviews_view(spark, sf), ["rating"]))
+    return rows.select("review_id", "sentiment", s.alias("score")).withColumn(
+        "prediction", (F.col("score") > 0.5).cast("int")
+    )
+
+
+@register("eval_confusion")
+def q_eval_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    return M.confusion(fixed_scores(spark, sf))
+
+
+@register("eval_accuracy")
+def q_eval_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    return M.accuracy(M.confusion(fixed_scores(spark, sf)))
+
+
+@register("eval_f1")
+def q_eval_f1(spark: SparkSession, sf: str) -> DataFrame:
+    return M.weighted_f1(M.confusion(fixed_scores(spark, sf)))
+
+
+@register("eval_auc")
+def q_eval_auc(spark: SparkSession, sf: str) -> DataFrame:
+    return M.auc(fixed_scores(spark, sf), "sentiment", "score")

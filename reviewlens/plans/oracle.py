@@ -138,3 +138,126 @@ ORACLE["votes_scale_top_rate"] = (
     "with " + _SCALE + "\nselect * from rates where net_helpful_votes is not null "
     "order by helpful_rate desc, reviewer asc limit 20"
 )
+
+
+# --- split and folds ---------------------------------------------------------
+
+
+def _bucket(key: str, salt: str, n: int) -> str:
+    return f"(('0x' || substr(md5(concat(cast({key} as varchar), ':{salt}')), 1, 8))::bigint % {n})"
+
+
+SUMMARY_LABELLED = """
+lab as (
+  select *, case when rating > 5 then 1 else 0 end as sentiment from reviews
+  where review_summary is not null and rating is not null
+)"""
+
+DETAIL_LABELLED = SUMMARY_LABELLED.replace("review_summary is not null", "review_detail is not null")
+
+TRAIN = f"""
+train as (select * from lab where {_bucket('review_id', '123', 100)} < 80)"""
+
+ORACLE["hash_split"] = (
+    _with(REVIEWS)
+    + f"select review_id, case when {_bucket('review_id', '123', 100)} < 80 then 'train' else 'test' end as split "
+    "from reviews"
+)
+ORACLE["hash_folds"] = (
+    _with(REVIEWS, SUMMARY_LABELLED, TRAIN)
+    + f"select review_id, sentiment, cast({_bucket('review_id', '123:fold', 10)} as integer) as fold from train"
+)
+ORACLE["fold_class_counts"] = (
+    _with(REVIEWS, SUMMARY_LABELLED, TRAIN)
+    + f"select cast({_bucket('review_id', '123:fold', 10)} as integer) as fold, sentiment, count(*) as n "
+    "from train group by all"
+)
+
+# --- tokens ------------------------------------------------------------------
+
+_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
+
+
+def _tokens(text: str) -> str:
+    """Lower case, split on every whitespace character, drop trailing empty tokens."""
+    stripped = f"regexp_replace(lower({text}), '\\s+$', '')"
+    return (
+        f"case when {stripped} = '' and {text} <> '' then []::varchar[] "
+        f"else string_split_regex({stripped}, '\\s') end"
+    )
+
+
+def _content(toks: str) -> str:
+    return f"list_filter({toks}, lambda w: not list_contains({_STOP}, w))"
+
+
+def _token_rows(where: str, text: str, content: bool) -> str:
+    toks = _tokens(text)
+    if content:
+        toks = _content(toks)
+    return (
+        _with(REVIEWS)
+        + f", t as (select review_id, {toks} as toks from reviews where {where})\n"
+        + "select review_id, cast(generate_subscripts(toks, 1) - 1 as integer) as pos, unnest(toks) as token from t"
+    )
+
+
+_S_WHERE = "review_summary is not null and rating is not null"
+_D_WHERE = "review_detail is not null and rating is not null"
+ORACLE["tokens_summary"] = _token_rows(_S_WHERE, "review_summary", False)
+ORACLE["content_tokens_summary"] = _token_rows(_S_WHERE, "review_summary", True)
+ORACLE["tokens_detail"] = _token_rows(_D_WHERE, "review_detail", False)
+ORACLE["content_tokens_detail"] = _token_rows(_D_WHERE, "review_detail", True)
+
+
+def _vocab(labelled_cte: str, text: str) -> str:
+    return (
+        _with(REVIEWS, labelled_cte, TRAIN)
+        + f", t as (select unnest({_content(_tokens(text))}) as token from train)\n"
+        + "select token, count(*) as n from t group by token having count(*) >= 5"
+    )
+
+
+ORACLE["vocabulary_summary"] = _vocab(SUMMARY_LABELLED, "review_summary")
+ORACLE["vocabulary_detail"] = _vocab(DETAIL_LABELLED, "review_detail")
+
+# --- metrics on a fixed score -------------------------------------------------
+
+SCORED = """
+scored as (
+  select review_id, case when rating > 5 then 1 else 0 end as y,
+         (review_id * 37 % 1000) / 1000.0::double as s
+  from reviews where rating is not null
+),
+cm as (
+  select y as label, cast(case when s > 0.5 then 1 else 0 end as integer) as prediction, count(*) as n
+  from scored group by all
+)"""
+
+ORACLE["eval_confusion"] = _with(REVIEWS, SCORED) + "select * from cm"
+ORACLE["eval_accuracy"] = (
+    _with(REVIEWS, SCORED)
+    + "select sum(case when label = prediction then n else 0 end) / cast(sum(n) as double) as accuracy from cm"
+)
+ORACLE["eval_f1"] = (
+    _with(REVIEWS, SCORED)
+    + """, sup as (select label as l, sum(n) as sup from cm group by all),
+prd as (select prediction as l, sum(n) as prd from cm group by all),
+tp as (select label as l, n as tp from cm where label = prediction),
+per as (
+  select sup.l, sup.sup, coalesce(prd.prd, 0) as prd, coalesce(tp.tp, 0) as tp
+  from sup left join prd on sup.l = prd.l left join tp on sup.l = tp.l
+)
+select sum(sup * case when tp = 0 then 0.0::double else 2.0::double * tp / (sup + prd) end) / sum(sup) as f1
+from per"""
+)
+ORACLE["eval_auc"] = (
+    _with(REVIEWS, SCORED)
+    + """, by_score as (select s, sum(y) as pos, sum(1 - y) as neg from scored group by s),
+cum as (
+  select pos, neg,
+         coalesce(sum(neg) over (order by s rows between unbounded preceding and 1 preceding), 0) as below
+  from by_score
+)
+select cast(sum(pos * (2 * below + neg)) as double) / cast(2 * sum(pos) * sum(neg) as double) as auc from cum"""
+)
