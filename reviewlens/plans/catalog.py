@@ -250,3 +250,73 @@ def q_eval_f1(spark: SparkSession, sf: str) -> DataFrame:
 @register("eval_auc")
 def q_eval_auc(spark: SparkSession, sf: str) -> DataFrame:
     return M.auc(fixed_scores(spark, sf), "sentiment", "score")
+
+
+# --- H3-H7, I-L. embeddings, tuning, comparison (rows-only checks) ----------
+
+from reviewlens.plans import sentiment as SE  # noqa: E402
+
+# Query-sized grids and fold count; the full default grids live in
+# ``reviewlens.operators.models`` and are what ``run_section`` uses by default.
+QUERY_FOLDS = 3
+QUERY_GRIDS = {
+    "logistic_regression": {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
+    "linear_svc": {"regParam": [0.01, 0.1], "maxIter": [10, 50]},
+    "random_forest": {"numTrees": [10, 100], "maxDepth": [5, 10]},
+    "perceptron": {"blockSize": [128], "maxIter": [100, 200]},
+}
+COMPARE_GRIDS = {
+    "logistic_regression": {"regParam": [0.1], "elasticNetParam": [0.5]},
+    "linear_svc": {"regParam": [0.01], "maxIter": [50]},
+    "random_forest": {"numTrees": [100], "maxDepth": [5]},
+    "perceptron": {"blockSize": [128], "maxIter": [100]},
+}
+QUERY_PARALLELISM = 4
+
+
+def _features(spark: SparkSession, sf: str, feature_set: str) -> "SE.Features":
+    return SE.prepare_features(reviews_view(spark, sf), feature_set, k=QUERY_FOLDS)
+
+
+@register("embed_summary")
+def q_embed_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return SE.embedded_rows(_features(spark, sf, "summary"))
+
+
+@register("embed_detail")
+def q_embed_detail(spark: SparkSession, sf: str) -> DataFrame:
+    return SE.embedded_rows(_features(spark, sf, "detail"))
+
+
+@register("embed_both")
+def q_embed_both(spark: SparkSession, sf: str) -> DataFrame:
+    return SE.embedded_rows(_features(spark, sf, "both"))
+
+
+def _tune_query(model: str) -> Query:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        feats = _features(spark, sf, "summary")
+        res = SE.run_section(feats, [model], {model: QUERY_GRIDS[model]}, QUERY_PARALLELISM)
+        return res.grid_metrics
+
+    q.__name__ = f"q_tune_{model}"
+    return q
+
+
+register("tune_lr")(_tune_query("logistic_regression"))
+register("tune_svc")(_tune_query("linear_svc"))
+register("tune_rf")(_tune_query("random_forest"))
+register("tune_mlp")(_tune_query("perceptron"))
+
+
+@register("compare_models")
+def q_compare_models(spark: SparkSession, sf: str) -> DataFrame:
+    feats = _features(spark, sf, "summary")
+    return SE.run_section(feats, grids=COMPARE_GRIDS, parallelism=QUERY_PARALLELISM).report
+
+
+@register("compare_feature_sets")
+def q_compare_feature_sets(spark: SparkSession, sf: str) -> DataFrame:
+    return SE.compare_feature_sets(
+        reviews_view(spark, sf), grids=COMPARE_GRIDS, k=QUERY_FOLDS, parallelism=QUERY_PARALLELISM
+    )
