@@ -85,7 +85,7 @@ def auc(df: DataFrame, label: str = "sentiment", score: str = "score", ranges: i
     below = F.col("off") + F.col("cin")
     num = F.sum(F.col("pos").cast(DEC) * (2 * below + F.col("neg")).cast(DEC))
     den = 2 * F.sum("pos") * F.sum("neg")
-    return scored.agg((num.cast("double") / den.cast("double")).alias("auc"))
+    return scored.agg(F.try_divide(num.cast("double"), den.cast("double")).alias("auc"))
 
 
 def evaluate(

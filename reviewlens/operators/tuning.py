@@ -67,7 +67,7 @@ def tune(
     if parallelism > 1:
         pool = ThreadPool(processes=min(parallelism, len(tasks)))
         try:
-            results = pool.map(inheritable_thread_target(run), tasks)
+            results = pool.map(inheritable_thread_target(train.sparkSession)(run), tasks)
         finally:
             pool.close()
     else:
