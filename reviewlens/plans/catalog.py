@@ -271,7 +271,7 @@ COMPARE_GRIDS = {
     "random_forest": {"numTrees": [100], "maxDepth": [5]},
     "perceptron": {"blockSize": [128], "maxIter": [100]},
 }
-QUERY_PARALLELISM = 4
+QUERY_PARALLELISM = 8
 
 
 def _features(spark: SparkSession, sf: str, feature_set: str) -> "SE.Features":

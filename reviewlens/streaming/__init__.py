@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The review analyses are batch jobs over one table of reviews; there is no
+stream, watermark, window or state anywhere in them, so this package adds
+no streaming operator.  A fitted ``PipelineModel`` from
+``reviewlens.plans.sentiment`` is a plain Spark ML model and can score a
+streaming DataFrame with ``model.transform`` if a caller needs that.
+"""
