@@ -11,7 +11,9 @@ times the vector size on the driver and in every training task, and
 vocabulary first with a distributed aggregation and refuses to train when it
 would exceed ``vocab_budget_bytes`` (raise ``min_count`` then).  Training runs
 in ``num_partitions`` tasks -- Spark's default of one task would put the whole
-corpus through a single core.  Long documents are cut into windows of
+corpus through a single core.  More partitions are not free: each returns
+its touched vectors, so the default is the largest count whose returned
+vectors fit ``DEFAULT_TRAIN_EXCHANGE_BUDGET``, at most ``defaultParallelism``.  Long documents are cut into windows of
 ``max_sentence_length`` words by Word2Vec itself; every word is used.
 """
 
@@ -28,6 +30,10 @@ DEFAULT_DIM = 100
 DEFAULT_MIN_COUNT = 5
 DEFAULT_W2V_SEED = 42
 DEFAULT_VOCAB_BUDGET = 2 << 30  # bytes of vectors the driver may hold
+# Bytes the training partitions may send back per epoch: each partition returns
+# the vectors of every word it touched (up to vocabulary x dim x 8 bytes).
+DEFAULT_TRAIN_EXCHANGE_BUDGET = 64 << 30
+DEFAULT_TRAIN_PARTITIONS = 64  # used when the vocabulary size is not known
 
 
 def words_col(text_col: str) -> str:
@@ -128,6 +134,14 @@ def check_vocabulary(
     return sizes
 
 
+def train_partitions(parallelism: int, vocab_sizes: dict[str, int] | None, dim: int) -> int:
+    """Word2Vec training partitions: as many as the exchange budget allows."""
+    if not vocab_sizes:
+        return max(1, min(parallelism, DEFAULT_TRAIN_PARTITIONS))
+    per_partition = max(1, max(vocab_sizes.values())) * dim * 8
+    return max(1, min(parallelism, DEFAULT_TRAIN_EXCHANGE_BUDGET // per_partition))
+
+
 def fit_features(
     train: DataFrame,
     text_cols: Sequence[str],
@@ -139,10 +153,11 @@ def fit_features(
     out: str = "features",
 ) -> PipelineModel:
     """Fit the feature pipeline on training rows only (test text never shapes the vectors)."""
-    if num_partitions is None:
-        num_partitions = train.sparkSession.sparkContext.defaultParallelism
+    sizes = None
     if vocab_budget_bytes is not None:
-        check_vocabulary(train, text_cols, dim, min_count, vocab_budget_bytes)
+        sizes = check_vocabulary(train, text_cols, dim, min_count, vocab_budget_bytes)
+    if num_partitions is None:
+        num_partitions = train_partitions(train.sparkSession.sparkContext.defaultParallelism, sizes, dim)
     pipe = feature_pipeline(text_cols, dim, min_count, seed, num_partitions, out=out)
     return pipe.fit(train)
 

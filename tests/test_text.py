@@ -88,3 +88,10 @@ def test_missing_text_column(spark):
     df = spark.createDataFrame([(1, "x")], "review_id long, t string")
     with pytest.raises(ValueError):
         require(df, ["review_summary"])
+
+
+def test_train_partitions_follow_vocabulary():
+    assert TX.train_partitions(8, {"t": 400}, 100) == 8
+    assert TX.train_partitions(8000, {"t": 1_000_000}, 100) == (64 << 30) // (1_000_000 * 800)
+    assert TX.train_partitions(8000, None, 100) == 64
+    assert TX.train_partitions(8000, {"t": 10**9}, 100) == 1
