@@ -40,11 +40,22 @@ def accuracy(cm: DataFrame) -> DataFrame:
 
 
 def weighted_f1(cm: DataFrame) -> DataFrame:
-    """F1 per true label, weighted by the label's share of rows."""
-    sup = cm.groupBy(F.col("label").alias("l")).agg(F.sum("n").alias("sup"))
-    prd = cm.groupBy(F.col("prediction").alias("l")).agg(F.sum("n").alias("prd"))
-    tp = cm.filter(F.col("label") == F.col("prediction")).select(F.col("label").alias("l"), F.col("n").alias("tp"))
-    per = sup.join(prd, "l", "left").join(tp, "l", "left").fillna(0, ["prd", "tp"])
+    """F1 per true label, weighted by the label's share of rows.
+
+    One pass over the confusion rows: each row counts once for its true
+    label (support, true positives) and once for its predicted label.
+    """
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0).cast("long"))
+    zero = F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("label").alias("l"), F.col("n").alias("sup"), zero.alias("prd"), hit.alias("tp")),
+        F.struct(F.col("prediction").alias("l"), zero.alias("sup"), F.col("n").alias("prd"), zero.alias("tp")),
+    )
+    per = (
+        cm.select(F.inline(sides))
+        .groupBy("l")
+        .agg(F.sum("sup").alias("sup"), F.sum("prd").alias("prd"), F.sum("tp").alias("tp"))
+    )
     f1 = F.when(F.col("tp") == 0, F.lit(0.0)).otherwise(2.0 * F.col("tp") / (F.col("sup") + F.col("prd")))
     return per.agg((F.sum(F.col("sup") * f1) / F.sum("sup")).alias("f1"))
 
