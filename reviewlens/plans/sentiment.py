@@ -79,16 +79,18 @@ def prepare_features(
 ) -> Features:
     """Split, fit the text features on the training side, embed both sides.
 
-    The labelled rows are hash-partitioned by key and sorted by key within
-    each partition: the forests' bootstrap samples (and Word2Vec's training
-    order) depend on row placement, and this makes it the same on every run.
-    The partition count is ``partitions`` when given, else AQE sizes it from
-    the shuffle statistics (same data, same layout).
+    The labelled rows are laid out by key and sorted within each partition
+    by key, label and text -- a total order over distinct rows -- because
+    the forests' bootstrap samples (and Word2Vec's training order) depend on
+    row placement; this makes it the same on every run.  Without
+    ``partitions`` the layout is a ``rebalance`` by key: AQE sizes it from
+    shuffle statistics and splits a partition that a large group of copies
+    (one key) would otherwise make hot.
     """
     cols = tuple(text_cols) if text_cols is not None else FEATURE_SETS[feature_set]
     rows = labelled_rows(reviews, cols)
-    rows = rows.repartition(partitions, KEY) if partitions else rows.repartition(KEY)
-    rows = rows.sortWithinPartitions(KEY)
+    rows = rows.repartition(partitions, KEY) if partitions else rows.hint("rebalance", KEY)
+    rows = rows.sortWithinPartitions(KEY, LABEL, *cols)
     train_rows, test_rows = hash_split(rows, KEY, train_percent, seed)
     model = fit_features(
         train_rows, cols, dim, min_count, w2v_seed, num_partitions, vocab_budget_bytes
