@@ -64,10 +64,16 @@ def tokenize(df: DataFrame, text_col: str, stop_words: bool = False) -> DataFram
 
 
 def token_table(df: DataFrame, text_col: str, key: str = "review_id", stop_words: bool = False) -> DataFrame:
-    """One row per token: ``(key, pos, token)``; ``pos`` counts from 0."""
+    """One row per token: ``(key, pos, token)``; ``pos`` counts from 0.
+
+    ``posexplode_outer`` + a null filter instead of ``posexplode``: for the
+    latter Catalyst infers ``size(tokens) > 0`` and pushes it below joins,
+    which runs the tokenizer twice per document.  Tokens are never null, so
+    the filter drops exactly the placeholder row of an empty array.
+    """
     toks = tokenize(df.select(key, text_col), text_col, stop_words)
     arr = content_col(text_col) if stop_words else words_col(text_col)
-    return toks.select(key, F.posexplode(arr).alias("pos", "token"))
+    return toks.select(key, F.posexplode_outer(arr).alias("pos", "token")).filter(F.col("token").isNotNull())
 
 
 def vocabulary(df: DataFrame, text_col: str, min_count: int = DEFAULT_MIN_COUNT) -> DataFrame:
@@ -78,7 +84,8 @@ def vocabulary(df: DataFrame, text_col: str, min_count: int = DEFAULT_MIN_COUNT)
     """
     toks = tokenize(df.select(text_col), text_col, stop_words=True)
     return (
-        toks.select(F.explode(content_col(text_col)).alias("token"))
+        toks.select(F.explode_outer(content_col(text_col)).alias("token"))
+        .filter(F.col("token").isNotNull())  # see token_table
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= min_count)
