@@ -124,6 +124,32 @@ def feature_pipeline(
     return Pipeline(stages=stages)
 
 
+def vocabulary_sizes(df: DataFrame, text_cols: Sequence[str], min_count: int = DEFAULT_MIN_COUNT) -> dict[str, int]:
+    """Vocabulary size of every text column, in one pass over the rows.
+
+    Tokens are tagged with their column and counted by ``(column, token)``;
+    at most one row per column reaches the driver.
+    """
+    toks = df.select(*text_cols)
+    for c in text_cols:
+        toks = tokenize(toks, c, stop_words=True)
+    tagged = F.array(*[F.struct(F.lit(c).alias("col"), F.col(content_col(c)).alias("toks")) for c in text_cols])
+    words = (
+        toks.select(F.inline(tagged))
+        .select("col", F.explode_outer("toks").alias("token"))
+        .filter(F.col("token").isNotNull())
+    )
+    kept = (
+        words.groupBy("col", "token")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= min_count)
+        .groupBy("col")
+        .agg(F.count(F.lit(1)).alias("v"))
+    )
+    found = {r["col"]: r["v"] for r in kept.collect()}
+    return {c: found.get(c, 0) for c in text_cols}
+
+
 def check_vocabulary(
     train: DataFrame, text_cols: Sequence[str], dim: int, min_count: int, budget_bytes: int
 ) -> dict[str, int]:
@@ -131,7 +157,7 @@ def check_vocabulary(
 
     Word2Vec trains two float matrices of vocabulary × dim.
     """
-    sizes = {c: vocabulary(train, c, min_count).count() for c in text_cols}
+    sizes = vocabulary_sizes(train, text_cols, min_count)
     need = sum(sizes.values()) * dim * 4 * 2
     if need > budget_bytes:
         raise ValueError(

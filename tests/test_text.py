@@ -95,3 +95,12 @@ def test_train_partitions_follow_vocabulary():
     assert TX.train_partitions(8000, {"t": 1_000_000}, 100) == (64 << 30) // (1_000_000 * 800)
     assert TX.train_partitions(8000, None, 100) == 64
     assert TX.train_partitions(8000, {"t": 10**9}, 100) == 1
+
+
+def test_vocabulary_sizes_one_pass(spark):
+    rows = [(i, "alpha beta the", "gamma " * (i % 2) + "delta") for i in range(12)]
+    df = spark.createDataFrame(rows, "review_id long, a string, b string")
+    sizes = TX.vocabulary_sizes(df, ["a", "b"], min_count=5)
+    assert sizes == {"a": 2, "b": 2}
+    assert sizes["a"] == TX.vocabulary(df, "a", 5).count()
+    assert TX.vocabulary_sizes(df, ["a"], min_count=50) == {"a": 0}
