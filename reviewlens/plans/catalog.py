@@ -11,9 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlens.operators import metrics as M
+from reviewlens.operators import split as S
+from reviewlens.operators import text as TX
 from reviewlens.operators import votes as V
 from reviewlens.operators.prepare import drop_columns, label_sentiment, require
+from reviewlens.plans import sentiment as SE
 from reviewlens.plans.helpfulness import complete_reviews, helpfulness
+from reviewlens.session import shared_path
+from reviewlens.sources.csv import read_reviews_csv, write_reviews_csv
 from reviewlens.sources.fixtures import reviews_scale, reviews_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,9 +45,6 @@ def q_reviews_view(spark: SparkSession, sf: str) -> DataFrame:
 @register("csv_scan")
 def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews written as CSV into the shared folder, then read back."""
-    from reviewlens.session import shared_path
-    from reviewlens.sources.csv import read_reviews_csv, write_reviews_csv
-
     path = shared_path(spark, "csv_scan")
     write_reviews_csv(reviews_view(spark, sf), path)
     return read_reviews_csv(spark, path)
@@ -150,9 +153,6 @@ def q_votes_scale_top_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- G. split and folds -----------------------------------------------------
 
-from reviewlens.operators import metrics as M  # noqa: E402
-from reviewlens.operators import split as S  # noqa: E402
-from reviewlens.operators import text as TX  # noqa: E402
 
 SUMMARY_ROWS = ["review_summary", "rating"]
 DETAIL_ROWS = ["review_detail", "rating"]
@@ -254,7 +254,6 @@ def q_eval_auc(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- H3-H7, I-L. embeddings, tuning, comparison (rows-only checks) ----------
 
-from reviewlens.plans import sentiment as SE  # noqa: E402
 
 # Query-sized grids and fold count; the full default grids live in
 # ``reviewlens.operators.models`` and are what ``run_section`` uses by default.
@@ -274,7 +273,7 @@ COMPARE_GRIDS = {
 QUERY_PARALLELISM = 8
 
 
-def _features(spark: SparkSession, sf: str, feature_set: str) -> "SE.Features":
+def _features(spark: SparkSession, sf: str, feature_set: str) -> SE.Features:
     return SE.prepare_features(reviews_view(spark, sf), feature_set, k=QUERY_FOLDS)
 
 
