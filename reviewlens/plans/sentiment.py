@@ -153,6 +153,35 @@ def run_section(
     return SectionResult(features, tuned, grid_metrics, report)
 
 
+@dataclass
+class StudyResult:
+    sections: list[SectionResult]
+    grid_metrics: DataFrame  # every section, model and grid point
+    report: DataFrame  # every section, model and metric on the held-out rows
+
+
+def run_study(
+    reviews: DataFrame,
+    feature_sets: Sequence[str] = tuple(FEATURE_SETS),
+    models: Sequence[str] = tuple(SPECS),
+    grids: Mapping[str, Grid] | None = None,
+    k: int = 10,
+    parallelism: int = 1,
+    **feature_kwargs,
+) -> StudyResult:
+    """The whole sentiment study: each feature set, each model, same split and metrics."""
+    sections = []
+    for fs in feature_sets:
+        feats = prepare_features(reviews, fs, k=k, **feature_kwargs)
+        sections.append(run_section(feats, models, grids, parallelism))
+    grid_metrics = sections[0].grid_metrics
+    report = sections[0].report
+    for sec in sections[1:]:
+        grid_metrics = grid_metrics.unionByName(sec.grid_metrics)
+        report = report.unionByName(sec.report)
+    return StudyResult(sections, grid_metrics, report)
+
+
 def compare_feature_sets(
     reviews: DataFrame,
     feature_sets: Sequence[str] = tuple(FEATURE_SETS),
@@ -163,11 +192,4 @@ def compare_feature_sets(
     **feature_kwargs,
 ) -> DataFrame:
     """The model report for each feature set, same split and metrics for all."""
-    reports = []
-    for fs in feature_sets:
-        feats = prepare_features(reviews, fs, k=k, **feature_kwargs)
-        reports.append(run_section(feats, models, grids, parallelism).report)
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    return run_study(reviews, feature_sets, models, grids, k, parallelism, **feature_kwargs).report

@@ -79,3 +79,21 @@ def test_one_class_fold_raises(spark):
     f = prepare_features(df, "summary", k=3, dim=8, num_partitions=1)
     with pytest.raises(ValueError, match="one class"):
         run_section(f, ["logistic_regression"], grids=SMALL)
+
+
+def test_study_over_two_feature_sets(spark):
+    from reviewlens.plans.sentiment import run_study
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(120):
+        pos = i % 2 == 0
+        pick = lambda: rnd.choice(GOOD if pos else BAD)
+        rows.append((i, " ".join(pick() for _ in range(4)), " ".join(pick() for _ in range(6)), 8.0 if pos else 2.0))
+    df = spark.createDataFrame(rows, "review_id long, review_summary string, review_detail string, rating double")
+    study = run_study(df, ["summary", "both"], ["logistic_regression"], SMALL, k=3, dim=8, num_partitions=1)
+    assert {(r.feature_set, r.metric) for r in study.report.collect()} == {
+        (fs, m) for fs in ("summary", "both") for m in ("areaUnderROC", "accuracy", "f1")
+    }
+    assert study.grid_metrics.count() == 2
+    assert study.sections[1].features.n_features == 16
