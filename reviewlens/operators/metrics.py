@@ -39,11 +39,11 @@ def accuracy(cm: DataFrame) -> DataFrame:
     )
 
 
-def weighted_f1(cm: DataFrame) -> DataFrame:
-    """F1 per true label, weighted by the label's share of rows.
+def _per_label(cm: DataFrame) -> DataFrame:
+    """Support, predicted count and true positives per label, in one pass.
 
-    One pass over the confusion rows: each row counts once for its true
-    label (support, true positives) and once for its predicted label.
+    Each confusion row counts once for its true label (support, true
+    positives) and once for its predicted label.
     """
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0).cast("long"))
     zero = F.lit(0).cast("long")
@@ -51,13 +51,28 @@ def weighted_f1(cm: DataFrame) -> DataFrame:
         F.struct(F.col("label").alias("l"), F.col("n").alias("sup"), zero.alias("prd"), hit.alias("tp")),
         F.struct(F.col("prediction").alias("l"), zero.alias("sup"), F.col("n").alias("prd"), zero.alias("tp")),
     )
-    per = (
+    return (
         cm.select(F.inline(sides))
         .groupBy("l")
         .agg(F.sum("sup").alias("sup"), F.sum("prd").alias("prd"), F.sum("tp").alias("tp"))
     )
+
+
+def _f1_expr():
     f1 = F.when(F.col("tp") == 0, F.lit(0.0)).otherwise(2.0 * F.col("tp") / (F.col("sup") + F.col("prd")))
-    return per.agg((F.sum(F.col("sup") * f1) / F.sum("sup")).alias("f1"))
+    return F.sum(F.col("sup") * f1) / F.sum("sup")
+
+
+def weighted_f1(cm: DataFrame) -> DataFrame:
+    """F1 per true label, weighted by the label's share of rows."""
+    return _per_label(cm).agg(_f1_expr().alias("f1"))
+
+
+def accuracy_and_f1(cm: DataFrame) -> DataFrame:
+    """Both label metrics from one aggregation (correct rows = sum of true positives)."""
+    return _per_label(cm).agg(
+        (F.sum("tp") / F.sum("sup").cast("double")).alias("accuracy"), _f1_expr().alias("f1")
+    )
 
 
 def score_column(raw: str = "rawPrediction") -> Column:
@@ -112,13 +127,11 @@ def evaluate(
         score_column(raw).alias("score"),
     ).persist()
     try:
-        cm = confusion(p, label, prediction).persist()
-        out = {
+        labels = accuracy_and_f1(confusion(p, label, prediction)).first()
+        return {
             "areaUnderROC": auc(p, label, "score").first()["auc"],
-            "accuracy": accuracy(cm).first()["accuracy"],
-            "f1": weighted_f1(cm).first()["f1"],
+            "accuracy": labels["accuracy"],
+            "f1": labels["f1"],
         }
-        cm.unpersist()
-        return out
     finally:
         p.unpersist()

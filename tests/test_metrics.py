@@ -61,3 +61,11 @@ def test_auc_has_no_single_partition_step_over_rows(spark):
     df, _ = scored(spark)
     plan = M.auc(df, "y", "score", ranges=4)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_accuracy_and_f1_together(spark):
+    df, _ = scored(spark)
+    cm = M.confusion(df, "y", "prediction")
+    both = M.accuracy_and_f1(cm).first()
+    assert both["accuracy"] == pytest.approx(M.accuracy(cm).first()["accuracy"], abs=1e-15)
+    assert both["f1"] == pytest.approx(M.weighted_f1(cm).first()["f1"], abs=1e-15)
