@@ -91,6 +91,11 @@ def prepare_features(
     rows = labelled_rows(reviews, cols)
     rows = rows.repartition(partitions, KEY) if partitions else rows.hint("rebalance", KEY)
     rows = rows.sortWithinPartitions(KEY, LABEL, *cols)
+    if persist:
+        # Five jobs read these rows (vocabulary check, Word2Vec vocabulary and
+        # training, both embeddings): write the laid-out text once instead of
+        # shuffling it five times.
+        rows = materialize(rows, f"labelled-{feature_set}")
     train_rows, test_rows = hash_split(rows, KEY, train_percent, seed)
     model = fit_features(
         train_rows, cols, dim, min_count, w2v_seed, num_partitions, vocab_budget_bytes
