@@ -174,6 +174,12 @@ def q_hash_folds(spark: SparkSession, sf: str) -> DataFrame:
     return S.with_folds(train, 10).select("review_id", "sentiment", "fold")
 
 
+@register("split_class_counts")
+def q_split_class_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per (side of the split, label): what the one-class checks read."""
+    return S.class_counts(S.with_split(labelled(spark, sf, SUMMARY_ROWS)), "sentiment", by="split")
+
+
 @register("fold_class_counts")
 def q_fold_class_counts(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = S.hash_split(labelled(spark, sf, SUMMARY_ROWS))

@@ -167,6 +167,11 @@ ORACLE["hash_folds"] = (
     _with(REVIEWS, SUMMARY_LABELLED, TRAIN)
     + f"select review_id, sentiment, cast({_bucket('review_id', '123:fold', 10)} as integer) as fold from train"
 )
+ORACLE["split_class_counts"] = (
+    _with(REVIEWS, SUMMARY_LABELLED)
+    + f"select case when {_bucket('review_id', '123', 100)} < 80 then 'train' else 'test' end as split, "
+    "sentiment, count(*) as n from lab group by all"
+)
 ORACLE["fold_class_counts"] = (
     _with(REVIEWS, SUMMARY_LABELLED, TRAIN)
     + f"select cast({_bucket('review_id', '123:fold', 10)} as integer) as fold, sentiment, count(*) as n "
