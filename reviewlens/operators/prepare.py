@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keep rows where every column in ``columns`` is non-null.
 
+    Names resolve like Spark's own lookup (case-insensitive unless
+    ``spark.sql.caseSensitive``), so ``Rating`` and ``rating`` both work.
+
     One conjunctive filter; on a Parquet source it becomes ``IsNotNull``
     pushed filters on the scan.
     """
-    missing = [c for c in columns if c not in df.columns]
+    case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    have = set(df.columns) if case_sensitive else {c.lower() for c in df.columns}
+    missing = [c for c in columns if (c if case_sensitive else c.lower()) not in have]
     if missing:
         raise ValueError(f"missing columns: {missing}")
     cond = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])

@@ -107,3 +107,11 @@ def test_complete_only_counts_complete_rows(spark):
     assert [tuple(r) for r in h.rates.select("reviewer", "total_helpful_votes", "review_count").collect()] == [("a", 1, 1)]
     h_all = helpfulness(df, complete_only=False)
     assert [tuple(r) for r in h_all.rates.select("reviewer", "total_helpful_votes", "review_count").collect()] == [("a", 8, 3)]
+
+
+def test_require_and_label_resolve_names_case_insensitively(spark):
+    from reviewlens.operators.prepare import label_sentiment, require
+
+    df = spark.createDataFrame([(1, 5.0, "x"), (2, 6.0, None), (3, None, "y"), (4, 9.0, "z")], "review_id long, Rating double, Review_Summary string")
+    got = [(r.review_id, r.sentiment) for r in label_sentiment(require(df, ["review_summary", "rating"])).collect()]
+    assert got == [(1, 0), (4, 1)]  # a rating of exactly 5 is negative
