@@ -47,7 +47,9 @@ class ModelSpec:
         if self.name == "linear_svc":
             return LinearSVC(**common)
         if self.name == "random_forest":
-            return RandomForestClassifier(seed=seed, **common)
+            # Node ids are cached with the rows instead of shipping every tree
+            # to the executors at each level (deep trees); same trees either way.
+            return RandomForestClassifier(seed=seed, cacheNodeIds=True, **common)
         if self.name == "perceptron":
             layers = list(layers) if layers is not None else [n_features, HIDDEN, 2]
             if layers[0] != n_features:
