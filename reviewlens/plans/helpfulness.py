@@ -38,6 +38,27 @@ class Helpfulness:
     def bottom_rate(self, k: int = 20) -> DataFrame:
         return rank_reviewers(self.rates, "helpful_rate", ascending=True, k=k)
 
+    def tables(self, k: int = 20) -> dict[str, DataFrame]:
+        """Every table of the report, by name."""
+        return {
+            "net_votes": self.net,
+            "review_counts": self.counts,
+            "helpful_rates": self.rates,
+            "top_net": self.top_net(k),
+            "bottom_net": self.bottom_net(k),
+            "top_rate": self.top_rate(k),
+            "bottom_rate": self.bottom_rate(k),
+        }
+
+    def write(self, path: str, mode: str = "error", k: int = 20) -> dict[str, str]:
+        """Write every table as Parquet under ``path/<name>``; return the paths."""
+        out = {}
+        for name, df in self.tables(k).items():
+            target = f"{path.rstrip('/')}/{name}"
+            df.write.mode(mode).parquet(target)
+            out[name] = target
+        return out
+
 
 def complete_reviews(reviews: DataFrame) -> DataFrame:
     """Reviews with summary, detail and rating present: the rows votes are counted on."""

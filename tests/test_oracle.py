@@ -16,3 +16,24 @@ def test_all_oracle_queries_match(spark):
     res = compare(spark, SF_SMALL, names)
     bad = {k: v for k, v in res.items() if not v["ok"]}
     assert not bad, bad
+
+
+def test_no_python_in_relational_plans(spark):
+    import __spark_entry__ as E
+
+    for name in sorted(E.oracle_sql()):
+        if name == "csv_scan":
+            continue
+        plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
+
+
+def test_line_item_votes_read_two_columns(spark):
+    import __spark_entry__ as E
+
+    qe = E.queries()["votes_scale"](spark, SF_SMALL)._jdf.queryExecution()
+    text = qe.executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in text or (
+        "l_orderkey" in text and "l_shipdate" not in text and "l_extendedprice" not in text
+    )
+    assert text.count("Exchange hashpartitioning") <= 2

@@ -115,3 +115,15 @@ def test_require_and_label_resolve_names_case_insensitively(spark):
     df = spark.createDataFrame([(1, 5.0, "x"), (2, 6.0, None), (3, None, "y"), (4, 9.0, "z")], "review_id long, Rating double, Review_Summary string")
     got = [(r.review_id, r.sentiment) for r in label_sentiment(require(df, ["review_summary", "rating"])).collect()]
     assert got == [(1, 0), (4, 1)]  # a rating of exactly 5 is negative
+
+
+def test_helpfulness_report_written_as_parquet(spark, tmp_dir):
+    from reviewlens.sources.fixtures import reviews_view
+
+    from conftest import SF_SMALL
+
+    h = helpfulness(reviews_view(spark, SF_SMALL))
+    paths = h.write(tmp_dir + "/report")
+    assert set(paths) == {"net_votes", "review_counts", "helpful_rates", "top_net", "bottom_net", "top_rate", "bottom_rate"}
+    assert spark.read.parquet(paths["helpful_rates"]).count() == h.rates.count()
+    assert spark.read.parquet(paths["top_rate"]).count() <= 20
