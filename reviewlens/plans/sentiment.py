@@ -15,14 +15,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
-from reviewlens.operators.compare import compare_models
-from reviewlens.operators.models import DEFAULT_MODEL_SEED, SPECS, Grid, ModelSpec
+from reviewlens.operators.compare import report_rows
+from reviewlens.operators.models import DEFAULT_MODEL_SEED, SPECS, Grid
 from reviewlens.operators.prepare import label_sentiment, require
 from reviewlens.operators.split import DEFAULT_SEED, check_classes, hash_split, with_folds
 from reviewlens.operators.text import (
@@ -34,6 +36,7 @@ from reviewlens.operators.text import (
     fit_features,
 )
 from reviewlens.operators.tuning import TuneResult, tune
+from reviewlens.schema import MODEL_REPORT
 from reviewlens.session import materialize
 
 FEATURE_SETS: dict[str, tuple[str, ...]] = {
@@ -130,31 +133,43 @@ def run_section(
     parallelism: int = 1,
     model_seed: int = DEFAULT_MODEL_SEED,
 ) -> SectionResult:
-    """Tune each model on the training folds, then score all on the test side."""
+    """Tune each model on the training folds, then score all on the test side.
+
+    With ``parallelism`` > 1 the models are tuned side by side, each with an
+    equal share of the fit slots, so small grids still keep every slot busy.
+    """
     check_classes(features.train, LABEL, by="fold", groups=features.k, what="training folds")
     check_classes(features.test, LABEL, what="test side")
-    tuned = []
-    for name in models:
-        spec: ModelSpec = SPECS[name]
-        grid = (grids or {}).get(name)
-        tuned.append(
-            tune(
-                spec,
-                features.train,
-                features.n_features,
-                features.k,
-                grid=grid,
-                feature_set=features.feature_set,
-                seed=model_seed,
-                parallelism=parallelism,
-                check=False,
-            )
-        )
     spark = features.train.sparkSession
+    per_model = max(1, parallelism // max(1, len(models)))
+
+    def one(name: str) -> tuple[TuneResult, list[tuple]]:
+        res = tune(
+            SPECS[name],
+            features.train,
+            features.n_features,
+            features.k,
+            grid=(grids or {}).get(name),
+            feature_set=features.feature_set,
+            seed=model_seed,
+            parallelism=per_model,
+            check=False,
+        )
+        return res, report_rows(features.feature_set, res, features.test)
+
+    if parallelism > 1 and len(models) > 1:
+        pool = ThreadPool(processes=min(parallelism, len(models)))
+        try:
+            done = pool.map(inheritable_thread_target(spark)(one), list(models))
+        finally:
+            pool.close()
+    else:
+        done = [one(name) for name in models]
+    tuned = [res for res, _ in done]
     grid_metrics = tuned[0].grid_metrics
     for t in tuned[1:]:
         grid_metrics = grid_metrics.unionByName(t.grid_metrics)
-    report = compare_models(spark, features.feature_set, tuned, features.test)
+    report = spark.createDataFrame([row for _, rows in done for row in rows], MODEL_REPORT)
     return SectionResult(features, tuned, grid_metrics, report)
 
 
