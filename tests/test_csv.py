@@ -40,3 +40,21 @@ def test_round_trip_and_landing(spark, tmp_dir):
     assert back.subtract(expected).count() == 0 and expected.subtract(back).count() == 0
     landed = land_parquet(back, os.path.join(tmp_dir, "pq"))
     assert landed.count() == src.count()
+
+
+def test_single_line_mode_splits_large_files(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "big.csv")
+    with open(path, "w") as f:
+        f.write("review_id,reviewer,rating,review_summary,review_detail,helpful_str\n")
+        for i in range(20000):
+            f.write(f'{i},r{i % 50},{i % 10},"sum, {i}","detail text {i} with ""quotes""","{i % 7},{i % 3}"\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        single = read_reviews_csv(spark, path, multi_line=False)
+        multi = read_reviews_csv(spark, path)
+        assert single.rdd.getNumPartitions() > 1
+        assert multi.rdd.getNumPartitions() == 1
+        assert single.count() == 20000
+        assert single.subtract(multi).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
