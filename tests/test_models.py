@@ -97,3 +97,12 @@ def test_study_over_two_feature_sets(spark):
     }
     assert study.grid_metrics.count() == 2
     assert study.sections[1].features.n_features == 16
+
+
+def test_parallel_tuning_equals_sequential(feats):
+    from reviewlens.operators.tuning import tune
+
+    grid = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0]}
+    a = tune(SPECS["logistic_regression"], feats.train, feats.n_features, feats.k, grid, parallelism=1)
+    b = tune(SPECS["logistic_regression"], feats.train, feats.n_features, feats.k, grid, parallelism=4)
+    assert a.avg == b.avg and a.std == b.std and a.best_params == b.best_params
