@@ -10,7 +10,8 @@
   window runs over one row per range.  Counts stay integral (decimal(38,0))
   until the final division, so the value does not depend on summation order.
 
-Each returns a one-row DataFrame; ``evaluate`` collects the three numbers.
+``accuracy``, ``weighted_f1``, ``accuracy_and_f1`` and ``auc`` return one-row DataFrames;
+``evaluate`` collects the three numbers for a scored model.
 """
 
 from __future__ import annotations
