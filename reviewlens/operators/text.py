@@ -22,7 +22,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StopWordsRemover, Tokenizer, VectorAssembler, Word2Vec
+from pyspark.ml.feature import StopWordsRemover, Tokenizer, VectorAssembler, Word2Vec, Word2VecModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,11 +196,82 @@ def fit_features(
     return pipe.fit(train)
 
 
-def embed(model: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "features") -> DataFrame:
+DEFAULT_BROADCAST_LIMIT = 512 << 20  # bytes of word vectors ``transform`` may broadcast
+
+
+def _w2v_stages(model: PipelineModel) -> list:
+    return [st for st in model.stages if isinstance(st, Word2VecModel)]
+
+
+def embed(
+    model: PipelineModel,
+    df: DataFrame,
+    keep: Sequence[str],
+    out: str = "features",
+    key: str = "review_id",
+    broadcast_limit_bytes: int | None = DEFAULT_BROADCAST_LIMIT,
+) -> DataFrame:
     """``keep`` columns plus the document vector ``out``.
 
     A document vector is the sum of its known word vectors divided by its
     number of content tokens (unknown words count in the divisor); a
-    document without tokens gets the zero vector.
+    document without tokens gets the zero vector.  ``transform`` broadcasts
+    every word vector to every executor; when they exceed
+    ``broadcast_limit_bytes`` the vectors are computed with a shuffle join
+    instead (``embed_by_join``).
+    """
+    w2v = _w2v_stages(model)
+    size = sum(st.getVectors().count() * st.getVectorSize() * 8 for st in w2v) if broadcast_limit_bytes else 0
+    if broadcast_limit_bytes is None or size <= broadcast_limit_bytes:
+        return model.transform(df).select(*keep, out)
+    return embed_by_join(model, df, keep, out, key)
+
+
+def embed_by_join(
+    model: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "features", key: str = "review_id"
+) -> DataFrame:
+    """Document vectors without broadcasting the vocabulary.
+
+    Content tokens are exploded and joined to the word-vector table on the
+    word (AQE splits a hot word's partition), summed with ``Summarizer.sum``
+    and divided by the token count.  Documents are told apart by key and a
+    fingerprint of their text, so a key shared by copies (summed vectors and
+    summed counts cancel) or by different texts stays exact, and joining the
+    vectors back adds no rows.
     """
-    return model.transform(df).select(*keep, out)
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    if key not in keep:
+        raise ValueError(f"the key {key!r} must be among the kept columns")
+    w2v = _w2v_stages(model)
+    cols = [st.getInputCol()[: -len("__content")] for st in w2v]
+    fps = {c: f"{c}__fp" for c in cols}
+    result = df.select(*keep, *[c for c in cols if c not in keep])
+    result = result.withColumns({fps[c]: F.sha2(F.col(c), 256) for c in cols})
+    vec_cols = []
+    for st, c in zip(w2v, cols):
+        dim, doc = st.getVectorSize(), [key, fps[c]]
+        toks = tokenize(result.select(*doc, c), c, stop_words=True)
+        counts = toks.groupBy(*doc).agg(F.sum(F.size(content_col(c))).alias("_n"))
+        sums = (
+            toks.select(*doc, F.explode_outer(content_col(c)).alias("word"))
+            .filter(F.col("word").isNotNull())
+            .join(st.getVectors(), "word")
+            .groupBy(*doc)
+            .agg(Summarizer.sum(F.col("vector")).alias("_s"))
+        )
+        scaled = F.transform(vector_to_array("_s"), lambda x: x / F.col("_n"))
+        vec = counts.join(sums, doc, "left").select(
+            *doc,
+            array_to_vector(F.when(F.col("_s").isNull(), F.array_repeat(F.lit(0.0), dim)).otherwise(scaled)).alias(
+                st.getOutputCol()
+            ),
+        )
+        result = result.join(vec, doc, "left")
+        vec_cols.append(st.getOutputCol())
+    if len(vec_cols) > 1:
+        result = VectorAssembler(inputCols=vec_cols, outputCol=out).transform(result)
+    elif vec_cols[0] != out:
+        result = result.withColumnRenamed(vec_cols[0], out)
+    return result.select(*keep, out)
