@@ -20,6 +20,7 @@ does; special tokens written in a text are recognised, as the library does.
 from __future__ import annotations
 
 import json
+import sys
 import unicodedata
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -32,16 +33,19 @@ from pyspark.sql import functions as F
 
 TOKENIZER = "word_bpe_49k.json"
 #: Entries of one generation of the chunk dictionary (two are kept): memory, not results.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 200_000
 #: Code points of text worked on at once.
-STRETCH = 2_000_000
+STRETCH = 1_000_000
+#: Symbols of a matrix of fragments.
+MATRIX = 500_000
 #: Fragments up to these widths share a matrix; longer ones are merged one by one with a heap.
 WIDTHS = (4, 8, 12, 16, 24, 40, 64)
 #: Rank of a pair that no merge joins.
 NEVER = 1 << 30
 
-# Fixed values of the tokenizer file's pre-tokenizer, and what its \\s matches.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Fixed values of the tokenizer file's word pattern: contractions, then runs of letters, single
+# numbers, and runs of what is neither white space (\\s), nor letter (\\p{L}), nor number (\\p{N}).
+CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 WHITE_SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # White space to str.split, not to the pattern.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -60,6 +64,37 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """Kind of each code point in the word pattern: 0 white space, 1 letter, 2 number, 3 other."""
+    kind = np.full(sys.maxunicode + 1, 3, np.uint8)
+    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    for value, pattern in enumerate((f"[{WHITE_SPACE}]+", r"\p{L}+", r"\p{N}+")):
+        for run in regex.finditer(pattern, every):
+            kind[np.frombuffer(run[0].encode("utf-32-le"), np.uint32)] = value
+    return kind
+
+
+def word_bounds(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each word of the pattern in a text of code points."""
+    kind = kinds()[points]
+    opens = np.ones(len(points), bool)
+    opens[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    quotes = np.flatnonzero((points == ord("'")) & opens)
+    for mark in CONTRACTIONS:  # a quote that begins a run, and its letters, are a word
+        at = quotes[quotes + len(mark) <= len(points)]
+        for i, letter in enumerate(mark[1:], 1):
+            at = at[points[at + i] == ord(letter)]
+        opens[at + 1] = False
+        after = at + len(mark)
+        opens[after[after < len(points)]] = True
+        quotes = np.setdiff1d(quotes, at, assume_unique=True)
+    starts = np.flatnonzero(opens)
+    ends = np.append(starts[1:], len(points))
+    word = kind[starts] > 0
+    return starts[word], ends[word]
+
+
 class WordBpe:
     """Encoder and decoder of one tokenizer file."""
 
@@ -88,7 +123,6 @@ class WordBpe:
         for token in vocab:
             inside = [byte[c] for c in (token.removesuffix(suffix) if suffix else token)]
             self.joined[inside[:-1], inside[1:]] = True
-        self.word = regex.compile(r"\n|" + WORD_PATTERN.replace(r"\s", WHITE_SPACE))
         self.gap = regex.compile(f"[{WHITE_SPACE}]+")
         self.marker = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.entries = entries
@@ -152,10 +186,13 @@ class WordBpe:
                     heappush(heap, (r, j, ids[j], ids[after[j]]))
         return [x for x in ids if x >= 0]
 
-    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, one after the other, and how many each has: cut, merge, concatenate."""
-        text = np.frombuffer(b"".join(words), np.uint8)
-        ends = np.cumsum([len(w) for w in words])
+    def _words(self, raw: np.ndarray, opens: np.ndarray, closes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words (spans of bytes), one after the other, and how many each has: cut, merge, concatenate."""
+        inside = np.zeros(len(raw) + 1, np.int8)
+        inside[opens] += 1
+        inside[closes] -= 1
+        text = raw[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+        ends = np.cumsum(closes - opens)
         symbols = text.astype(np.int64)
         symbols[ends - 1] += 256
         cut = np.ones(len(text) + 1, bool)
@@ -169,7 +206,7 @@ class WordBpe:
         for width in WIDTHS:
             rows = np.flatnonzero((size > below) & (size <= width))
             below = width
-            for some in np.array_split(rows, max(1, len(rows) * width // 2_000_000)):
+            for some in np.array_split(rows, max(1, len(rows) * width // MATRIX)):
                 if len(some):
                     at = np.minimum(starts[some][:, None] + np.arange(width), len(symbols) - 1)
                     ids, count[some] = self._merge(symbols[at], size[some])
@@ -186,11 +223,6 @@ class WordBpe:
         fragment_of = np.searchsorted(starts, ends)
         return out, np.diff(np.concatenate([[0], place[fragment_of]]))
 
-    def _normal(self, piece: str) -> str:
-        if piece.isascii():
-            return piece.lower()
-        return unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-
     def _learn(self, chunks: list[str]) -> None:
         """Encode chunks (text between white space) that the dictionary lacks."""
         odd = [c for c in chunks if self.marker and "<|" in c and self.marker.search(c)]
@@ -207,13 +239,18 @@ class WordBpe:
         """Ids (little-endian unsigned 32-bit) of chunks without white space and special tokens."""
         if not chunks:
             return []
-        found = self.word.findall("\n".join(map(self._normal, chunks)))
-        words = [w.encode() for w in found if w != "\n"]
-        of = np.cumsum(np.fromiter((w == "\n" for w in found), np.int64, len(found)))
-        of = of[np.fromiter((w != "\n" for w in found), bool, len(found))]
-        if not words:
+        text = "\n".join(chunks)
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        starts, ends = word_bounds(points)
+        if not len(starts):
             return [b""] * len(chunks)
-        ids, count = self._words(words)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        at = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # byte offset of each code point
+        ids, count = self._words(raw, at[starts], at[ends])
+        of = np.searchsorted(np.flatnonzero(points == 10), starts)
         each = np.bincount(of, weights=count, minlength=len(chunks)).astype(np.int64)
         ends = (np.cumsum(each) * 4).tolist()
         data = ids.astype("<u4").tobytes()

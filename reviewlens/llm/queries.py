@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.llm import bpe
+from reviewlens.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @register("op7_bpe")
 def q_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
     ids = docs.select("doc_id", bpe.encode("text").alias("ids"))
     both = ids.select("doc_id", "ids", bpe.decode("ids").alias("decoded"))
