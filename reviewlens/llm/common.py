@@ -13,6 +13,6 @@ def small_batches(spark: SparkSession) -> None:
     """Hold the session's Arrow batches to sizes that suit long texts (smaller settings stay)."""
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{key}"
-        now = int(str(spark.conf.get(name, "0")).rstrip("b") or 0)
+        now = int(str(spark.conf.get(name)).rstrip("b"))
         if now <= 0 or now > most:
             spark.conf.set(name, str(most))
