@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import bpe
+from reviewlens.llm import ann, bpe, minhash, packing, sharding
 from reviewlens.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,49 @@ def q_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register("op4_rotated_codes")
+def q_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.search(table(spark, sf, "embeddings"))
+
+
+ORACLE["op4_rotated_codes"] = """
+with v as (
+  select vec_id, min(embedding::double[]) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+  group by vec_id),
+pairs as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0),
+ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as "rank" from pairs)
+select query_id, "rank", vec_id, score from ranked where "rank" <= 20
+"""
+
+
+@register("op5_differencing")
+def q_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    rows = sharding.shard_documents(table(spark, sf, "documents"), shards=40)
+    return rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@register("op9_minmax")
+def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    return minhash.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
+
+
+@register("op10_packing")
+def q_packing(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    return packing.piece_digest(packing.pack(table(spark, sf, "documents")))
