@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import SparkSession
 
 #: Most rows and bytes of an Arrow batch: what a Python worker holds at once.
@@ -16,3 +18,9 @@ def small_batches(spark: SparkSession) -> None:
         now = int(str(spark.conf.get(name)).rstrip("b"))
         if now <= 0 or now > most:
             spark.conf.set(name, str(most))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps whose results are written tables by now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

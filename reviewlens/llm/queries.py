@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import ann, bpe, minhash, packing, sharding
+from reviewlens.llm import ann, bpe, minhash, order_minhash, packing, passages, sharding, url_trust
 from reviewlens.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,21 @@ def q_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: (verdict, host and path) of the registered url query.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@register("op1_url_trust")
+def q_url_trust(spark: SparkSession, sf: str) -> DataFrame:
+    return url_trust.judge_urls(table(spark, sf, "pages"), URL_RULES)
+
+
 @register("op4_rotated_codes")
 def q_ann(spark: SparkSession, sf: str) -> DataFrame:
     return ann.search(table(spark, sf, "embeddings"))
@@ -75,6 +90,27 @@ def q_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register("op6_suffix_dedup")
+def q_passages(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    cut = passages.remove(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op8_order_minhash")
+def q_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    prints = order_minhash.fingerprint_documents(table(spark, sf, "documents"))
+    return prints.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        order_minhash.fingerprint("tuples").alias("fingerprint"),
+        order_minhash.fingerprint("edited_tuples").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 @register("op9_minmax")
 def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
