@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 TOKENIZER = "word_bpe_49k.json"
 #: Entries of one generation of the chunk dictionary (two are kept): memory, not results.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 #: Code points of text worked on at once.
 STRETCH = 1_000_000
 #: Symbols of a matrix of fragments.
