@@ -4,7 +4,7 @@ A document's set are its distinct word shingles (64-bit hashes).  Every permutat
 gives two signature values, the minimum and the maximum of the permuted set, so a
 signature of 2 p values needs p hash evaluations a shingle.  The values are cut into
 bands; documents that share a band are candidates.  With ``BANDS`` bands of ``ROWS``
-values a pair at the threshold is missed with a chance below one in a million.
+values a pair at the default threshold is missed with a chance below one in a million.
 
 Steps, all of them Spark joins and aggregates on narrow rows:
 
@@ -36,8 +36,8 @@ from reviewlens.session import materialize
 #: Words in a shingle, and the similarity in hundredths from which documents are linked.
 SHINGLE = 5
 PERCENT = 80
-BANDS = 24
-ROWS = 5
+BANDS = 28
+ROWS = 4
 SEED = 11
 #: Bytes of text worked on at once.
 STRETCH = 4_000_000
@@ -160,13 +160,13 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def fingerprint(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """``doc_id, n_shingles, set_key, bands``: the set's 128-bit key and the band keys (null for empty sets)."""
-    schema = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+    """``doc_id, hash, n_shingles, set_key, bands``: text hash, the set's 128-bit key, band keys (null for empty sets)."""
+    schema = "doc_id long, hash long, n_shingles long, set_key binary, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for some in stretches(_texts(batch.column(1))):
+            for some in stretches(_texts(batch.column(2))):
                 sets, places = shingle_sets(some, size)
                 count = np.diff(places)
                 full = np.flatnonzero(count)
@@ -181,15 +181,17 @@ def fingerprint(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(some)),
+                        batch.column(1).slice(at, len(some)),
                         pa.array(count, pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands"],
+                    ["doc_id", "hash", "n_shingles", "set_key", "bands"],
                 )
                 at += len(some)
 
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    body = F.col(text).cast("string")
+    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("hash"), body.alias("text"))
     return narrow.mapInArrow(run, schema)
 
 
@@ -257,7 +259,7 @@ def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    """``doc_id, hash`` (of the text), ``n_shingles, component_id, kept`` for every row of ``docs``."""
     prints = materialize(fingerprint(docs, doc_id, text, size), "minhash-prints")
     sized = prints.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = sized.groupBy("set_key").agg(
@@ -308,11 +310,23 @@ def near_duplicates(
     if more.limit(1).count():
         labels = components(links.union(more))
 
-    placed = _with_component(prints.select("doc_id", "n_shingles", "set_key"), labels)
+    placed = _with_component(prints.select("doc_id", "hash", "n_shingles", "set_key"), labels)
     lowest = placed.filter(F.col("doc_id").isNotNull() & F.col("comp").isNotNull())
     lowest = lowest.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     linked = F.when(F.col("doc_id").isNotNull(), F.col("comp"))
     named = placed.withColumn("comp", linked).join(lowest, "comp", "left")
     return named.select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicate(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of ``docs`` that stay, one document of each component; of rows repeated with id and text, one."""
+    found = near_duplicates(docs, doc_id, text, size, percent)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone_id"), F.col("hash").alias("__gone_hash"))
+    rows = docs.withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
+    same = (F.col(doc_id).cast("long") == F.col("__gone_id")) & (F.col("__hash") == F.col("__gone_hash"))
+    left = rows.join(gone.distinct(), same, "left_anti")
+    return left.dropDuplicates([doc_id, "__hash"]).drop("__hash")

@@ -345,31 +345,49 @@ def cut_spans(text: bytes, spans: np.ndarray, length: int = LENGTH) -> tuple[byt
     return data, len(text) - len(data), runs_removed
 
 
-def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) for every row."""
+def cut_out(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """``docs`` with a column ``__cut``: null where nothing goes, else ``struct<kept binary, n_removed long, n_spans long>``."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("hash"), body.alias("text"))
     spans = materialize(repeated_spans(rows, length), "passage-documents")
     release(docs.sparkSession)
+    spans = spans.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), F.col("spans").alias("__spans"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, all_spans = _bytes(batch.column(2)), batch.column(3).to_pylist()
-            cuts = [cut_spans(t, np.array(s, np.int64), length) if s else (t, 0, 0) for t, s in zip(texts, all_spans)]
-            kept, removed, count = zip(*cuts) if cuts else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(count, pa.int64()),
-                    pa.array(kept, pa.binary()),
-                ],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
-            )
-
-    own = spans.select(F.col("doc_id").alias("d"), F.col("hash").alias("h"), "spans")
-    joined = rows.join(own, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")), "left")
-    return joined.select("doc_id", "hash", "text", "spans").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    @F.arrow_udf("kept binary, n_removed long, n_spans long")
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        cuts = [
+            None if s is None else cut_spans(t, np.array(s, np.int64), length)
+            for t, s in zip(texts.cast(pa.binary()).to_pylist(), spans.to_pylist())
+        ]
+        kept, removed, count = zip(*(c or (None, None, None) for c in cuts)) if cuts else ((), (), ())
+        columns = [pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(count, pa.int64())]
+        return pa.StructArray.from_arrays(columns, ["kept", "n_removed", "n_spans"])
+
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__hash"))
+    joined = docs.join(spans, same, "left")
+    some = F.col("__spans").isNotNull()
+    done = cut(F.when(some, body), F.col("__spans"))
+    return joined.withColumn("__cut", F.when(some, done)).drop("__id", "__hash", "__spans")
+
+
+def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) for every row."""
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return cut_out(docs.select(doc_id, text), doc_id, text, length).select(
+        F.col(doc_id).alias("doc_id"),
+        F.octet_length(body).cast("long").alias("n_bytes"),
+        F.coalesce("__cut.n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("__cut.n_spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("__cut.kept", body.cast("binary")).alias("kept"),
     )
+
+
+def without_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """``docs`` with the remaining text; rows of which nothing remains go.
+
+    Where a cut goes through a character, what is left of it goes, too.
+    """
+    left = cut_out(docs, doc_id, text, length)
+    remaining = F.when(F.col("__cut").isNotNull(), F.replace(F.make_valid_utf8(F.col("__cut.kept").cast("string")), F.lit("\ufffd"), F.lit(""))).otherwise(F.col(text))
+    left = left.withColumn(text, remaining)
+    return left.filter(F.col("__cut").isNull() | (F.length(text) > 0)).select(*docs.columns)

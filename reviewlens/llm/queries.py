@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import ann, bpe, minhash, order_minhash, packing, passages, sharding, url_trust
+from reviewlens.llm import ann, bpe, html_text, lang_id, minhash, order_minhash, packing, passages, sharding, url_trust
 from reviewlens.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,21 @@ def q_url_trust(spark: SparkSession, sf: str) -> DataFrame:
     return url_trust.judge_urls(table(spark, sf, "pages"), URL_RULES)
 
 
+@register("op2_site_templates")
+def q_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    return html_text.extract(table(spark, sf, "pages"))
+
+
+@register("op3_byte_gru")
+def q_lang_id(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf, "documents")
+    found = lang_id.identify("text", lang_id.learn(docs)).alias("found")
+    told = docs.select("doc_id", lang_id.held_out("doc_id").alias("held_out"), found)
+    return told.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
 @register("op4_rotated_codes")
 def q_ann(spark: SparkSession, sf: str) -> DataFrame:
     return ann.search(table(spark, sf, "embeddings"))
@@ -114,7 +129,7 @@ def q_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
 @register("op9_minmax")
 def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
-    return minhash.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
+    return minhash.near_duplicates(table(spark, sf, "documents"), size=3, percent=85).drop("hash")
 
 
 @register("op10_packing")
