@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from reviewlens.session import materialize
 
-KMER = 3
+KMER = 2
 PIECE = 16
-BINS = 32
+BINS = 64
 KEEP = 2
 #: Low bits of a packed hash that hold the place in the text.
 PLACE_BITS = 28
