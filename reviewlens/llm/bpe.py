@@ -7,10 +7,10 @@ is a certain cut.  A text is cut at white space, by the file's word pattern, and
 then at every such pair; all fragments of a stretch of text are merged side by
 side in numpy, and their ids are concatenated.  The result equals merging whole
 words.  Chunks between white space recur, so their ids are kept in a bounded
-dictionary.
+table.
 
 ``encode`` and ``decode`` are column operators: a narrow Arrow function without a
-shuffle, whatever the size.  A task holds one Arrow batch and the dictionaries.
+shuffle, whatever the size.  A task holds one Arrow batch and the table.
 
 Edge cases: a null text encodes like an empty one (no ids); null ids decode to
 an empty text; an id that is not in the file decodes to nothing, as the library
@@ -31,9 +31,11 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reviewlens.llm.hashing import Hashes
+
 TOKENIZER = "word_bpe_49k.json"
-#: Entries of one generation of the chunk dictionary (two are kept): memory, not results.
-CACHE_ENTRIES = 400_000
+#: Chunks in the table before it starts anew: memory (about 45 bytes each), not results.
+CACHE_ENTRIES = 2_000_000
 #: Code points of text worked on at once.
 STRETCH = 1_000_000
 #: Symbols of a matrix of fragments.
@@ -47,8 +49,6 @@ NEVER = 1 << 30
 # numbers, and runs of what is neither white space (\\s), nor letter (\\p{L}), nor number (\\p{N}).
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 WHITE_SPACE = r"\t\n\x0b\x0c\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# White space to str.split, not to the pattern.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def default_tokenizer() -> str:
@@ -95,6 +95,109 @@ def word_bounds(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[word], ends[word]
 
 
+def chunk_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each stretch of UTF-8 bytes between white space."""
+    blank = np.zeros(256, bool)
+    blank[[9, 10, 11, 12, 13, 32]] = True
+    solid = ~blank[data]
+    lead = np.flatnonzero((data == 0xC2) | (data >= 0xE1) & (data <= 0xE3))
+    if len(lead):  # white space of two and three bytes
+        padded = np.concatenate([data, np.zeros(2, np.uint8)])
+        code = padded[lead].astype(np.int64) << 16 | padded[lead + 1].astype(np.int64) << 8
+        two = lead[np.isin(code, WIDE[WIDE & 0xFF == 0])]
+        three = lead[np.isin(code | padded[lead + 2], WIDE[WIDE & 0xFF != 0])]
+        for at, size in ((two, 2), (three, 3)):
+            for i in range(size):
+                solid[at + i] = False
+    edge = np.diff(np.concatenate([[0], solid.view(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+#: UTF-8 bytes of the white space beyond ASCII, as numbers (the third byte 0 if there are two).
+WIDE = np.array(
+    [
+        int.from_bytes(chr(c).encode().ljust(3, b"\0"), "big")
+        for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+    ]
+)
+
+
+class Known:
+    """A bounded table of chunks and their ids, asked for whole arrays of chunks at once.
+
+    A chunk is told by its length, its first bytes and a 64-bit hash of all.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self, least: int = 0) -> None:
+        """Forget all; make room for at least ``least`` chunks."""
+        self.size = 0
+        self.bits = max(4, (2 * max(self.most, least) - 1).bit_length())
+        self.slot = np.full(1 << self.bits, -1, np.int32)
+        self.keys = np.zeros((2, 1024), np.uint64)
+        self.start = np.zeros(1025, np.int64)
+        self.flat = np.zeros(4096, np.uint32)
+
+    def find(self, data: np.ndarray, a: np.ndarray, b: np.ndarray, only: np.ndarray | None = None, entry: np.ndarray | None = None) -> np.ndarray:
+        """Entry of each chunk ``data[a:b]``, -1 if there is none; with ``only``, of those, into ``entry``."""
+        if only is None:
+            head = np.zeros(len(a), np.uint64)
+            padded = np.concatenate([data, np.zeros(8, np.uint8)])
+            for i in range(7):
+                head |= np.where(a + i < b, padded[a + i], 0).astype(np.uint64) << np.uint64(8 * i)
+            head |= np.minimum(b - a, 255).astype(np.uint64) << np.uint64(56)
+            self.hash, self.head = Hashes(data).of(a, b), head
+            only, entry = np.arange(len(a)), np.full(len(a), -1, np.int64)
+        place = (self.hash[only] >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(only):
+            found = self.slot[place]
+            used = found >= 0
+            same = used & (self.keys[0, found] == self.hash[only]) & (self.keys[1, found] == self.head[only])
+            entry[only[same]] = found[same]
+            on = used & ~same
+            only, place = only[on], place[on] + 1 & (1 << self.bits) - 1
+        return entry
+
+    def fresh(self, lacking: np.ndarray) -> np.ndarray:
+        """One chunk for each different one of ``lacking`` (numbers of the last ``find``)."""
+        order = np.lexsort((self.head[lacking], self.hash[lacking]))
+        h, w = self.hash[lacking][order], self.head[lacking][order]
+        new = np.ones(len(order), bool)
+        new[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
+        return np.sort(lacking[order[new]])
+
+    def add(self, new: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """Enter the chunks ``new`` (numbers of the last ``find``) with their ids."""
+        first, last = self.size, self.size + len(new)
+        if last > self.keys.shape[1]:
+            room = max(last, 2 * self.keys.shape[1])
+            self.keys = np.concatenate([self.keys, np.zeros((2, room - self.keys.shape[1]), np.uint64)], axis=1)
+            self.start = np.concatenate([self.start, np.zeros(room + 1 - len(self.start), np.int64)])
+        self.keys[0, first:last], self.keys[1, first:last] = self.hash[new], self.head[new]
+        base = self.start[first]
+        self.start[first + 1 : last + 1] = base + np.cumsum(count)
+        if base + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
+        self.flat[base : base + len(ids)] = ids
+        left = np.arange(first, last)
+        place = (self.hash[new] >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(left):
+            free = np.flatnonzero(self.slot[place] < 0)
+            self.slot[place[free]] = left[free]  # of several for one slot, one stays
+            on = self.slot[place] != left
+            left, place = left[on], place[on] + 1 & (1 << self.bits) - 1
+        self.size = last
+
+    def ids_of(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the entries, one after the other, and how many each has."""
+        count = self.start[entry + 1] - self.start[entry]
+        at = np.arange(int(count.sum())) + np.repeat(self.start[entry] - (np.cumsum(count) - count), count)
+        return self.flat[at], count
+
+
 class WordBpe:
     """Encoder and decoder of one tokenizer file."""
 
@@ -123,11 +226,8 @@ class WordBpe:
         for token in vocab:
             inside = [byte[c] for c in (token.removesuffix(suffix) if suffix else token)]
             self.joined[inside[:-1], inside[1:]] = True
-        self.gap = regex.compile(f"[{WHITE_SPACE}]+")
         self.marker = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.entries = entries
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known = Known(entries)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids (-1: none), ``NEVER`` if no merge joins it."""
@@ -223,64 +323,61 @@ class WordBpe:
         fragment_of = np.searchsorted(starts, ends)
         return out, np.diff(np.concatenate([[0], place[fragment_of]]))
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks (text between white space) that the dictionary lacks."""
-        odd = [c for c in chunks if self.marker and "<|" in c and self.marker.search(c)]
-        if odd:  # special tokens are found before anything else
-            parts = [[p for p in self.marker.split(c) if p] for c in odd]
-            plain = list({p for ps in parts for p in ps if p not in self.special})
-            known = dict(zip(plain, self._encode_plain(plain)))
-            known |= {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
-            self.young.update((c, b"".join(known[p] for p in ps)) for c, ps in zip(odd, parts))
-            chunks = list(set(chunks).difference(odd))
-        self.young.update(zip(chunks, self._encode_plain(chunks)))
-
-    def _encode_plain(self, chunks: list[str]) -> list[bytes]:
-        """Ids (little-endian unsigned 32-bit) of chunks without white space and special tokens."""
-        if not chunks:
-            return []
-        text = "\n".join(chunks)
+    def _encode_plain(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks joined by line ends, without special tokens, and how many each chunk has."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        starts, ends = word_bounds(points)
-        if not len(starts):
-            return [b""] * len(chunks)
+        ends = np.flatnonzero(points == 10)
+        opens, closes = word_bounds(points)
+        if not len(opens):
+            return np.zeros(0, np.int64), np.zeros(len(ends) + 1, np.int64)
         raw = np.frombuffer(text.encode(), np.uint8)
         at = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # byte offset of each code point
-        ids, count = self._words(raw, at[starts], at[ends])
-        of = np.searchsorted(np.flatnonzero(points == 10), starts)
-        each = np.bincount(of, weights=count, minlength=len(chunks)).astype(np.int64)
-        ends = (np.cumsum(each) * 4).tolist()
-        data = ids.astype("<u4").tobytes()
-        return [data[a:b] for a, b in zip([0, *ends], ends)]
-
-    def split(self, text: str | None) -> list[str]:
-        """The text's chunks between white space, as the word pattern sees it."""
-        if not text:
-            return []
-        if any(c in text for c in SEPARATORS):
-            return [c for c in self.gap.split(text) if c]
-        return text.split()
+        ids, count = self._words(raw, at[opens], at[closes])
+        of = np.searchsorted(ends, opens)
+        return ids, np.bincount(of, weights=count, minlength=len(ends) + 1).astype(np.int64)
+
+    def _encode_chunks(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks joined by line ends, and how many each has; special tokens are found before anything else."""
+        if not (self.marker and self.marker.search(text)):
+            return self._encode_plain(text)
+        ids, count = [], []
+        for chunk in text.split("\n"):
+            parts = [p for p in self.marker.split(chunk) if p]
+            own = [np.array([self.special[p]]) if p in self.special else self._encode_plain(p)[0] for p in parts]
+            ids += own
+            count.append(sum(map(len, own)))
+        return np.concatenate(ids), np.array(count)
 
     def pack(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit bytes; a null text has none."""
         packed: list[bytes] = []
         for some in stretches(texts):
-            # a text's ids, chunk by chunk; None where the young generation lacks the chunk
-            split = [self.split(t) for t in some]
-            found = [list(map(self.young.get, chunks)) for chunks in split]
-            lacking = {c for chunks, ids in zip(split, found) if None in ids for c, x in zip(chunks, ids) if x is None}
-            if len(self.young) + len(lacking) > self.entries:
-                self.old, self.young = self.young, {}
-            old, young = self.old, self.young
-            young.update((c, old[c]) for c in lacking if c in old)
-            self._learn([c for c in lacking if c not in young])
-            for chunks, ids in zip(split, found):
-                if None in ids:
-                    ids = [young[c] if x is None else x for c, x in zip(chunks, ids)]
-                packed.append(b"".join(ids))
+            raw = "\n".join(t or "" for t in some).encode()
+            data = np.frombuffer(raw, np.uint8)
+            opens, closes = chunk_bounds(data)
+            entry = self.known.find(data, opens, closes)
+            lacking = np.flatnonzero(entry < 0)
+            if len(lacking):
+                if self.known.size + len(lacking) > self.known.most:
+                    lacking = np.arange(len(opens))
+                    self.known.clear(len(lacking))
+                new = self.known.fresh(lacking)
+                a, b = opens[new], closes[new]
+                joined = np.full(int((b - a + 1).sum()), 10, np.uint8)
+                at = np.cumsum(b - a + 1) - (b - a + 1)
+                size = b - a
+                inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                joined[np.repeat(at, size) + inside] = data[np.repeat(a, size) + inside]
+                self.known.add(new, *self._encode_chunks(joined[:-1].tobytes().decode()))
+                entry = self.known.find(data, opens, closes, lacking, entry)
+            ids, count = self.known.ids_of(entry)
+            ends = np.cumsum([len((t or "").encode()) + 1 for t in some]) if len(some) > 1 else np.array([len(raw) + 1])
+            upto = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(opens, ends)] * 4
+            out = ids.astype("<u4").tobytes()
+            packed += [out[x:y] for x, y in zip([0, *upto[:-1].tolist()], upto.tolist())]
         return packed
 
     def encode(self, text: str | None) -> list[int]:
