@@ -6,15 +6,18 @@ signature of 2 p values needs p hash evaluations a shingle.  The values are cut
 bands; documents that share a band are candidates.  With ``BANDS`` bands of ``ROWS``
 values a pair at the default threshold is missed with a chance below one in a million.
 
-Steps, all of them Spark joins and aggregates on narrow rows:
+Steps, all of them on narrow rows but for the two that read sets:
 
 1. Documents with equal sets form a class, so copies cost one row from here on.
 2. In each bucket the member that meets the most others is the pivot; candidate pairs
-   are (pivot, member), linear in the bucket.  They are confirmed on full sets.
-3. Components of the confirmed links (labels and pointer jumping, written each round).
-4. Members of a bucket that are in another component than its pivot are held against
-   every member of another component, so no candidate pair is left out that could
-   still join two components.  Confirmed, and components again.
+   are (pivot, member), linear in the bucket.  They are compared on full sets, and what
+   differs is kept: a bit for each of the pivot's shingles, and the member's others.
+3. Components of the links found (labels and pointer jumping, written each round).
+4. Members of a bucket that are in another component than its pivot may still be linked to
+   one another member.  They are held against all members of their pivot in blocks: the
+   bits give the common shingles of the pivot, and shingles that no other member has cannot be
+   shared, so few pairs need a look at the rest.  The comparison is exact, nothing is capped,
+   and a task returns one link for two components that it joins, not all pairs.
 
 Edge cases: a text without words (or null) has an empty set and is linked with nothing;
 a row without a ``doc_id`` has no identity, is linked with nothing and kept; repeated
@@ -25,12 +28,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import ceil
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.llm.common import release
+from reviewlens.llm.hashing import mix
 from reviewlens.session import materialize
 
 #: Words in a shingle, and the similarity in hundredths from which documents are linked.
@@ -39,6 +46,9 @@ PERCENT = 80
 BANDS = 28
 ROWS = 4
 SEED = 11
+#: Members of a pivot in a block, or of several small ones in a task; bits of a block unpacked at once.
+TASK_ROWS = 3000
+SIDE_BITS = 1 << 22
 #: Bytes of text worked on at once.
 STRETCH = 4_000_000
 
@@ -47,13 +57,6 @@ WHITE = bytes([0x20, *range(0x09, 0x0E)])
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 @lru_cache(maxsize=1)
 def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Value of each byte, powers of an odd base, powers of its inverse, and the permutations' odd factors."""
@@ -220,12 +223,117 @@ def _similar(a, b, both, percent: int):
     return F.lit(100) * both >= F.lit(percent) * (a + b - both)
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough."""
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` (pivot, member) on their full sets.
+
+    ``a, b, a_n, b_n, both, bits`` (one for each of the pivot's shingles), ``extra`` (the member's others).
+    """
     side = lambda c: sets.select(F.col("set_key").alias(c), F.col("shingles").alias(f"{c}_set"))
-    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    return joined.filter(_similar(F.size("a_set"), F.size("b_set"), both, percent)).select("a", "b")
+    joined = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
+            sides = []
+            for c in ("a_set", "b_set"):
+                values = column[c].values.to_numpy().view(np.uint64)
+                offsets = column[c].offsets.to_numpy()
+                sides.append([values[x:y] for x, y in zip(offsets, offsets[1:])])
+            rows = []
+            for pivot, member in zip(*sides):
+                has = np.isin(pivot, member, assume_unique=True)
+                other = member[~np.isin(member, pivot, assume_unique=True)]
+                rows.append((len(pivot), len(member), int(has.sum()), np.packbits(has).tobytes(), other.view(np.int64)))
+            a_n, b_n, both, bits, extra = zip(*rows) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays(
+                [
+                    column["a"],
+                    column["b"],
+                    *(pa.array(c, pa.int64()) for c in (a_n, b_n, both)),
+                    pa.array(bits, pa.binary()),
+                    pa.array(extra, pa.list_(pa.int64())),
+                ],
+                ["a", "b", "a_n", "b_n", "both", "bits", "extra"],
+            )
+
+    schema = "a binary, b binary, a_n long, b_n long, both long, bits binary, extra array<long>"
+    return joined.select("a", "b", "a_set", "b_set").mapInArrow(run, schema)
+
+
+def _crossing_links(own: pd.DataFrame, members: pd.DataFrame, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links from ``own`` members of one pivot to its ``members`` that join two components."""
+    comps = pd.factorize(pd.concat([own["comp"], members["comp"]]))[0]
+    parent = list(range(int(comps.max()) + 1))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def side(rows: pd.DataFrame) -> tuple:
+        bits = np.frombuffer(b"".join(rows["bits"]), np.uint8).reshape(len(rows), -1)
+        return bits, rows["n"].to_numpy(), rows["extra"].map(len).to_numpy(), rows["b"].to_numpy(), rows["extra"].to_numpy()
+
+    x_bits, x_n, x_extra, x_key, x_other = side(own)
+    y_bits, y_n, y_extra, y_key, y_other = side(members)
+    x_comp, y_comp = comps[: len(own)], comps[len(own) :]
+    step = max(16, SIDE_BITS // (8 * x_bits.shape[1]))
+    links = []
+    for i in range(0, len(own), step):
+        x = np.unpackbits(x_bits[i : i + step], axis=1).astype(np.float32)
+        for j in range(0, len(members), step):
+            y = np.unpackbits(y_bits[j : j + step], axis=1).astype(np.float32)
+            both = (x @ y.T).astype(np.int64)
+            most = both + np.minimum.outer(x_extra[i : i + step], y_extra[j : j + step])
+            total = x_n[i : i + step, None] + y_n[None, j : j + step]
+            near = 100 * most >= percent * (total - most)
+            near &= x_comp[i : i + step, None] != y_comp[None, j : j + step]
+            for r, c in zip(*np.nonzero(near)):
+                p, q = find(x_comp[i + r]), find(y_comp[j + c])
+                if p != q:
+                    common = int(both[r, c]) + len(np.intersect1d(x_other[i + r], y_other[j + c], assume_unique=True))
+                    if 100 * common >= percent * (int(total[r, c]) - common):
+                        parent[max(p, q)] = min(p, q)
+                        links.append((x_key[i + r], y_key[j + c]))
+    return links
+
+
+def links_beside_pivots(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of a pivot that join components which the pivots' own links leave apart."""
+    named = lambda c: labels.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
+    placed = compared.join(named("b"), "b", "left").join(named("a"), "a", "left")
+    placed = placed.withColumn("comp", F.coalesce("b_comp", "b"))
+    placed = placed.withColumn("apart", F.col("comp") != F.coalesce("a_comp", "a"))
+    groups = placed.groupBy("a").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("apart").cast("int")).alias("aparts"))
+    groups = groups.filter("aparts > 0 and members > 1")
+    open_ = materialize(placed.join(groups, "a").drop("a_comp", "b_comp", "both", "a_n"), "minhash-open")
+    extras = open_.select("a", "b", F.explode("extra").alias("e"))
+    shared = extras.groupBy("a", "e").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "e")
+    shared = extras.join(shared, ["a", "e"]).groupBy("a", "b").agg(F.collect_set("e").alias("shared"))
+    none = F.array().cast("array<long>")
+    rows = open_.drop("extra").join(shared, ["a", "b"], "left").withColumn("extra", F.coalesce("shared", none))
+    rows = materialize(rows.select("a", "b", F.col("b_n").alias("n"), "comp", "apart", "bits", "extra", "members", "aparts"), "minhash-open")
+
+    # small pivots share a task; the blocks of a large one meet two by two
+    tasks = max(1, ceil(rows.count() / TASK_ROWS))
+    task = F.pmod(F.xxhash64("a"), F.lit(tasks)).alias("task")
+    blocks = lambda c: F.ceil(F.col(c) / TASK_ROWS).cast("int")
+    number = lambda c: F.pmod(F.xxhash64("b", F.lit(1)), blocks(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    kept = ["a", "b", "n", "comp", "bits", "extra"]
+    own = rows.filter("apart").select(task, *kept, number("aparts").alias("x"), every("members").alias("y"))
+    members = rows.select(task, *kept, number("members").alias("y"), every("aparts").alias("x"))
+
+    def meet(own: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        by_pivot = dict(list(members.groupby("a", sort=False)))
+        for pivot, part in own.groupby("a", sort=False):
+            if pivot in by_pivot:
+                links += _crossing_links(part, by_pivot[pivot], percent)
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    keys = ["task", "x", "y"]
+    return own.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(meet, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -263,51 +371,38 @@ def near_duplicates(
     prints = materialize(fingerprint(docs, doc_id, text, size), "minhash-prints")
     sized = prints.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = sized.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")
     )
-    entries = classes.select("set_key", "rep", "n", F.explode("bands").alias("bucket"))
+    entries = classes.select("set_key", "rep", F.explode("bands").alias("bucket"))
     full = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = materialize(entries.join(full, "bucket"), "minhash-buckets")
 
     # the pivot of a bucket meets the most others in all of its buckets
     degree = shared.groupBy("set_key").agg(F.sum("members").alias("degree"))
     ranked = shared.join(degree, "set_key")
-    pivots = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "set_key", "n")).alias("p"))
-    pivots = materialize(pivots.select("bucket", F.col("p.set_key").alias("pivot"), F.col("p.n").alias("pivot_n")), "minhash-pivots")
-    fits = lambda a, b: F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+    pivots = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "set_key")).alias("p"))
+    pivots = pivots.select("bucket", F.col("p.set_key").alias("pivot"))
     star = (
         shared.join(pivots, "bucket")
-        .filter((F.col("pivot") != F.col("set_key")) & fits(F.col("n"), F.col("pivot_n")))
+        .filter(F.col("pivot") != F.col("set_key"))
         .select(F.col("pivot").alias("a"), F.col("set_key").alias("b"))
         .distinct()
     )
+    star = materialize(star, "minhash-star")
+    release(docs.sparkSession)
     wanted = shared.select(F.col("rep").alias("doc_id"), "set_key").distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     texts = texts.join(wanted.select("doc_id"), "doc_id", "left_semi")
     sets = full_sets(texts, size).join(wanted.select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"])
     sets = materialize(sets, "minhash-sets")
-    links = materialize(confirm(star, sets, percent), "minhash-links")
+    release(docs.sparkSession)
+    compared = materialize(compare(star, sets), "minhash-compared")
+    release(docs.sparkSession)
+    near = _similar(F.col("a_n"), F.col("b_n"), F.col("both"), percent)
+    links = compared.filter(near).select("a", "b")
     labels = components(links)
-
-    # what is not in its pivot's component may still be linked to another member of the bucket
-    placed = _with_component(shared.select("bucket", "set_key", "n"), labels)
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y")
-    pivot_comp = _with_component(pivots.withColumnRenamed("pivot", "set_key"), labels)
-    pivot_comp = pivot_comp.select("bucket", F.col("set_key").alias("pivot"), F.col("comp").alias("pivot_comp"))
-    left = placed.join(mixed.select("bucket"), "bucket", "left_semi").join(pivot_comp, "bucket")
-    left = materialize(left.filter(F.col("set_key") != F.col("pivot")), "minhash-left")
-    out = left.filter(F.col("comp") != F.col("pivot_comp")).select(
-        "bucket", F.col("set_key").alias("a"), F.col("comp").alias("a_comp"), F.col("n").alias("a_n")
-    )
-    inner = left.select(
-        "bucket", F.col("set_key").alias("b"), F.col("comp").alias("b_comp"), F.col("n").alias("b_n"), "pivot_comp"
-    )
-    crossing = (F.col("a_comp") != F.col("b_comp")) & fits(F.col("a_n"), F.col("b_n"))
-    once = (F.col("b_comp") == F.col("pivot_comp")) | (F.col("a") < F.col("b"))
-    rest = out.join(inner, "bucket").filter(crossing & once)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = materialize(confirm(rest, sets, percent), "minhash-links")
-    if more.limit(1).count():
+    more = materialize(links_beside_pivots(compared, labels, percent), "minhash-links")
+    if not more.isEmpty():
         labels = components(links.union(more))
 
     placed = _with_component(prints.select("doc_id", "hash", "n_shingles", "set_key"), labels)
