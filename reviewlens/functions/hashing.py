@@ -7,8 +7,26 @@ the same rows land in the same bucket in any engine that has md5.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Separates the columns of a content hash, and stands for a null one.
+UNIT, NULL = "\x1f", "\x00"
+
+
+def row_key(df: DataFrame, key: str) -> Column:
+    """The key as text; a null key becomes the md5 of the row's other plain columns.
+
+    So rows without a key spread over all buckets, and equal rows share one.  Columns
+    that have no text form (vectors, arrays, maps, structs) do not count.
+    """
+    name = next((c for c in df.columns if c.lower() == key.lower()), key)
+    nested = (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType, T.BinaryType)
+    plain = [f.name for f in df.schema.fields if f.name != name and not isinstance(f.dataType, nested)]
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL)) for c in plain]
+    content = F.md5(F.concat_ws(UNIT, *parts)) if parts else F.lit(NULL)
+    return F.coalesce(F.col(f"`{name}`").cast("string"), content)
 
 
 def hash_bucket(key: Column | str, seed: int | str, buckets: int) -> Column:

@@ -3,11 +3,11 @@
 * ``confusion``: rows per (label, prediction) -- at most 4 rows for two classes.
 * ``accuracy`` and label-weighted ``weighted_f1`` are computed from those few rows.
 * ``auc``: exact area under the ROC curve with ties counted half.  Scores
-  are first grouped (one row per distinct score), then split into
-  quantile ranges; a running sum of negatives inside each range plus the
-  total of all lower ranges gives, for every score, the negatives ranked
-  below it.  No step moves all rows to one task: the only unpartitioned
-  window runs over one row per range.  Counts stay integral (decimal(38,0))
+  are first grouped (one row per distinct score) and range-partitioned into a
+  written table, which is read for everything else: a running sum of negatives
+  inside each range plus the total of all lower ranges gives, for every score, the
+  negatives ranked below it.  Adaptive execution sizes the ranges by their data.  The
+  only unpartitioned window runs over one row per range.  Counts are decimal(38,0)
   until the final division, so the value does not depend on summation order.
 
 ``accuracy``, ``weighted_f1``, ``accuracy_and_f1`` and ``auc`` return one-row DataFrames;
@@ -16,10 +16,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlens.session import materialize
+
 DEC = "decimal(38,0)"
 
 
@@ -83,21 +84,25 @@ def score_column(raw: str = "rawPrediction") -> Column:
     return vector_to_array(F.col(raw))[1]
 
 
-def auc(df: DataFrame, label: str = "sentiment", score: str = "score", ranges: int | None = None) -> DataFrame:
+def auc_of_counts(scored: DataFrame) -> DataFrame:
+    """AUC from ``pos, neg, below`` per score: positives, negatives, negatives with a lower score."""
+    pos, neg, below = (F.col(c).cast(DEC) for c in ("pos", "neg", "below"))
+    sums = scored.agg(
+        F.sum(pos * (2 * below + neg)).cast(DEC).alias("num"), F.sum(pos).cast(DEC).alias("p"), F.sum(neg).cast(DEC).alias("n")
+    )
+    pairs = 2.0 * F.col("p").cast("double") * F.col("n").cast("double")
+    return sums.select(F.try_divide(F.col("num").cast("double"), pairs).alias("auc"))
+
+
+def auc(df: DataFrame, label: str = "sentiment", score: str = "score") -> DataFrame:
     """Exact area under the ROC curve of ``score`` for a 0/1 ``label``."""
-    spark = df.sparkSession
-    if ranges is None:
-        ranges = max(8, 2 * spark.sparkContext.defaultParallelism)
     y = F.col(label).cast("long")
     by_score = (
         df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("s"))
         .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     )
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = sorted({q for q in by_score.approxQuantile("s", probs, 0.001) if q == q and abs(q) != float("inf")})
-    splits = [float("-inf")] + cuts + [float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="s", outputCol="r").transform(by_score)
+    ranged = materialize(by_score.repartitionByRange("s").withColumn("r", F.spark_partition_id()), "scores")
     below_in_range = Window.partitionBy("r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     within = ranged.withColumn("cin", F.coalesce(F.sum("neg").over(below_in_range), F.lit(0)))
     lower_ranges = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
@@ -107,12 +112,9 @@ def auc(df: DataFrame, label: str = "sentiment", score: str = "score", ranges: i
         .withColumn("off", F.coalesce(F.sum("rn").over(lower_ranges), F.lit(0)))
         .select("r", "off")
     )
-    # offsets holds one row per range (``ranges`` at most): a bounded broadcast.
+    # offsets holds one row per range, at most one a shuffle partition: a bounded broadcast.
     scored = within.join(F.broadcast(offsets), "r")
-    below = F.col("off") + F.col("cin")
-    num = F.sum(F.col("pos").cast(DEC) * (2 * below + F.col("neg")).cast(DEC))
-    den = 2 * F.sum("pos") * F.sum("neg")
-    return scored.agg(F.try_divide(num.cast("double"), den.cast("double")).alias("auc"))
+    return auc_of_counts(scored.select("pos", "neg", (F.col("off") + F.col("cin")).alias("below")))
 
 
 def evaluate(

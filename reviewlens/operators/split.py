@@ -2,22 +2,25 @@
 
 Both come from an md5 bucket of the key and a seed, so a row's side and fold
 depend on nothing else: not on partitioning, row order, file layout or
-cluster size (``randomSplit`` depends on all of those).  No shuffle.
+cluster size (``randomSplit`` depends on all of those).  No shuffle.  A row with
+a null key is hashed by its content (``functions.hashing.row_key``), so it lands on
+one side and in one fold like any other; the split and the folds agree on it when they
+see the same columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions.hashing import hash_bucket
+from reviewlens.functions.hashing import hash_bucket, row_key
 
 DEFAULT_SEED = 123
 
 
-def split_bucket(key: str = "review_id", seed: int = DEFAULT_SEED):
-    """Bucket 0..99 of the train/test split."""
-    return hash_bucket(key, seed, 100)
+def split_bucket(df: DataFrame, key: str = "review_id", seed: int = DEFAULT_SEED) -> Column:
+    """Bucket 0..99 of the train/test split; never null."""
+    return hash_bucket(row_key(df, key), seed, 100)
 
 
 def with_split(
@@ -25,7 +28,7 @@ def with_split(
 ) -> DataFrame:
     """Add ``out`` = ``'train'`` for buckets below ``train_percent``, else ``'test'``."""
     return df.withColumn(
-        out, F.when(split_bucket(key, seed) < train_percent, F.lit("train")).otherwise(F.lit("test"))
+        out, F.when(split_bucket(df, key, seed) < train_percent, F.lit("train")).otherwise(F.lit("test"))
     )
 
 
@@ -33,7 +36,7 @@ def hash_split(
     df: DataFrame, key: str = "review_id", train_percent: int = 80, seed: int = DEFAULT_SEED
 ) -> tuple[DataFrame, DataFrame]:
     """``(train, test)``: disjoint, together all rows of ``df``."""
-    b = split_bucket(key, seed)
+    b = split_bucket(df, key, seed)
     return df.filter(b < train_percent), df.filter(b >= train_percent)
 
 
@@ -43,7 +46,7 @@ def with_folds(
     """Add int ``out`` in ``[0, k)``; salted apart from the split bucket."""
     if k < 2:
         raise ValueError("need at least 2 folds")
-    return df.withColumn(out, hash_bucket(key, f"{seed}:fold", k))
+    return df.withColumn(out, hash_bucket(row_key(df, key), f"{seed}:fold", k))
 
 
 def class_counts(df: DataFrame, label: str, by: str | None = None) -> DataFrame:

@@ -7,14 +7,14 @@ what the vocabulary step counts.
 
 Scale notes: Word2Vec keeps the vocabulary (words seen ``min_count`` times)
 times the vector size on the driver and in every training task, and
-``transform`` broadcasts it.  ``fit_features`` therefore counts the
-vocabulary first with a distributed aggregation and refuses to train when it
-would exceed ``vocab_budget_bytes`` (raise ``min_count`` then).  Training runs
-in ``num_partitions`` tasks -- Spark's default of one task would put the whole
-corpus through a single core.  More partitions are not free: each returns
-its touched vectors, so the default is the largest count whose returned
-vectors fit ``DEFAULT_TRAIN_EXCHANGE_BUDGET``, at most ``defaultParallelism``.  Long documents are cut into windows of
-``max_sentence_length`` words by Word2Vec itself; every word is used.
+``transform`` broadcasts it.  ``fit_features`` can count the vocabulary first, with a
+distributed aggregation, and refuse to train when it would exceed
+``vocab_budget_bytes`` (an argument without a default: only the caller knows the
+driver).  Training runs in ``num_partitions`` tasks and ``max_iter`` passes, fixed defaults
+that depend on neither cluster nor data: raise them for a large corpus.  With more
+than one partition Spark's Word2Vec does not repeat exactly, as its training tasks update
+shared arrays.  Long documents are cut into windows of ``max_sentence_length`` words by
+Word2Vec itself; every word is used.
 """
 
 from __future__ import annotations
@@ -22,19 +22,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StopWordsRemover, Tokenizer, VectorAssembler, Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import StopWordsRemover, Tokenizer, VectorAssembler, Word2Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_DIM = 100
 DEFAULT_MIN_COUNT = 5
 DEFAULT_W2V_SEED = 42
-DEFAULT_VOCAB_BUDGET = 2 << 30  # bytes of vectors the driver may hold
-# Bytes the training partitions may send back per epoch: each partition returns
-# the vectors of every word it touched (up to vocabulary x dim x 8 bytes).
-DEFAULT_TRAIN_EXCHANGE_BUDGET = 64 << 30
-DEFAULT_TRAIN_PARTITIONS = 64  # used when the vocabulary size is not known
+DEFAULT_NUM_PARTITIONS = 8
+DEFAULT_MAX_ITER = 1
 
 
 def words_col(text_col: str) -> str:
@@ -98,7 +94,8 @@ def feature_pipeline(
     dim: int = DEFAULT_DIM,
     min_count: int = DEFAULT_MIN_COUNT,
     seed: int = DEFAULT_W2V_SEED,
-    num_partitions: int = 1,
+    num_partitions: int = DEFAULT_NUM_PARTITIONS,
+    max_iter: int = DEFAULT_MAX_ITER,
     max_sentence_length: int = 1000,
     out: str = "features",
 ) -> Pipeline:
@@ -115,6 +112,7 @@ def feature_pipeline(
                 minCount=min_count,
                 seed=seed,
                 numPartitions=num_partitions,
+                maxIter=max_iter,
                 maxSentenceLength=max_sentence_length,
                 inputCol=content_col(c),
                 outputCol=out if single else vector_col(c),
@@ -168,110 +166,33 @@ def check_vocabulary(
     return sizes
 
 
-def train_partitions(parallelism: int, vocab_sizes: dict[str, int] | None, dim: int) -> int:
-    """Word2Vec training partitions: as many as the exchange budget allows."""
-    if not vocab_sizes:
-        return max(1, min(parallelism, DEFAULT_TRAIN_PARTITIONS))
-    per_partition = max(1, max(vocab_sizes.values())) * dim * 8
-    return max(1, min(parallelism, DEFAULT_TRAIN_EXCHANGE_BUDGET // per_partition))
-
-
 def fit_features(
     train: DataFrame,
     text_cols: Sequence[str],
     dim: int = DEFAULT_DIM,
     min_count: int = DEFAULT_MIN_COUNT,
     seed: int = DEFAULT_W2V_SEED,
-    num_partitions: int | None = None,
-    vocab_budget_bytes: int | None = DEFAULT_VOCAB_BUDGET,
+    num_partitions: int = DEFAULT_NUM_PARTITIONS,
+    max_iter: int = DEFAULT_MAX_ITER,
+    vocab_budget_bytes: int | None = None,
     out: str = "features",
 ) -> PipelineModel:
-    """Fit the feature pipeline on training rows only (test text never shapes the vectors)."""
-    sizes = None
-    if vocab_budget_bytes is not None:
-        sizes = check_vocabulary(train, text_cols, dim, min_count, vocab_budget_bytes)
-    if num_partitions is None:
-        num_partitions = train_partitions(train.sparkSession.sparkContext.defaultParallelism, sizes, dim)
-    pipe = feature_pipeline(text_cols, dim, min_count, seed, num_partitions, out=out)
-    return pipe.fit(train)
-
-
-DEFAULT_BROADCAST_LIMIT = 512 << 20  # bytes of word vectors ``transform`` may broadcast
-
+    """Fit the feature pipeline on training rows only (test text never shapes the vectors).
 
-def _w2v_stages(model: PipelineModel) -> list:
-    return [st for st in model.stages if isinstance(st, Word2VecModel)]
+    ``vocab_budget_bytes``, if given, is what Word2Vec may hold on the driver; a larger
+    vocabulary raises before training.
+    """
+    if vocab_budget_bytes is not None:
+        check_vocabulary(train, text_cols, dim, min_count, vocab_budget_bytes)
+    return feature_pipeline(text_cols, dim, min_count, seed, num_partitions, max_iter, out=out).fit(train)
 
 
-def embed(
-    model: PipelineModel,
-    df: DataFrame,
-    keep: Sequence[str],
-    out: str = "features",
-    key: str = "review_id",
-    broadcast_limit_bytes: int | None = DEFAULT_BROADCAST_LIMIT,
-) -> DataFrame:
+def embed(model: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "features") -> DataFrame:
     """``keep`` columns plus the document vector ``out``.
 
     A document vector is the sum of its known word vectors divided by its
     number of content tokens (unknown words count in the divisor); a
-    document without tokens gets the zero vector.  ``transform`` broadcasts
-    every word vector to every executor; when they exceed
-    ``broadcast_limit_bytes`` the vectors are computed with a shuffle join
-    instead (``embed_by_join``).
+    document without tokens gets the zero vector.  ``transform`` broadcasts the word
+    vectors, as training did.
     """
-    w2v = _w2v_stages(model)
-    size = sum(st.getVectors().count() * st.getVectorSize() * 8 for st in w2v) if broadcast_limit_bytes else 0
-    if broadcast_limit_bytes is None or size <= broadcast_limit_bytes:
-        return model.transform(df).select(*keep, out)
-    return embed_by_join(model, df, keep, out, key)
-
-
-def embed_by_join(
-    model: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "features", key: str = "review_id"
-) -> DataFrame:
-    """Document vectors without broadcasting the vocabulary.
-
-    Content tokens are exploded and joined to the word-vector table on the
-    word (AQE splits a hot word's partition), summed with ``Summarizer.sum``
-    and divided by the token count.  Documents are told apart by key and a
-    fingerprint of their text, so a key shared by copies (summed vectors and
-    summed counts cancel) or by different texts stays exact, and joining the
-    vectors back adds no rows.
-    """
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
-
-    if key not in keep:
-        raise ValueError(f"the key {key!r} must be among the kept columns")
-    w2v = _w2v_stages(model)
-    cols = [st.getInputCol()[: -len("__content")] for st in w2v]
-    fps = {c: f"{c}__fp" for c in cols}
-    result = df.select(*keep, *[c for c in cols if c not in keep])
-    result = result.withColumns({fps[c]: F.sha2(F.col(c), 256) for c in cols})
-    vec_cols = []
-    for st, c in zip(w2v, cols):
-        dim, doc = st.getVectorSize(), [key, fps[c]]
-        toks = tokenize(result.select(*doc, c), c, stop_words=True)
-        counts = toks.groupBy(*doc).agg(F.sum(F.size(content_col(c))).alias("_n"))
-        sums = (
-            toks.select(*doc, F.explode_outer(content_col(c)).alias("word"))
-            .filter(F.col("word").isNotNull())
-            .join(st.getVectors(), "word")
-            .groupBy(*doc)
-            .agg(Summarizer.sum(F.col("vector")).alias("_s"))
-        )
-        scaled = F.transform(vector_to_array("_s"), lambda x: x / F.col("_n"))
-        vec = counts.join(sums, doc, "left").select(
-            *doc,
-            array_to_vector(F.when(F.col("_s").isNull(), F.array_repeat(F.lit(0.0), dim)).otherwise(scaled)).alias(
-                st.getOutputCol()
-            ),
-        )
-        result = result.join(vec, doc, "left")
-        vec_cols.append(st.getOutputCol())
-    if len(vec_cols) > 1:
-        result = VectorAssembler(inputCols=vec_cols, outputCol=out).transform(result)
-    elif vec_cols[0] != out:
-        result = result.withColumnRenamed(vec_cols[0], out)
-    return result.select(*keep, out)
+    return model.transform(df).select(*keep, out)

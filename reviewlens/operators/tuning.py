@@ -1,16 +1,20 @@
-"""K-fold cross-validation over a parameter grid, on precomputed hash folds.
+"""K-fold cross-validation over parameter grids, on precomputed hash folds.
 
 Folds come from the ``fold`` column (``split.with_folds``), so they do not
-depend on partitioning.  Each (fold, grid point) fit is an independent
-Spark job; ``parallelism`` runs that many at once from driver threads, as
-``CrossValidator`` does.  The winning grid point is refitted on all
-training rows.  Only metric numbers return to the driver.
+depend on partitioning.  Each (fold, model, grid point) fit is an independent
+Spark job; one pool of ``parallelism`` driver threads runs them, fold by fold, so all
+fits of a fold share one cached copy of its rows, which is released after the last.
+On a table partitioned by fold, a held-out read is that fold's folder alone.  The
+winning grid point of each model is refitted on all training rows.  Only metric
+numbers return to the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -34,12 +38,35 @@ class TuneResult:
     grid_metrics: DataFrame
 
 
-def tune(
-    spec: ModelSpec,
+class _Folds:
+    """Fit and held-out rows of each fold, cached while fits of that fold are to come."""
+
+    def __init__(self, train: DataFrame, fold: str, fits: dict[int, int]):
+        self.train, self.fold, self.left = train, fold, dict(fits)
+        self.rows: dict[int, tuple[DataFrame, DataFrame]] = {}
+        self.lock = Lock()
+
+    def take(self, i: int) -> tuple[DataFrame, DataFrame]:
+        with self.lock:
+            if i not in self.rows:
+                here = F.col(self.fold) == i
+                self.rows[i] = self.train.filter(~here).persist(), self.train.filter(here).persist()
+            return self.rows[i]
+
+    def done(self, i: int) -> None:
+        with self.lock:
+            self.left[i] -= 1
+            if not self.left[i]:
+                for df in self.rows.pop(i):
+                    df.unpersist()
+
+
+def tune_models(
+    specs: Sequence[ModelSpec],
     train: DataFrame,
     n_features: int,
     k: int,
-    grid: Grid | None = None,
+    grids: Mapping[str, Grid] | None = None,
     feature_set: str = "summary",
     label: str = "sentiment",
     features: str = "features",
@@ -47,38 +74,51 @@ def tune(
     seed: int = DEFAULT_MODEL_SEED,
     parallelism: int = 1,
     check: bool = True,
-) -> TuneResult:
-    """Cross-validate ``spec`` over ``grid`` and refit the best point on ``train``."""
-    pipe, est = spec.pipeline(n_features, seed=seed, features=features, label=label)
-    maps = param_grid(est, grid if grid is not None else spec.grid) or [{}]
-    evaluator = spec.evaluator(label)
+) -> list[TuneResult]:
+    """Cross-validate each spec over its grid and refit its best point on ``train``."""
     if check:
         check_classes(train, label, by=fold, groups=k, what="training folds")
+    pipes, maps = [], []
+    for spec in specs:
+        pipe, est = spec.pipeline(n_features, seed=seed, features=features, label=label)
+        pipes.append(pipe)
+        maps.append(param_grid(est, (grids or {}).get(spec.name, spec.grid)) or [{}])
+    tasks = [(i, m, j) for i in range(k) for m in range(len(specs)) for j in range(len(maps[m]))]
+    folds = _Folds(train, fold, {i: len(tasks) // k for i in range(k)})
 
-    def run(task: tuple[int, int]) -> tuple[int, int, float]:
-        i, j = task
-        fit_rows = train.filter(F.col(fold) != i)
-        held_out = train.filter(F.col(fold) == i)
-        model = pipe.fit(fit_rows, maps[j])
-        return i, j, evaluator.evaluate(model.transform(held_out))
-
-    tasks = [(i, j) for i in range(k) for j in range(len(maps))]
-    scores = np.zeros((k, len(maps)))
-    if parallelism > 1:
-        pool = ThreadPool(processes=min(parallelism, len(tasks)))
+    def run(task: tuple[int, int, int]) -> float:
+        i, m, j = task
+        fit_rows, held_out = folds.take(i)
         try:
-            results = pool.map(inheritable_thread_target(train.sparkSession)(run), tasks)
+            return specs[m].evaluator(label).evaluate(pipes[m].fit(fit_rows, maps[m][j]).transform(held_out))
         finally:
-            pool.close()
-    else:
-        results = [run(t) for t in tasks]
-    for i, j, v in results:
-        scores[i, j] = v
-    avg = scores.mean(axis=0).tolist()
-    std = scores.std(axis=0).tolist()
-    best = int(np.argmax(avg))
-    best_model = pipe.fit(train, maps[best])
-    texts = [params_text(m) for m in maps]
-    rows = [(feature_set, spec.name, texts[j], spec.metric, avg[j], std[j]) for j in range(len(maps))]
-    grid_df = train.sparkSession.createDataFrame(rows, GRID_METRICS)
-    return TuneResult(spec, best_model, texts[best], texts, avg, std, grid_df)
+            folds.done(i)
+
+    def refit(m: int) -> PipelineModel:
+        return pipes[m].fit(train, maps[m][best[m]])
+
+    pool = ThreadPool(processes=max(1, parallelism))
+    try:
+        thread = inheritable_thread_target(train.sparkSession)
+        values = pool.map(thread(run), tasks, chunksize=1)
+        scores = [np.zeros((k, len(grid))) for grid in maps]
+        for (i, m, j), v in zip(tasks, values):
+            scores[m][i, j] = v
+        avg = [s.mean(axis=0).tolist() for s in scores]
+        std = [s.std(axis=0).tolist() for s in scores]
+        best = [int(np.argmax(a)) for a in avg]
+        models = pool.map(thread(refit), range(len(specs)), chunksize=1)
+    finally:
+        pool.close()
+    out = []
+    for m, spec in enumerate(specs):
+        texts = [params_text(p) for p in maps[m]]
+        rows = [(feature_set, spec.name, t, spec.metric, a, s) for t, a, s in zip(texts, avg[m], std[m])]
+        table = train.sparkSession.createDataFrame(rows, GRID_METRICS)
+        out.append(TuneResult(spec, models[m], texts[best[m]], texts, avg[m], std[m], table))
+    return out
+
+
+def tune(spec: ModelSpec, train: DataFrame, n_features: int, k: int, grid: Grid | None = None, **options) -> TuneResult:
+    """``tune_models`` of one spec."""
+    return tune_models([spec], train, n_features, k, {spec.name: grid} if grid is not None else None, **options)[0]

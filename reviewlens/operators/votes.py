@@ -59,18 +59,18 @@ def helpful_rate_join(net: DataFrame, counts: DataFrame) -> DataFrame:
     return _with_rate(net.join(counts, REVIEWER, "inner"))
 
 
-def helpful_rate(parsed: DataFrame) -> DataFrame:
-    """Same rows as ``helpful_rate_join`` in one aggregation: one scan, one shuffle, no join."""
-    agg = (
-        parsed.filter(F.col(REVIEWER).isNotNull())
-        .groupBy(REVIEWER)
-        .agg(
-            F.sum("helpful_votes").alias("total_helpful_votes"),
-            F.sum("non_helpful_votes").alias("total_non_helpful_votes"),
-            F.count(F.lit(1)).alias("review_count"),
-        )
+def per_reviewer(parsed: DataFrame) -> DataFrame:
+    """Vote totals and review count per reviewer (a null reviewer is one group): one scan, one shuffle."""
+    return parsed.groupBy(REVIEWER).agg(
+        F.sum("helpful_votes").alias("total_helpful_votes"),
+        F.sum("non_helpful_votes").alias("total_non_helpful_votes"),
+        F.count(F.lit(1)).alias("review_count"),
     )
-    return _with_rate(net_votes(agg)).select(
+
+
+def rate_of(reviewers: DataFrame) -> DataFrame:
+    """Net votes and rate of the ``per_reviewer`` rows that have a reviewer."""
+    return _with_rate(net_votes(reviewers.filter(F.col(REVIEWER).isNotNull()))).select(
         REVIEWER,
         "total_helpful_votes",
         "total_non_helpful_votes",
@@ -80,6 +80,11 @@ def helpful_rate(parsed: DataFrame) -> DataFrame:
     )
 
 
+def helpful_rate(parsed: DataFrame) -> DataFrame:
+    """Same rows as ``helpful_rate_join`` in one aggregation: one scan, one shuffle, no join."""
+    return rate_of(per_reviewer(parsed.filter(F.col(REVIEWER).isNotNull())))
+
+
 def rank_reviewers(df: DataFrame, by: str, ascending: bool, k: int = 20) -> DataFrame:
     """First ``k`` reviewers with non-null net votes, ordered by ``by``.
 

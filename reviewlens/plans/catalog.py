@@ -7,6 +7,7 @@ views in ``reviewlens.sources.fixtures``); its work grows with them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,9 @@ from reviewlens.operators import metrics as M
 from reviewlens.operators import split as S
 from reviewlens.operators import text as TX
 from reviewlens.operators import votes as V
+from reviewlens.operators.models import SPECS
 from reviewlens.operators.prepare import drop_columns, label_sentiment, require
+from reviewlens.operators.tuning import tune
 from reviewlens.plans import sentiment as SE
 from reviewlens.plans.helpfulness import complete_reviews, helpfulness
 from reviewlens.session import shared_path
@@ -88,6 +91,16 @@ def q_parse_votes(spark: SparkSession, sf: str) -> DataFrame:
     return V.parse_votes(rows)
 
 
+@register("parse_vote_fractions")
+def q_parse_vote_fractions(spark: SparkSession, sf: str) -> DataFrame:
+    """Votes written as bare and signed fractions."""
+    rows = reviews_view(spark, sf).select("review_id")
+    part = F.col("review_id") % 7
+    sign = F.when(part < 2, "-.").when(part < 4, ".").otherwise("+")
+    text = F.concat(sign, part.cast("string"), F.lit(", ."), (F.col("review_id") % 5).cast("string"))
+    return V.parse_votes(rows.withColumn("helpful_str", text))
+
+
 @register("vote_totals")
 def q_vote_totals(spark: SparkSession, sf: str) -> DataFrame:
     return V.vote_totals(helpfulness(reviews_view(spark, sf)).parsed)
@@ -168,6 +181,18 @@ def q_hash_split(spark: SparkSession, sf: str) -> DataFrame:
     return S.with_split(reviews_view(spark, sf)).select("review_id", "split")
 
 
+@register("hash_split_null_keys")
+def q_hash_split_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Sides and folds of rows every fifth of which has lost its key."""
+    rows = reviews_view(spark, sf).select("review_id", "reviewer", "helpful_str", "review_detail")
+    key = F.when(F.col("review_id") % 5 != 0, F.col("review_id"))
+    rows = rows.select(key.alias("review_id"), "reviewer", "helpful_str", F.md5("review_detail").alias("digest"))
+    train, test = S.hash_split(rows)
+    return S.with_folds(S.with_split(train).unionByName(S.with_split(test)).drop("reviewer"), 10, out="fold").select(
+        "review_id", "digest", "split", "fold"
+    )
+
+
 @register("hash_folds")
 def q_hash_folds(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = S.hash_split(labelled(spark, sf, SUMMARY_ROWS))
@@ -258,70 +283,94 @@ def q_eval_auc(spark: SparkSession, sf: str) -> DataFrame:
     return M.auc(fixed_scores(spark, sf), "sentiment", "score")
 
 
-# --- H3-H7, I-L. embeddings, tuning, comparison (rows-only checks) ----------
+# --- H3-H7, I-L. embeddings, tuning, comparison -------------------------------
 
+#: The study's folds, and the fits that run side by side.
+FOLDS = 10
+PARALLELISM = 8
 
-# Query-sized grids and fold count; the full default grids live in
-# ``reviewlens.operators.models`` and are what ``run_section`` uses by default.
-QUERY_FOLDS = 3
-QUERY_GRIDS = {
-    "logistic_regression": {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
-    "linear_svc": {"regParam": [0.01, 0.1], "maxIter": [10, 50]},
-    "random_forest": {"numTrees": [10, 100], "maxDepth": [5, 10]},
-    "perceptron": {"blockSize": [128], "maxIter": [100, 200]},
-}
-COMPARE_GRIDS = {
-    "logistic_regression": {"regParam": [0.1], "elasticNetParam": [0.5]},
-    "linear_svc": {"regParam": [0.01], "maxIter": [50]},
-    "random_forest": {"numTrees": [100], "maxDepth": [5]},
-    "perceptron": {"blockSize": [128], "maxIter": [100]},
-}
-QUERY_PARALLELISM = 8
+SETS = tuple(SE.FEATURE_SETS)
+#: Sections of this session by application, folder and feature set, and what was tuned in them.
+_FEATURES: dict[tuple[str, str, str], SE.Features] = {}
+_TUNED: dict[tuple[str, str, str, str], SE.SectionResult] = {}
 
 
 def _features(spark: SparkSession, sf: str, feature_set: str) -> SE.Features:
-    return SE.prepare_features(reviews_view(spark, sf), feature_set, k=QUERY_FOLDS)
+    """A feature set's rows, made once a session: several queries tune on them."""
+    key = (spark.sparkContext.applicationId, sf, feature_set)
+    if key not in _FEATURES:
+        _FEATURES[key] = SE.prepare_features(reviews_view(spark, sf), feature_set, k=FOLDS)
+    return _FEATURES[key]
+
+
+def _section(spark: SparkSession, sf: str, feature_set: str, model: str) -> SE.SectionResult:
+    """One model tuned over its whole grid with all folds, once a session."""
+    key = (spark.sparkContext.applicationId, sf, feature_set, model)
+    if key not in _TUNED:
+        _TUNED[key] = SE.run_section(_features(spark, sf, feature_set), [model], parallelism=PARALLELISM)
+    return _TUNED[key]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
 
+def _embed_query(feature_set: str) -> Query:
+    return lambda spark, sf: SE.embedded_rows(_features(spark, sf, feature_set))
 
-@register("embed_summary")
-def q_embed_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return SE.embedded_rows(_features(spark, sf, "summary"))
 
+def _embed_facts_query(feature_set: str) -> Query:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        rows = SE.embedded_rows(_features(spark, sf, feature_set))
+        zero = F.forall("features", lambda x: x == 0)
+        return rows.select("review_id", "sentiment", "split", F.size("features").alias("dims"), zero.alias("is_zero"))
+
+    return q
+
+
+for _set in SETS:
+    register(f"embed_{_set}")(_embed_query(_set))
+    # what SQL can state of the vectors: their rows, length, and which are zero
+    register(f"embed_facts_{_set}")(_embed_facts_query(_set))
 
-@register("embed_detail")
-def q_embed_detail(spark: SparkSession, sf: str) -> DataFrame:
-    return SE.embedded_rows(_features(spark, sf, "detail"))
 
+def _tune_query(model: str, sets: tuple[str, ...]) -> Query:
+    return lambda spark, sf: _union([_section(spark, sf, s, model).grid_metrics for s in sets])
 
-@register("embed_both")
-def q_embed_both(spark: SparkSession, sf: str) -> DataFrame:
-    return SE.embedded_rows(_features(spark, sf, "both"))
 
+MODEL_NAMES = {"lr": "logistic_regression", "svc": "linear_svc", "rf": "random_forest", "mlp": "perceptron"}
+for _short, _model in MODEL_NAMES.items():
+    register(f"tune_{_short}")(_tune_query(_model, SETS))
+    register(f"tune_{_short}_summary")(_tune_query(_model, ("summary",)))
+
+
+def _closed_query(model: str, grid: dict[str, list]) -> Query:
+    """Tuning whose result is known: a grid point that can learn nothing."""
 
-def _tune_query(model: str) -> Query:
     def q(spark: SparkSession, sf: str) -> DataFrame:
         feats = _features(spark, sf, "summary")
-        res = SE.run_section(feats, [model], {model: QUERY_GRIDS[model]}, QUERY_PARALLELISM)
-        return res.grid_metrics
+        rows = tune(SPECS[model], feats.train, feats.n_features, FOLDS, grid, parallelism=PARALLELISM).grid_metrics
+        return rows.withColumns({c: F.round(c, 9) for c in ("avg", "std")})
 
-    q.__name__ = f"q_tune_{model}"
     return q
 
 
-register("tune_lr")(_tune_query("logistic_regression"))
-register("tune_svc")(_tune_query("linear_svc"))
-register("tune_rf")(_tune_query("random_forest"))
-register("tune_mlp")(_tune_query("perceptron"))
+register("tune_lr_closed")(_closed_query("logistic_regression", {"regParam": [10.0], "elasticNetParam": [1.0]}))
+register("tune_rf_closed")(_closed_query("random_forest", {"numTrees": [10], "maxDepth": [0]}))
 
 
 @register("compare_models")
 def q_compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    feats = _features(spark, sf, "summary")
-    return SE.run_section(feats, grids=COMPARE_GRIDS, parallelism=QUERY_PARALLELISM).report
+    return _union([_section(spark, sf, "summary", m).report for m in SPECS])
 
 
 @register("compare_feature_sets")
 def q_compare_feature_sets(spark: SparkSession, sf: str) -> DataFrame:
-    return SE.compare_feature_sets(
-        reviews_view(spark, sf), grids=COMPARE_GRIDS, k=QUERY_FOLDS, parallelism=QUERY_PARALLELISM
-    )
+    return _union([_section(spark, sf, s, m).report for s in SETS for m in SPECS])
+
+
+@register("compare_shape")
+def q_compare_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """The comparison's rows and whether each value is a share: what SQL can state of it."""
+    rows = q_compare_feature_sets(spark, sf)
+    return rows.select("feature_set", "model", "metric", F.col("value").between(0, 1).alias("in_bounds"))

@@ -11,7 +11,9 @@ from reviewlens.operators.votes import (
     helpful_rate,
     net_votes,
     parse_votes,
+    per_reviewer,
     rank_reviewers,
+    rate_of,
     review_counts,
     vote_totals,
 )
@@ -51,9 +53,23 @@ class Helpfulness:
         }
 
     def write(self, path: str, mode: str = "error", k: int = 20) -> dict[str, str]:
-        """Write every table as Parquet under ``path/<name>``; return the paths."""
+        """Write every table as Parquet under ``path/<name>``; return the paths.
+
+        The source is read once: one aggregate per reviewer is written as
+        ``path/reviewers``, and every table comes from that.
+        """
+        base = f"{path.rstrip('/')}/reviewers"
+        per_reviewer(self.parsed).write.mode(mode).parquet(base)
+        reviewers = self.parsed.sparkSession.read.parquet(base)
+        totals = reviewers.drop("review_count")
+        once = Helpfulness(
+            parsed=self.parsed,
+            net=net_votes(totals),
+            counts=reviewers.select("reviewer", "review_count"),
+            rates=rate_of(reviewers),
+        )
         out = {}
-        for name, df in self.tables(k).items():
+        for name, df in once.tables(k).items():
             target = f"{path.rstrip('/')}/{name}"
             df.write.mode(mode).parquet(target)
             out[name] = target
@@ -61,7 +77,13 @@ class Helpfulness:
 
 
 def complete_reviews(reviews: DataFrame) -> DataFrame:
-    """Reviews with summary, detail and rating present: the rows votes are counted on."""
+    """Reviews with summary, detail and rating present: the rows votes are counted on.
+
+    On a landed table the presence columns are filtered on, so no text is read.
+    """
+    present = [f"has_{c}" for c in ("summary", "detail")]
+    if all(c in reviews.columns for c in present):
+        return require(reviews, ["rating"]).filter(" and ".join(present))
     return require(reviews, COMPLETE)
 
 

@@ -40,7 +40,11 @@ _INT = r"'^\s*([+-]?\d+)(?:\.\d*)?\s*$'"
 
 
 def _vote(i: int) -> str:
-    return f"try_cast(regexp_extract(string_split(helpful_str, ',')[{i}], {_INT}, 1) as integer)"
+    part = f"string_split(helpful_str, ',')[{i}]"
+    return (
+        f"case when regexp_matches({part}, '^\\s*[+-]?\\.\\d+\\s*$') then 0 "
+        f"else try_cast(regexp_extract({part}, {_INT}, 1) as integer) end"
+    )
 
 
 PARSED = f"""
@@ -266,3 +270,92 @@ cum as (
 )
 select cast(sum(pos * (2 * below + neg)) as double) / cast(2 * sum(pos) * sum(neg) as double) as auc from cum"""
 )
+
+
+# --- votes written as fractions ------------------------------------------------
+
+ORACLE["parse_vote_fractions"] = (
+    _with(
+        "reviews as (select doc_id as review_id, concat(case when doc_id % 7 < 2 then '-.' when doc_id % 7 < 4 then '.' "
+        "else '+' end, cast(doc_id % 7 as varchar), ', .', cast(doc_id % 5 as varchar)) as helpful_str from documents)",
+        PARSED.replace("review_id, reviewer, helpful_str", "review_id, helpful_str"),
+    )
+    + "select * from parsed"
+)
+
+# --- rows without a key --------------------------------------------------------
+
+_NULL_KEY = "case when review_id is null then {content} else cast(review_id as varchar) end"
+# the columns that each step sees, null as chr(0), separated by chr(31)
+_SPLIT_KEY = _NULL_KEY.format(
+    content="md5(concat(coalesce(reviewer, chr(0)), chr(31), coalesce(helpful_str, chr(0)), chr(31), digest))"
+)
+_FOLD_KEY = _NULL_KEY.format(content="md5(concat(coalesce(helpful_str, chr(0)), chr(31), digest, chr(31), split))")
+ORACLE["hash_split_null_keys"] = (
+    _with(REVIEWS)
+    + ", r as (select case when review_id % 5 <> 0 then review_id end as review_id, reviewer, helpful_str, "
+    "md5(review_detail) as digest from reviews),\n"
+    f"s as (select *, case when {_bucket(_SPLIT_KEY, '123', 100)} < 80 then 'train' else 'test' end as split from r)\n"
+    f"select review_id, digest, split, cast({_bucket(_FOLD_KEY, '123:fold', 10)} as integer) as fold from s"
+)
+
+# --- what can be stated of the learned part -------------------------------------
+
+
+def _content_of(text: str) -> str:
+    return _content(_tokens(text))
+
+
+def _embed_facts(columns: list[str]) -> str:
+    """Rows, sides and dimensions; a vector is zero when no content token is in its column's training vocabulary."""
+    present = " and ".join(f"{c} is not null" for c in [*columns, "rating"])
+    vocab = ",\n".join(
+        f"v{i} as (select token from (select unnest({_content_of(c)}) as token from side where split = 'train') "
+        "group by token having count(*) >= 5)"
+        for i, c in enumerate(columns)
+    )
+    hits = ",\n".join(
+        f"h{i} as (select distinct review_id from (select review_id, unnest({_content_of(c)}) as token from side) t "
+        f"where token in (select token from v{i}))"
+        for i, c in enumerate(columns)
+    )
+    zero = " and ".join(f"review_id not in (select review_id from h{i})" for i in range(len(columns)))
+    return (
+        _with(REVIEWS)
+        + ", lab as (select *, case when rating > 5 then 1 else 0 end as sentiment from reviews where "
+        + present
+        + f"),\nside as (select *, case when {_bucket('review_id', '123', 100)} < 80 then 'train' else 'test' end as split "
+        + f"from lab),\n{vocab},\n{hits}\n"
+        + f"select review_id, sentiment, split, cast({100 * len(columns)} as integer) as dims, {zero} as is_zero from side"
+    )
+
+
+ORACLE["embed_facts_summary"] = _embed_facts(["review_summary"])
+ORACLE["embed_facts_detail"] = _embed_facts(["review_detail"])
+ORACLE["embed_facts_both"] = _embed_facts(["review_summary", "review_detail"])
+
+_FOLDED = (
+    _with(REVIEWS, SUMMARY_LABELLED, TRAIN)
+    + f", f as (select sentiment, {_bucket('review_id', '123:fold', 10)} as fold from train),\n"
+)
+# L1 so strong that every weight is zero: all scores tie in every fold
+ORACLE["tune_lr_closed"] = (
+    "select 'summary' as feature_set, 'logistic_regression' as model, 'elasticNetParam=1.0, regParam=10.0' as params, "
+    "'areaUnderROC' as metric, 0.5::double as avg, 0.0::double as std"
+)
+# trees without a split predict the majority of the other folds
+ORACLE["tune_rf_closed"] = (
+    _FOLDED
+    + "folds as (select distinct fold from f),\n"
+    "major as (select folds.fold, case when sum(sentiment) * 2 > count(*) then 1 else 0 end as guess "
+    "from folds join f on f.fold <> folds.fold group by folds.fold),\n"
+    "share as (select f.fold, avg(case when sentiment = guess then 1.0::double else 0.0::double end) as acc "
+    "from f join major on f.fold = major.fold group by f.fold)\n"
+    "select 'summary' as feature_set, 'random_forest' as model, 'maxDepth=0, numTrees=10' as params, "
+    "'accuracy' as metric, round(avg(acc), 9) as avg, round(stddev_pop(acc), 9) as std from share"
+)
+ORACLE["compare_shape"] = (
+    "select feature_set, model, metric, true as in_bounds from (values ('summary'), ('detail'), ('both')) s(feature_set) "
+    "cross join (values ('logistic_regression'), ('linear_svc'), ('random_forest'), ('perceptron')) m(model) "
+    "cross join (values ('areaUnderROC'), ('accuracy'), ('f1')) t(metric)"
+)

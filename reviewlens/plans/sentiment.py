@@ -5,39 +5,41 @@ For one feature set (one or more text columns):
 1. keep rows with the texts and a rating, label them (rating > 5);
 2. split by key hash (80/20), the same split for every feature set;
 3. fit tokens -> stop words -> Word2Vec on the training side only;
-4. embed both sides, add hash folds to the training side, and write both as
-   Parquet to the shared checkpoint folder (they feed every fit);
+4. embed all rows in one pass, add hash folds to the training side, and write the narrow
+   feature rows, partitioned by side and fold, to the shared checkpoint folder (they
+   feed every fit); texts are never shuffled;
 5. cross-validate each model over its grid, refit the best point;
 6. score every best model on the same test rows with AUC, accuracy and F1.
+
+``Features.close`` removes the written rows; ``run_study`` closes each section.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from reviewlens.operators.compare import report_rows
 from reviewlens.operators.models import DEFAULT_MODEL_SEED, SPECS, Grid
 from reviewlens.operators.prepare import label_sentiment, require
-from reviewlens.operators.split import DEFAULT_SEED, check_classes, hash_split, with_folds
+from reviewlens.operators.split import DEFAULT_SEED, check_classes, with_folds, with_split
 from reviewlens.operators.text import (
     DEFAULT_DIM,
+    DEFAULT_MAX_ITER,
     DEFAULT_MIN_COUNT,
-    DEFAULT_VOCAB_BUDGET,
+    DEFAULT_NUM_PARTITIONS,
     DEFAULT_W2V_SEED,
     embed,
     fit_features,
 )
-from reviewlens.operators.tuning import TuneResult, tune
+from reviewlens.operators.tuning import TuneResult, tune_models
 from reviewlens.schema import MODEL_REPORT
-from reviewlens.session import materialize
+from reviewlens.session import remove_path, shared_path, written
 
 FEATURE_SETS: dict[str, tuple[str, ...]] = {
     "summary": ("review_summary",),
@@ -58,10 +60,19 @@ class Features:
     test: DataFrame  # review_id, sentiment, features
     n_features: int
     k: int
+    paths: list[str] = field(default_factory=list)  # written rows
+
+    def close(self) -> None:
+        """Remove the written rows; ``train`` and ``test`` cannot be read afterwards."""
+        for path in self.paths:
+            remove_path(self.train.sparkSession, path)
+        self.paths.clear()
 
 
 def labelled_rows(reviews: DataFrame, text_cols: Sequence[str], threshold: float = 5) -> DataFrame:
+    """Key, label and texts; a row without a key gets the hash of its texts and rating."""
     rows = require(reviews, [*text_cols, "rating"])
+    rows = rows.withColumn(KEY, F.coalesce(F.col(KEY), F.xxhash64(*text_cols, "rating")))
     return label_sentiment(rows, threshold=threshold).select(KEY, LABEL, *text_cols)
 
 
@@ -75,40 +86,35 @@ def prepare_features(
     dim: int = DEFAULT_DIM,
     min_count: int = DEFAULT_MIN_COUNT,
     w2v_seed: int = DEFAULT_W2V_SEED,
-    num_partitions: int | None = None,
-    vocab_budget_bytes: int | None = DEFAULT_VOCAB_BUDGET,
-    partitions: int | None = None,
+    num_partitions: int = DEFAULT_NUM_PARTITIONS,
+    max_iter: int = DEFAULT_MAX_ITER,
+    vocab_budget_bytes: int | None = None,
     persist: bool = True,
 ) -> Features:
     """Split, fit the text features on the training side, embed both sides.
 
-    The labelled rows are laid out by key and sorted within each partition
-    by key, label and text -- a total order over distinct rows -- because
-    the forests' bootstrap samples (and Word2Vec's training order) depend on
-    row placement; this makes it the same on every run.  Without
-    ``partitions`` the layout is a ``rebalance`` by key: AQE sizes it from
-    shuffle statistics and splits a partition that a large group of copies
-    (one key) would otherwise make hot.
+    With ``persist`` the feature rows are written once, laid out by side and fold and
+    sorted by key and label, so that the forests' bootstrap samples do not depend on
+    where the texts were read.  Adaptive execution sizes the layout and splits a
+    partition that many copies (one key) would otherwise make hot.
     """
     cols = tuple(text_cols) if text_cols is not None else FEATURE_SETS[feature_set]
-    rows = labelled_rows(reviews, cols)
-    rows = rows.repartition(partitions, KEY) if partitions else rows.hint("rebalance", KEY)
-    rows = rows.sortWithinPartitions(KEY, LABEL, *cols)
-    if persist:
-        # Five jobs read these rows (vocabulary check, Word2Vec vocabulary and
-        # training, both embeddings): write the laid-out text once instead of
-        # shuffling it five times.
-        rows = materialize(rows, f"labelled-{feature_set}")
-    train_rows, test_rows = hash_split(rows, KEY, train_percent, seed)
-    model = fit_features(
-        train_rows, cols, dim, min_count, w2v_seed, num_partitions, vocab_budget_bytes
-    )
-    train = with_folds(embed(model, train_rows, [KEY, LABEL]), k, KEY, seed)
-    test = embed(model, test_rows, [KEY, LABEL])
+    rows = with_split(labelled_rows(reviews, cols), KEY, train_percent, seed)
+    train_rows = rows.filter(F.col("split") == "train")
+    model = fit_features(train_rows, cols, dim, min_count, w2v_seed, num_partitions, max_iter, vocab_budget_bytes)
+    table = with_folds(embed(model, rows, [KEY, LABEL, "split"]), k, KEY, seed)
+    paths = []
     if persist:
-        train = materialize(train, f"features-{feature_set}-train")
-        test = materialize(test, f"features-{feature_set}-test")
-    return Features(feature_set, cols, model, train, test, dim * len(cols), k)
+        table = table.withColumn("part", F.when(F.col("split") == "train", F.col("fold")).otherwise(-1))
+        table = table.hint("rebalance", "part").sortWithinPartitions("part", KEY, LABEL)
+        paths = [shared_path(reviews.sparkSession, f"features-{feature_set}")]
+        table = written(table.drop("fold", "split"), paths[0], "part")
+        train = table.filter(F.col("part") >= 0).withColumnRenamed("part", "fold")
+        test = table.filter(F.col("part") == -1).drop("part")
+    else:
+        train = table.filter(F.col("split") == "train").drop("split")
+        test = table.filter(F.col("split") == "test").drop("split", "fold")
+    return Features(feature_set, cols, model, train, test, dim * len(cols), k, paths)
 
 
 def embedded_rows(features: Features) -> DataFrame:
@@ -135,42 +141,27 @@ def run_section(
 ) -> SectionResult:
     """Tune each model on the training folds, then score all on the test side.
 
-    With ``parallelism`` > 1 the models are tuned side by side, each with an
-    equal share of the fit slots, so small grids still keep every slot busy.
+    One pool of ``parallelism`` threads runs the fits of all models, fold by fold.
     """
     check_classes(features.train, LABEL, by="fold", groups=features.k, what="training folds")
     check_classes(features.test, LABEL, what="test side")
     spark = features.train.sparkSession
-    per_model = max(1, parallelism // max(1, len(models)))
-
-    def one(name: str) -> tuple[TuneResult, list[tuple]]:
-        res = tune(
-            SPECS[name],
-            features.train,
-            features.n_features,
-            features.k,
-            grid=(grids or {}).get(name),
-            feature_set=features.feature_set,
-            seed=model_seed,
-            parallelism=per_model,
-            check=False,
-        )
-        return res, report_rows(features.feature_set, res, features.test)
-
-    if parallelism > 1 and len(models) > 1:
-        pool = ThreadPool(processes=min(parallelism, len(models)))
-        try:
-            done = pool.map(inheritable_thread_target(spark)(one), list(models))
-        finally:
-            pool.close()
-    else:
-        done = [one(name) for name in models]
-    tuned = [res for res, _ in done]
+    tuned = tune_models(
+        [SPECS[name] for name in models],
+        features.train,
+        features.n_features,
+        features.k,
+        grids=grids,
+        feature_set=features.feature_set,
+        seed=model_seed,
+        parallelism=parallelism,
+        check=False,
+    )
+    rows = [row for t in tuned for row in report_rows(features.feature_set, t, features.test)]
     grid_metrics = tuned[0].grid_metrics
     for t in tuned[1:]:
         grid_metrics = grid_metrics.unionByName(t.grid_metrics)
-    report = spark.createDataFrame([row for _, rows in done for row in rows], MODEL_REPORT)
-    return SectionResult(features, tuned, grid_metrics, report)
+    return SectionResult(features, tuned, grid_metrics, spark.createDataFrame(rows, MODEL_REPORT))
 
 
 @dataclass
@@ -193,7 +184,10 @@ def run_study(
     sections = []
     for fs in feature_sets:
         feats = prepare_features(reviews, fs, k=k, **feature_kwargs)
-        sections.append(run_section(feats, models, grids, parallelism))
+        try:
+            sections.append(run_section(feats, models, grids, parallelism))
+        finally:
+            feats.close()
     grid_metrics = sections[0].grid_metrics
     report = sections[0].report
     for sec in sections[1:]:

@@ -15,8 +15,6 @@ REVIEWS = T.StructType(
     ]
 )
 
-REVIEW_COLUMNS = [f.name for f in REVIEWS.fields]
-
 GRID_METRICS = T.StructType(
     [
         T.StructField("feature_set", T.StringType(), False),

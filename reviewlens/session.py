@@ -6,6 +6,7 @@ session it is handed.  ``local_session`` exists for tests and ``bench.py``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder from the session; a fresh /tmp folder only in local mode.
+    """Checkpoint folder from the session; a fresh temporary folder only in local mode.
 
     On a cluster a machine-local folder would not survive the loss of an
     executor, so a missing ``spark.checkpoint.dir`` is an error there.
@@ -34,23 +35,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     found = checkpoint_dir(spark)
     if found:
         return found
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster is a cluster
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reviewlens-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder; read it back.
 
     Cuts the lineage of tables that feed many jobs (the feature table of a
     tuning run): a lost executor then costs a re-read of Parquet, not a
     re-run of the text pipeline.  One pass over the data, columnar, with
-    pruning on later reads.
+    pruning on later reads (of whole folders with ``partition_by``).
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return written(df, shared_path(df.sparkSession, name), partition_by)
+
+
+def written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet at ``path``; read it back with the same columns."""
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

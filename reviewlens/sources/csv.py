@@ -1,21 +1,30 @@
 """Review CSV in, Parquet landing table out.
 
 Review texts hold newlines, commas and quotes, so the reader uses
-``multiLine`` and ``escape='"'``.  Columns are matched to the review schema by
-header name (case-insensitively; files spell ``rating`` and ``Rating``), then
-cast with ``try_cast``: a malformed value becomes null instead of failing the
-job under ANSI mode or shifting columns.  ``multiLine`` files cannot be
-split, so a CSV is read once and landed as Parquet; later work reads that.
+``multiLine`` and ``escape='"'``.  Every file is read by its own header: files are
+grouped by header line, each group is read with its columns, and the groups are united
+by name (case-insensitively; files spell ``rating`` and ``Rating``).  Values are cast with
+``try_cast``: a malformed value becomes null instead of failing the job under ANSI mode or
+shifting columns.  A row with more or fewer fields than its header is kept, and its text
+can be had in a ``_corrupt`` column.  ``multiLine`` files cannot be split, so a CSV is read
+once and landed as Parquet; later work reads that.
 """
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlens.schema import REVIEWS
 
+CORRUPT = "_corrupt"
+#: Name that a corrupt row's text has while reading.
+_RAW = "__corrupt_row"
+
 _READ_OPTIONS = {
     "header": "true",
     "multiLine": "true",
@@ -33,36 +42,86 @@ _WRITE_OPTIONS = {
 }
 
 
+def _headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header; one line of each file is read."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        if line:  # an empty file has no rows
+            header = next(csv.reader([line.lstrip("\ufeff")]))
+            found.setdefault(tuple(header), []).append(name)
+    return found
+
+
+def _read_group(
+    spark: SparkSession, header: tuple[str, ...], files: list[str], schema: T.StructType, multi_line: bool, extra: bool
+) -> DataFrame:
+    """Files with one header, in ``schema`` and ``_corrupt``, with the other columns as text if wanted."""
+    names = [f"c{i}" for i in range(len(header))]
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+    options = _READ_OPTIONS | {"multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": _RAW, "columnPruning": "false"}
+    raw = spark.read.schema(text).options(**options).csv(files)
+    by_lower: dict[str, str] = {}
+    for name, column in zip(header, names):
+        by_lower.setdefault(name.strip().lower(), column)
+    cols = []
+    for field in schema.fields:
+        src = by_lower.get(field.name.lower())
+        value = F.col(src) if src else F.lit(None).cast("string")
+        cols.append((value if isinstance(field.dataType, T.StringType) else value.try_cast(field.dataType)).alias(field.name))
+    if extra:
+        known = {f.name.lower() for f in schema.fields}
+        cols += [F.col(c).alias(n) for n, c in by_lower.items() if n not in known]
+    return raw.select(*cols, F.col(_RAW).alias(CORRUPT))
+
+
 def read_reviews_csv(
-    spark: SparkSession, path: str, schema: T.StructType = REVIEWS, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = REVIEWS,
+    multi_line: bool = True,
+    corrupt: bool = False,
+    extra: bool = False,
 ) -> DataFrame:
     """Read review CSV file(s) into ``schema``.
 
     ``multi_line`` (the default) parses quoted newlines correctly but reads
     each file in one task; a source whose texts hold no newlines can pass
-    ``False`` to have large files split across tasks.
+    ``False`` to have large files split across tasks.  ``corrupt`` adds the ``_corrupt``
+    column: the text of a row that has more or fewer fields than its header, else null
+    (``corrupt_rows`` counts them).  ``extra`` adds columns beyond the schema, as text,
+    null for files without them.
 
-    Columns absent from the file are null, except ``review_id``: when the
-    file has none it becomes a 64-bit hash of the other review columns, so
-    it does not depend on partitioning and exact duplicates share an id
-    (and so always land on the same side of a split).
+    Columns absent from a file are null.  A ``review_id`` that is absent or no number
+    becomes a 64-bit hash of the other review columns, so it does not depend on
+    partitioning and exact duplicates share an id (and so always land on the same side
+    of a split).
     """
-    raw = spark.read.options(**_READ_OPTIONS).option("multiLine", str(multi_line).lower()).csv(path)
-    by_lower = {c.lower(): c for c in raw.columns}
-    cols = []
-    for field in schema.fields:
-        src = by_lower.get(field.name.lower())
-        if src is None:
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
-        elif isinstance(field.dataType, T.StringType):
-            cols.append(F.col(f"`{src}`").alias(field.name))
-        else:
-            cols.append(F.col(f"`{src}`").try_cast(field.dataType).alias(field.name))
-    df = raw.select(*cols)
-    if "review_id" in schema.names and "review_id" not in by_lower:
+    files = [f for f in spark.read.text(path).inputFiles()]
+    groups = [_read_group(spark, h, fs, schema, multi_line, extra) for h, fs in _headers(spark, files).items()]
+    if not groups:
+        groups = [spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))]
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
+    if "review_id" in schema.names:
         others = [c for c in schema.names if c != "review_id"]
-        df = df.withColumn("review_id", F.xxhash64(*others))
-    return df
+        df = df.withColumn("review_id", F.coalesce("review_id", F.xxhash64(*others)))
+    last = [c for c in df.columns if c != CORRUPT]
+    return df.select(*last, CORRUPT) if corrupt else df.select(*last)
+
+
+def corrupt_rows(reviews: DataFrame) -> DataFrame:
+    """One row: how many rows were read, and how many of them corrupt (``reviews`` with ``_corrupt``)."""
+    # Spark reads the corrupt column only beside others: the hash, always above the least long, is of all of them
+    read = F.xxhash64(*[c for c in reviews.columns if c != CORRUPT]) >= F.lit(-(1 << 63))
+    return reviews.agg(
+        F.count(F.when(read, 1)).alias("rows"), F.count(F.when(read & F.col(CORRUPT).isNotNull(), 1)).alias("corrupt")
+    )
 
 
 def write_reviews_csv(df: DataFrame, path: str, mode: str = "error") -> None:
@@ -71,6 +130,13 @@ def write_reviews_csv(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def land_parquet(df: DataFrame, path: str, mode: str = "error") -> DataFrame:
-    """Write ``df`` as Parquet and return a reader over the written files."""
+    """Write ``df`` as Parquet and return a reader over the written files.
+
+    For each review text the table gets ``has_summary`` and ``has_detail``, so that later
+    filters on their presence read no text.
+    """
+    for name in ("summary", "detail"):
+        if f"review_{name}" in df.columns:
+            df = df.withColumn(f"has_{name}", F.col(f"review_{name}").isNotNull())
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path)

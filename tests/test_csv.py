@@ -2,7 +2,7 @@
 
 import os
 
-from reviewlens.sources.csv import land_parquet, read_reviews_csv, write_reviews_csv
+from reviewlens.sources.csv import CORRUPT, corrupt_rows, land_parquet, read_reviews_csv, write_reviews_csv
 from reviewlens.sources.fixtures import reviews_view
 
 from conftest import SF_SMALL
@@ -58,3 +58,48 @@ def test_single_line_mode_splits_large_files(spark, tmp_dir):
         assert single.subtract(multi).count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_with_their_own_headers(spark, tmp_dir):
+    """Column order differs between files; one has a column of its own; one lacks some."""
+    texts = {
+        "a.csv": "reviewer,rating,review_summary\nann,8,ok\n",
+        "b.csv": "Rating,review_summary,Reviewer,color\n3,no,bob,red\n",
+        "c.csv": "reviewer\ncid\n",
+        "d.csv": "",
+    }
+    for name, text in texts.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    got = {(r.reviewer, r.rating, r.review_summary) for r in read_reviews_csv(spark, tmp_dir).collect()}
+    assert got == {("ann", 8.0, "ok"), ("bob", 3.0, "no"), ("cid", None, None)}
+    more = read_reviews_csv(spark, tmp_dir, extra=True)
+    assert {(r.reviewer, r.color) for r in more.collect()} == {("ann", None), ("bob", "red"), ("cid", None)}
+
+
+def test_ragged_rows_are_kept_and_counted(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "r.csv")
+    with open(path, "w") as f:
+        f.write("reviewer,rating\nann,8\nbob,7,extra\ncid\n")
+    df = read_reviews_csv(spark, path, corrupt=True)
+    got = {r.reviewer: r[CORRUPT] for r in df.collect()}
+    assert got == {"ann": None, "bob": "bob,7,extra", "cid": "cid"}
+    assert tuple(corrupt_rows(df).first()) == (3, 2)
+
+
+def test_malformed_ids_are_replaced(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "r.csv")
+    with open(path, "w") as f:
+        f.write("review_id,reviewer\nA17,x\n2,y\n,z\n")
+    ids = {r.reviewer: r.review_id for r in read_reviews_csv(spark, path).collect()}
+    assert ids["y"] == 2 and None not in ids.values() and len(set(ids.values())) == 3
+
+
+def test_landed_presence_is_read_instead_of_texts(spark, tmp_dir):
+    from reviewlens.plans.helpfulness import helpfulness
+
+    view = reviews_view(spark, SF_SMALL)
+    landed = land_parquet(view, os.path.join(tmp_dir, "t"))
+    rates = helpfulness(landed).rates
+    assert "review_detail" not in rates._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, rates.collect())) == sorted(map(tuple, helpfulness(view).rates.collect()))

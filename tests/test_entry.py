@@ -2,6 +2,9 @@
 
 import __spark_entry__ as E
 
+from reviewlens.plans.catalog import QUERIES
+from reviewlens.plans.oracle import ORACLE
+
 
 def test_entry_runs(spark):
     df = E.entry(spark)
@@ -19,15 +22,12 @@ def test_entry_runs(spark):
 
 def test_oracle_keys_are_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {
+    assert set(ORACLE) <= set(QUERIES) <= set(E.queries())
+    tuned = {f"tune_{m}{s}" for m in ("lr", "svc", "rf", "mlp") for s in ("", "_summary")}
+    assert set(QUERIES) - set(ORACLE) == tuned | {
         "embed_summary",
         "embed_detail",
         "embed_both",
-        "tune_lr",
-        "tune_svc",
-        "tune_rf",
-        "tune_mlp",
         "compare_models",
         "compare_feature_sets",
     }

@@ -27,12 +27,20 @@ def brute_auc(rows):
 
 def test_auc_exact(spark):
     df, rows = scored(spark)
-    got = M.auc(df, "y", "score", ranges=7).first()["auc"]
+    got = M.auc(df, "y", "score").first()["auc"]
     assert got == pytest.approx(brute_auc(rows), abs=1e-12)
     ev = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="score", numBins=0).evaluate(df)
     assert got == pytest.approx(ev, abs=1e-12)
-    # independent of the number of ranges
-    assert M.auc(df, "y", "score", ranges=2).first()["auc"] == pytest.approx(got, abs=1e-15)
+    # independent of how rows are dealt
+    assert M.auc(df.repartition(7), "y", "score").first()["auc"] == pytest.approx(got, abs=1e-15)
+
+
+def test_auc_of_very_many_rows(spark):
+    """Class totals whose product is beyond 64 bits."""
+    counts = [(2 * 10**9, 10**9, 0), (10**9, 2 * 10**9, 10**9)]
+    df = spark.createDataFrame(counts, "pos long, neg long, below long")
+    want = sum(p * (2 * b + n) for p, n, b in counts) / (2 * 3 * 10**9 * 3 * 10**9)
+    assert M.auc_of_counts(df).first()["auc"] == pytest.approx(want, rel=1e-12)
 
 
 def test_auc_one_class_is_null(spark):
@@ -57,10 +65,12 @@ def test_f1_with_missing_prediction_class(spark):
     assert M.weighted_f1(cm).first()["f1"] == pytest.approx(ev.evaluate(df), abs=1e-12)
 
 
-def test_auc_has_no_single_partition_step_over_rows(spark):
+def test_auc_reads_one_table_and_broadcasts_range_totals(spark):
     df, _ = scored(spark)
-    plan = M.auc(df, "y", "score", ranges=4)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    plan = M.auc(df, "y", "score")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LocalTableScan" not in plan and "Scan ExistingRDD" not in plan
+    windows = [x for x in plan.splitlines() if " Window " in x or x.strip().startswith("+- Window")]
+    assert any("[r#" in x for x in windows)  # the running sum is inside a range
 
 
 def test_accuracy_and_f1_together(spark):

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from reviewlens.operators.models import SPECS, param_grid, params_text
 from reviewlens.plans.sentiment import prepare_features, run_section
@@ -106,3 +107,40 @@ def test_parallel_tuning_equals_sequential(feats):
     a = tune(SPECS["logistic_regression"], feats.train, feats.n_features, feats.k, grid, parallelism=1)
     b = tune(SPECS["logistic_regression"], feats.train, feats.n_features, feats.k, grid, parallelism=4)
     assert a.avg == b.avg and a.std == b.std and a.best_params == b.best_params
+
+
+def test_held_out_reads_are_one_folder(feats):
+    plan = feats.train.filter("fold = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_no_exchange_of_texts(spark):
+    f = prepare_features(separable(spark), "summary", k=3, dim=4, num_partitions=1, persist=False)
+    assert "Exchange" not in f.train._jdf.queryExecution().executedPlan().toString()
+
+
+def test_study_leaves_nothing_behind(spark):
+    import os
+
+    from reviewlens.plans.sentiment import run_study
+    from reviewlens.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    left = lambda: {n for n in os.listdir(base) if n.startswith("features-")}
+    before = left()
+    run_study(separable(spark), ["summary"], ["logistic_regression"], SMALL, k=3, dim=4, num_partitions=1)
+    assert left() == before
+
+
+def test_learned_at_the_registered_partitions(spark):
+    f = prepare_features(separable(spark, 400), "summary", k=3, dim=16)
+    report = {r.metric: r.value for r in run_section(f, ["logistic_regression"], grids=SMALL, parallelism=2).report.collect()}
+    assert report["areaUnderROC"] > 0.8
+    f.close()
+    assert f.paths == []
+
+
+def test_rows_without_an_id_are_used(spark):
+    df = separable(spark).withColumn("review_id", F.when(F.col("review_id") % 4 != 0, F.col("review_id")))
+    f = prepare_features(df, "summary", k=3, dim=4, num_partitions=1)
+    assert f.train.count() + f.test.count() == 160 and f.train.filter("review_id is null").count() == 0

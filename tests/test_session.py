@@ -1,5 +1,8 @@
 """Shared-folder handling and plan shapes the scale design relies on."""
 
+import os
+import tempfile
+
 import pytest
 
 from reviewlens import session as S
@@ -48,7 +51,22 @@ def test_named_checkpoint_dir_is_used():
 
 def test_local_fallback_only_when_unset():
     s = _Session("local[2]", {})
-    assert S.ensure_checkpoint_dir(s).startswith("/tmp")
+    assert S.ensure_checkpoint_dir(s).startswith(tempfile.gettempdir())
+
+
+def test_local_cluster_is_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.ensure_checkpoint_dir(_Session("local-cluster[2,1,1024]", {}))
+
+
+def test_written_partitions_are_pruned_and_removed(spark):
+    path = S.shared_path(spark, "probe")
+    df = S.written(spark.range(30).selectExpr("id", "cast(id % 3 as int) as part"), path, "part")
+    assert df.columns == ["id", "part"] and df.filter("part = 1").count() == 10
+    assert "PartitionFilters: [isnotnull(part" in df.filter("part = 1")._jdf.queryExecution().executedPlan().toString()
+    assert all(path.replace("file:", "") in f for f in df.inputFiles())
+    S.remove_path(spark, path)
+    assert not os.path.exists(path.replace("file:", ""))
 
 
 def test_materialize_writes_below_checkpoint_dir(spark):

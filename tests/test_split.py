@@ -53,3 +53,17 @@ def test_check_classes(spark):
         check_classes(df, "y", by="fold", groups=4)
     with pytest.raises(ValueError):
         with_folds(df, 1)
+
+
+def test_no_row_is_lost_without_a_key(spark):
+    rows = [(None if i % 3 == 0 else i, f"text {i % 40}") for i in range(600)]
+    df = spark.createDataFrame(rows, "review_id long, t string")
+    train, test = hash_split(df)
+    assert train.count() + test.count() == 600
+    sides = with_split(df)
+    assert sides.filter("split = 'train'").count() == train.count()
+    assert sides.filter("review_id is null").select("split").distinct().count() == 2
+    folds = with_folds(df, 5)
+    assert folds.filter("fold is null").count() == 0
+    per_text = folds.filter("review_id is null").groupBy("t").agg(F.countDistinct("fold").alias("n"))
+    assert per_text.filter("n > 1").count() == 0  # equal rows share a fold

@@ -90,11 +90,14 @@ def test_missing_text_column(spark):
         require(df, ["review_summary"])
 
 
-def test_train_partitions_follow_vocabulary():
-    assert TX.train_partitions(8, {"t": 400}, 100) == 8
-    assert TX.train_partitions(8000, {"t": 1_000_000}, 100) == (64 << 30) // (1_000_000 * 800)
-    assert TX.train_partitions(8000, None, 100) == 64
-    assert TX.train_partitions(8000, {"t": 10**9}, 100) == 1
+def test_training_settings_are_fixed_arguments(spark):
+    import inspect
+
+    have = inspect.signature(TX.fit_features).parameters
+    assert have["num_partitions"].default == 8 and have["max_iter"].default == 1
+    assert have["vocab_budget_bytes"].default is None
+    stage = TX.feature_pipeline(["t"], num_partitions=3, max_iter=2).getStages()[-1]
+    assert (stage.getNumPartitions(), stage.getMaxIter()) == (3, 2)
 
 
 def test_vocabulary_sizes_one_pass(spark):
@@ -104,28 +107,3 @@ def test_vocabulary_sizes_one_pass(spark):
     assert sizes == {"a": 2, "b": 2}
     assert sizes["a"] == TX.vocabulary(df, "a", 5).count()
     assert TX.vocabulary_sizes(df, ["a"], min_count=50) == {"a": 0}
-
-
-@pytest.mark.parametrize("cols", [["a"], ["a", "b"]])
-def test_embed_by_join_equals_transform(spark, cols):
-    rows = [(i, "alpha beta gamma word%d" % i, "delta epsilon alpha the") for i in range(30)]
-    rows += [(98, "the a", "epsilon"), (99, "", "zeta")]
-    df = spark.createDataFrame(rows, "review_id long, a string, b string")
-    model = TX.fit_features(df, cols, dim=6, min_count=5, num_partitions=1)
-    direct = {r.review_id: list(r.features) for r in TX.embed(model, df, ["review_id"]).collect()}
-    joined = {r.review_id: list(r.features) for r in TX.embed(model, df, ["review_id"], broadcast_limit_bytes=1).collect()}
-    assert direct.keys() == joined.keys()
-    for k in direct:
-        assert joined[k] == pytest.approx(direct[k], abs=1e-9), k
-
-
-def test_embed_by_join_with_shared_keys(spark):
-    rows = [(i, "alpha beta gamma word%d" % i) for i in range(30)]
-    rows += [(7, "alpha beta gamma word7")] * 5 + [(7, "alpha alpha delta")]  # copies and a different text
-    df = spark.createDataFrame(rows, "review_id long, a string")
-    model = TX.fit_features(df, ["a"], dim=6, min_count=5, num_partitions=1)
-    direct = sorted((r.review_id, tuple(r.features)) for r in TX.embed(model, df, ["review_id"]).collect())
-    joined = sorted((r.review_id, tuple(r.features)) for r in TX.embed(model, df, ["review_id"], broadcast_limit_bytes=1).collect())
-    assert len(joined) == len(direct) == len(rows)
-    for (k1, v1), (k2, v2) in zip(direct, joined):
-        assert k1 == k2 and list(v2) == pytest.approx(list(v1), abs=1e-9)

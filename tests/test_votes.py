@@ -18,6 +18,15 @@ ROWS = [
 ]
 
 
+FRACTIONS = [(".5,-.25", 0, 0), ("+.9, .1 ", 0, 0), (".,-", None, None), ("5.,1.0", 5, 1)]
+
+
+def test_bare_fractions_are_zero(spark):
+    df = spark.createDataFrame([(t,) for t, _, _ in FRACTIONS], "helpful_str string")
+    got = [(r.helpful_str, r.helpful_votes, r.non_helpful_votes) for r in V.parse_votes(df).collect()]
+    assert got == FRACTIONS
+
+
 def votes_df(spark):
     return spark.createDataFrame(ROWS, "reviewer string, helpful_str string")
 
@@ -127,3 +136,14 @@ def test_helpfulness_report_written_as_parquet(spark, tmp_dir):
     assert set(paths) == {"net_votes", "review_counts", "helpful_rates", "top_net", "bottom_net", "top_rate", "bottom_rate"}
     assert spark.read.parquet(paths["helpful_rates"]).count() == h.rates.count()
     assert spark.read.parquet(paths["top_rate"]).count() <= 20
+
+
+def test_report_is_written_from_one_scan(spark, tmp_dir):
+    import os
+
+    h = helpfulness(votes_df(spark), complete_only=False)
+    paths = h.write(os.path.join(tmp_dir, "report"))
+    for name, df in h.tables().items():
+        assert sorted(map(str, spark.read.parquet(paths[name]).collect())) == sorted(map(str, df.collect())), name
+    once = spark.read.parquet(os.path.join(tmp_dir, "report", "reviewers"))
+    assert once.count() == votes_df(spark).select("reviewer").distinct().count()
