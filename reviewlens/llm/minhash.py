@@ -9,15 +9,18 @@ values a pair at the default threshold is missed with a chance below one in a mi
 Steps, all of them on narrow rows but for the two that read sets:
 
 1. Documents with equal sets form a class, so copies cost one row from here on.
-2. In each bucket the member that meets the most others is the pivot; candidate pairs
-   are (pivot, member), linear in the bucket.  They are compared on full sets, and what
-   differs is kept: a bit for each of the pivot's shingles, and the member's others.
+2. In each bucket the member that meets the most others is the pivot, and every class has a
+   best pivot over its buckets.  Candidate pairs are (best pivot, class): one a class.  They
+   are compared on full sets, and what differs is kept: a bit for each of the pivot's
+   shingles, and the member's others.
 3. Components of the links found (labels and pointer jumping, written each round).
-4. Members of a bucket that are in another component than its pivot may still be linked to
-   one another member.  They are held against all members of their pivot in blocks: the
-   bits give the common shingles of the pivot, and shingles that no other member has cannot be
-   shared, so few pairs need a look at the rest.  The comparison is exact, nothing is capped,
-   and a task returns one link for two components that it joins, not all pairs.
+4. Where a bucket still holds several components and its members have several best pivots,
+   they are compared with the bucket's own pivot, too; components again.
+5. So members of a bucket that are in different components now have a pivot in common.  All
+   members of such a pivot are held against those in another component than it, in blocks:
+   the bits give the common shingles of the pivot, and shingles that no other member has
+   cannot be shared, so few pairs need a look at the rest.  The comparison is exact, nothing
+   is capped, and a task returns one link for two components that it joins, not all pairs.
 
 Edge cases: a text without words (or null) has an empty set and is linked with nothing;
 a row without a ``doc_id`` has no identity, is linked with nothing and kept; repeated
@@ -377,30 +380,42 @@ def near_duplicates(
     full = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = materialize(entries.join(full, "bucket"), "minhash-buckets")
 
-    # the pivot of a bucket meets the most others in all of its buckets
+    # the pivot of a bucket meets the most others in all of its buckets; a class takes the best pivot of its buckets
     degree = shared.groupBy("set_key").agg(F.sum("members").alias("degree"))
-    ranked = shared.join(degree, "set_key")
-    pivots = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "set_key")).alias("p"))
-    pivots = pivots.select("bucket", F.col("p.set_key").alias("pivot"))
-    star = (
-        shared.join(pivots, "bucket")
-        .filter(F.col("pivot") != F.col("set_key"))
-        .select(F.col("pivot").alias("a"), F.col("set_key").alias("b"))
-        .distinct()
-    )
+    ranked = shared.select("bucket", "set_key").join(degree, "set_key")
+    pivots = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "set_key")).alias("pivot"))
+    members = shared.select("bucket", "set_key").join(pivots, "bucket")
+    best = members.groupBy("set_key").agg(F.max("pivot").alias("best"))
+    members = materialize(members.join(best, "set_key"), "minhash-members")
+    star = members.select(F.col("best.set_key").alias("a"), F.col("set_key").alias("b")).filter("a != b").distinct()
     star = materialize(star, "minhash-star")
     release(docs.sparkSession)
     wanted = shared.select(F.col("rep").alias("doc_id"), "set_key").distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    texts = texts.join(wanted.select("doc_id"), "doc_id", "left_semi")
+    texts = texts.join(wanted.select("doc_id").hint("merge"), "doc_id", "left_semi")
     sets = full_sets(texts, size).join(wanted.select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"])
     sets = materialize(sets, "minhash-sets")
     release(docs.sparkSession)
+    near = _similar(F.col("a_n"), F.col("b_n"), F.col("both"), percent)
     compared = materialize(compare(star, sets), "minhash-compared")
     release(docs.sparkSession)
-    near = _similar(F.col("a_n"), F.col("b_n"), F.col("both"), percent)
+    labels = components(compared.filter(near).select("a", "b"))
+
+    # buckets with several components and no pivot common to all members
+    placed = _with_component(members, labels)
+    other = (F.col("set_key") != F.col("ref.set_key")) & (F.col("best.set_key") != F.col("ref.set_key"))
+    refs = members.groupBy("bucket").agg(F.max("best").alias("ref"))
+    loose = placed.join(refs, "bucket").groupBy("bucket").agg(
+        F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(other).alias("other")
+    )
+    loose = loose.filter("other and x != y").select("bucket")
+    again = members.join(loose, "bucket", "left_semi").select(F.col("pivot.set_key").alias("a"), F.col("set_key").alias("b"))
+    again = materialize(again.filter("a != b").distinct().join(star, ["a", "b"], "left_anti"), "minhash-star")
+    if not again.isEmpty():
+        compared = materialize(compared.union(compare(again, sets)), "minhash-compared")
+        release(docs.sparkSession)
+        labels = components(compared.filter(near).select("a", "b"))
     links = compared.filter(near).select("a", "b")
-    labels = components(links)
     more = materialize(links_beside_pivots(compared, labels, percent), "minhash-links")
     if not more.isEmpty():
         labels = components(links.union(more))
