@@ -378,6 +378,7 @@ def near_duplicates(
     )
     entries = classes.select("set_key", "rep", F.explode("bands").alias("bucket"))
     full = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    full = materialize(full, "minhash-full")
     shared = materialize(entries.join(full, "bucket"), "minhash-buckets")
 
     # the pivot of a bucket meets the most others in all of its buckets; a class takes the best pivot of its buckets
@@ -423,6 +424,7 @@ def near_duplicates(
     placed = _with_component(prints.select("doc_id", "hash", "n_shingles", "set_key"), labels)
     lowest = placed.filter(F.col("doc_id").isNotNull() & F.col("comp").isNotNull())
     lowest = lowest.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    lowest = materialize(lowest, "minhash-lowest")  # as a table, so that the join below can split a hot component
     linked = F.when(F.col("doc_id").isNotNull(), F.col("comp"))
     named = placed.withColumn("comp", linked).join(lowest, "comp", "left")
     return named.select(

@@ -256,6 +256,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, block: int = BLOCK) ->
         F.count(F.lit(1)).alias("total"), F.min("id").alias("x"), F.max("id").alias("y")
     )
     anchors = anchors.filter("total > 1").select("anchor", (F.col("x") == F.col("y")).alias("settled"))
+    anchors = materialize(anchors, "passage-anchors")  # as a table, so that the join below can split a hot anchor
     kept = materialize(found.join(anchors, "anchor"), "passage-candidates")
     release(rows.sparkSession)
 

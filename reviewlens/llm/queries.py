@@ -56,6 +56,67 @@ def q_url_trust(spark: SparkSession, sf: str) -> DataFrame:
     return url_trust.judge_urls(table(spark, sf, "pages"), URL_RULES)
 
 
+def _url_oracle(rounds: int = 60) -> str:
+    """Rules by length, then trust and distrust by rounds of the same flow, written out."""
+    upper, lower = url_trust.UPPER, url_trust.LOWER
+
+    def host(url: str) -> str:
+        return f"translate(coalesce(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), ''), '{upper}', '{lower}')"
+
+    def decided(host: str, path: str, what: str) -> str:
+        cases = []
+        for verdict, rule in sorted(URL_RULES, key=lambda r: -len(r[1])):
+            name, slash, rest = rule.partition("/")
+            fits = f"({host} = '{name}' or ends_with({host}, '.{name}')) and starts_with({path}, '{slash}{rest}')"
+            cases.append(f"when {fits} then '{rule if what == 'rule' else verdict}'")
+        return "case " + " ".join(cases) + " end"
+
+    link, other = url_trust.LINK.replace("'", "''"), url_trust.NOT_LINKS.replace("'", "''")
+    steps = []
+    for i in range(1, rounds + 1):
+        steps.append(
+            f"s{i} as materialized (select b.host, b.trust + {url_trust.DAMPING} * coalesce(t.t, 0) as trust, "
+            f"b.distrust + {url_trust.DAMPING} * coalesce(t.d, 0) as distrust from s0 b left join ("
+            "select e.dst as host, sum(case when way > 0 then trust * share end) as t, "
+            f"sum(case when way < 0 then distrust * share end) as d from edges e join s{i - 1} s on e.src = s.host "
+            "group by e.dst) t on b.host = t.host)"
+        )
+    return f"""
+with p as (
+  select page_id, html, {host('url')} as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
+j as (select page_id, host, path, {decided('host', 'path', 'rule')} as rule, {decided('host', 'path', 'verdict')} as ruled from p),
+found as (
+  select host as src, unnest(regexp_extract_all(regexp_replace(html, '{other}', ' ', 'g'), '{link}', 1)) as url
+  from p where host <> ''),
+l as materialized (
+  select src, dst, count(*) as n from (
+    select src, {host("case when starts_with(url, '//') then 'x:' || url else url end")} as dst from found) t
+  where dst <> '' and src <> dst group by all),
+own as (
+  select host, case when 2 * sum((ruled = 'allow')::int) > count(*) then 1
+                    when 2 * sum((ruled = 'block')::int) > count(*) then -1 else 0 end as seed
+  from (select host, coalesce(ruled, '') as ruled from j where host <> '') t group by host),
+linked as (
+  select distinct dst as host, case {decided('dst', "'/'", 'verdict')} when 'allow' then 1 when 'block' then -1 else 0 end as seed
+  from l where dst not in (select host from own)),
+s0 as materialized (
+  select host, (seed > 0)::int::double as trust, (seed < 0)::int::double as distrust
+  from (select * from own union all select * from linked) t),
+edges as materialized (
+  select l.src, l.dst, 1 as way, l.n / o.total as share from l join (select src, sum(n) as total from l group by src) o on l.src = o.src
+  union all
+  select l.dst, l.src, -1, l.n / o.total from l join (select dst, sum(n) as total from l group by dst) o on l.dst = o.dst),
+{', '.join(steps)},
+bad as (select host from s{rounds} where distrust >= {url_trust.MIN_DISTRUST} and distrust > trust)
+select page_id, host, path, rule,
+       coalesce(ruled, case when host in (select host from bad) then 'block' else 'allow' end) as verdict from j
+"""
+
+
+ORACLE["op1_url_trust"] = _url_oracle()
+
+
 @register("op2_site_templates")
 def q_html_text(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
@@ -132,6 +193,27 @@ def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"), size=3, percent=85).drop("hash")
 
 
+ORACLE["op9_minmax"] = f"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_trust.UPPER}', '{url_trust.LOWER}'),
+                                    '[^\\x20\\x09-\\x0D]+') as words from documents),
+g as (
+  select doc_id, list_distinct(
+    case when len(words) >= 3 then list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+         when len(words) > 0 then [array_to_string(words, ' ')] else [] end) as grams from w),
+n as (select doc_id, cast(len(grams) as bigint) as n_shingles from g),
+s as (select doc_id, unnest(grams) as gram from g),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.gram = b.gram and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b
+  where 100 * c >= 85 * (x.n_shingles + y.n_shingles - c)),
+ways as (select a, b from links union all select b, a from links),
+reach as (select doc_id, doc_id as other from n union select reach.doc_id, ways.b from reach join ways on ways.a = reach.other),
+lowest as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, n_shingles, component_id, doc_id = component_id as kept from n join lowest using (doc_id)
+"""
+
+
 @register("op10_packing")
 def q_packing(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
