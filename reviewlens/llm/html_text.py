@@ -72,7 +72,7 @@ WORDS = frozenset(
     "promotion sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies "
     "consent gdpr notice notices newsletter subscribe subscription signup popup modal overlay share sharing social "
     "related recommended comment comments commentlist disqus respond replies widget widgets toolbar pagination pager "
-    "login copyright header banner skip".split()
+    "login copyright header banner skip alert alerts announcement disclaimer paywall".split()
 )
 
 TOKEN = re.compile(
