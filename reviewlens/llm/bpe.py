@@ -35,7 +35,7 @@ from reviewlens.llm.hashing import Hashes
 
 TOKENIZER = "word_bpe_49k.json"
 #: Chunks in the table before it starts anew: memory (about 45 bytes each), not results.
-CACHE_ENTRIES = 2_000_000
+CACHE_ENTRIES = 1_000_000
 #: Code points of text worked on at once.
 STRETCH = 1_000_000
 #: Symbols of a matrix of fragments.

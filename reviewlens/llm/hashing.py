@@ -8,7 +8,7 @@ import numpy as np
 
 SEED = 5
 #: Bytes for which powers are kept.
-STRETCH = 2_000_000
+STRETCH = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -40,7 +40,7 @@ STEPS = 350
 BATCH = 256
 SEED = 3
 #: Windows predicted at once.
-AT_ONCE = 4096
+AT_ONCE = 2048
 #: Symbol of the places behind the end of a text; its update gate is held open, so it changes no state.
 PAD = 256
 HELD = 30.0

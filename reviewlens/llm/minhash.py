@@ -53,7 +53,7 @@ SEED = 11
 TASK_ROWS = 3000
 SIDE_BITS = 1 << 22
 #: Bytes of text worked on at once.
-STRETCH = 4_000_000
+STRETCH = 1_000_000
 
 # The white space of the word pattern [^\x20\x09-\x0D]+, and A-Z to a-z.
 WHITE = bytes([0x20, *range(0x09, 0x0E)])

@@ -55,7 +55,7 @@ BLOCK = 32
 SHARD_SYMBOLS = 1 << 19
 CORE_SYMBOLS = 1 << 21
 #: Bytes of text worked on at once.
-STRETCH = 2_000_000
+STRETCH = 1_000_000
 #: Low bits of an ordering key that hold the place (leftmost of equal hashes first).
 PLACE_BITS = 30
 
