@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
 from pyspark.sql import SparkSession
@@ -24,3 +25,10 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of steps whose results are written tables by now."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after their tasks, idle ones too."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+    if trim:
+        trim(0)

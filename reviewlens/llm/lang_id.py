@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.llm.common import give_back
+
 UNDETERMINED = "und"
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
 FOLDS = 5
@@ -260,6 +262,7 @@ def identify(text: Column | str, model: Model | None) -> Column:
     @F.arrow_udf("lang_pred string, score double")
     def label(texts: pa.Array) -> pa.Array:
         lang, score = predict(model, texts.cast(pa.binary()).to_pylist())
+        give_back()
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score)], ["lang_pred", "score"])
 
     return label(F.col(text) if isinstance(text, str) else text)

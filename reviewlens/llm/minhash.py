@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import release
+from reviewlens.llm.common import give_back, release
 from reviewlens.llm.hashing import mix
 from reviewlens.session import materialize
 
@@ -195,6 +195,7 @@ def fingerprint(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame
                     ["doc_id", "hash", "n_shingles", "set_key", "bands"],
                 )
                 at += len(some)
+        give_back()
 
     body = F.col(text).cast("string")
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("hash"), body.alias("text"))
@@ -218,6 +219,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
                     pa.array(np.append(starts, len(sets)), pa.int32()), pa.array(sets.view(np.int64))
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), lists], ["set_key", "shingles"])
+        give_back()
 
     return docs.select("text").mapInArrow(run, "set_key binary, shingles array<long>")
 
@@ -258,6 +260,7 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 ],
                 ["a", "b", "a_n", "b_n", "both", "bits", "extra"],
             )
+        give_back()
 
     schema = "a binary, b binary, a_n long, b_n long, both long, bits binary, extra array<long>"
     return joined.select("a", "b", "a_set", "b_set").mapInArrow(run, schema)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.bpe import load, stretches
+from reviewlens.llm.common import give_back
 
 WINDOW = 2048
 END_ID = 1
@@ -174,6 +175,8 @@ def pack(
                 rows = []
         if rows:
             yield to_batch(rows)
+        bpe.known.clear()
+        give_back()
 
     def to_batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), arrow.types)], schema=arrow)

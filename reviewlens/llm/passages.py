@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import release
+from reviewlens.llm.common import give_back, release
 from reviewlens.llm.hashing import Hashes
 from reviewlens.llm.suffix_array import common_prefixes, suffix_array
 from reviewlens.session import materialize
@@ -133,6 +133,7 @@ def document_runs(rows: DataFrame, length: int) -> DataFrame:
                     ],
                     ["doc_id", "hash", "low", "windows", "ahead", "anchor", "id"],
                 )
+        give_back()
 
     return rows.mapInArrow(run, "doc_id long, hash long, low int, windows int, ahead int, anchor long, id long")
 
@@ -192,6 +193,7 @@ def string_pieces(rows: DataFrame, length: int, block: int = BLOCK) -> DataFrame
                     ],
                     ["anchor", "id", "at", "windows", "n", "core", "left", "right"],
                 )
+        give_back()
 
     schema = "anchor long, id long, at int, windows int, n long, core long, left binary, right binary"
     return rows.mapInArrow(run, schema)
@@ -229,7 +231,9 @@ def _by_suffix_array(pieces: DataFrame, shards: int, block: int) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         codes = pdf.groupby(["anchor", "core"], sort=False).ngroup().to_numpy()
-        return pdf[PIECE].assign(spans=repeated_windows(codes, pdf["left"].to_list(), pdf["right"].to_list(), block))
+        found = repeated_windows(codes, pdf["left"].to_list(), pdf["right"].to_list(), block)
+        give_back()
+        return pdf[PIECE].assign(spans=found)
 
     dealt = pieces.select(F.pmod(F.xxhash64("anchor", "core"), F.lit(shards)).alias("shard"), *PIECE)
     schema = "anchor long, core long, left binary, right binary, spans array<int>"
