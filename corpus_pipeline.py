@@ -19,15 +19,23 @@ from reviewlens.llm import lang_id, minhash, packing, passages
 from reviewlens.llm.common import small_batches
 from reviewlens.session import materialize
 
-#: Documents whose language is less certain than this are rejected.
+#: Documents whose language is less certain than this, or hardly above chance among many languages, are rejected.
 MIN_LANGUAGE_SCORE = 0.3
+ABOVE_CHANCE = 1.2
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language that the network tells; it is learnt from these documents."""
+    """Documents whose text has a language that the network tells; it is learnt from these documents.
+
+    Where no document says its language, nothing can be told, and documents with a letter stay.
+    """
     small_batches(spark)
-    told = docs.withColumn("__found", lang_id.identify("text", lang_id.learn(docs)))
-    known = (F.col("__found.lang_pred") != lang_id.UNDETERMINED) & (F.col("__found.score") >= MIN_LANGUAGE_SCORE)
+    model = lang_id.learn(docs)
+    if model is None:
+        return docs.filter(F.regexp_like("text", F.lit(r"\p{L}")))
+    told = docs.withColumn("__found", lang_id.identify("text", model))
+    least = min(MIN_LANGUAGE_SCORE, ABOVE_CHANCE / len(model.langs))
+    known = (F.col("__found.lang_pred") != lang_id.UNDETERMINED) & (F.col("__found.score") >= least)
     return told.filter(known).select(*docs.columns)
 
 

@@ -100,5 +100,7 @@ def test_stages_of_odd_rows(spark):
             assert stage(spark, docs, SF_SMALL).columns == docs.columns
     first = corpus_pipeline.STAGES[0][1](spark, docs, SF_SMALL)
     assert sorted(r["doc_id"] or 0 for r in first.collect()) == [0, 4, 4]
+    untold = corpus_pipeline.STAGES[0][1](spark, docs.withColumn("lang", F.lit(None).cast("string")), SF_SMALL)
+    assert sorted(r["doc_id"] or 0 for r in untold.collect()) == [0, 4, 4]
     second = corpus_pipeline.STAGES[1][1](spark, docs, SF_SMALL)
     assert sorted(r["doc_id"] or 0 for r in second.collect()) == [0, 1, 2, 3, 4]
