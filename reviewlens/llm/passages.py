@@ -297,6 +297,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, block: int = BLOCK) ->
     shift = lambda by: F.transform("spans", lambda s: s + F.col(by)).alias("spans")
     in_strings = pieces.join(spans, PIECE).select("anchor", "id", shift("at")).groupBy("anchor", "id")
     in_strings = in_strings.agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    in_strings = materialize(in_strings, "passage-in-strings")  # so that the join below can split a hot string
     unsettled = kept.filter("not settled").select("doc_id", "hash", "low", "anchor", "id").distinct()
     placed = unsettled.join(in_strings, ["anchor", "id"]).select("doc_id", "hash", shift("low"))
     settled = kept.filter("settled").select(
