@@ -13,8 +13,8 @@ longs give runs of equal k-mers (the occurrence numbers) and the smallest of eac
 
 The successor of each document in descending id order comes from a range-partitioned
 narrow table: neighbours inside a partition by a window, across partitions by the table
-of first rows (one a partition).  Texts are shuffled to find what each predecessor takes of
-them, which is written, and once more to meet what they take.
+of first rows (one a partition).  Texts are shuffled once by document (both joins read that
+shuffle), and once more the stretch of text that the predecessor needs.
 
 Edge cases: a null or empty text has an empty fingerprint, equal to other empty ones
 (likeness 1) and unlike all others (0); a text with fewer words than a k-mer is one
@@ -179,8 +179,6 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     taken = taken.select(
         "x_id", "x_hash", "next_id", "next_hash", "n_chars", F.substring(F.col("text"), F.lit(1), third).alias("taken")
     ).dropDuplicates(["x_id", "x_hash"])
-    taken = materialize(taken, "omh-taken")
-    release(docs.sparkSession)  # of this shuffle of the texts, before the next
     edited = same(rows, taken, ("x_id", "x_hash")).select(
         "doc_id",
         "hash",
@@ -201,7 +199,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         order_minhash("edited").alias("edited_tuples"),
     )
     printed = materialize(printed, "omh-signatures")
-    release(docs.sparkSession)
+    release(docs.sparkSession)  # of the shuffled texts, before the signatures are shuffled
     other = printed.select(F.col("doc_id").alias("y_id"), F.col("hash").alias("y_hash"), F.col("tuples").alias("next_tuples"))
     other = other.dropDuplicates(["y_id", "y_hash"])
     paired = printed.join(
