@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -12,8 +15,31 @@ BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
 
 
+#: Applications whose workers have the package.
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, as ``--py-files`` would; they may run where it is not on their path."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parents[2]
+    if context.applicationId in _SHIPPED or not (root / "reviewlens").is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="reviewlens-py-")) / "reviewlens.zip"  # Spark hands it out from the driver
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.glob("reviewlens/**/*.py")):
+            z.write(source, source.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Hold the session's Arrow batches to sizes that suit long texts (smaller settings stay)."""
+    """Ready the session for the operators' Python functions.
+
+    The workers get the package, and Arrow batches are held to sizes that suit long texts
+    (smaller settings stay).
+    """
+    ship_package(spark)
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{key}"
         now = int(str(spark.conf.get(name)).rstrip("b"))
