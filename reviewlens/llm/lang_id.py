@@ -5,7 +5,8 @@ probability for each language; a document's probabilities are the mean over the
 its letters, all windows of the whole text.  It is trained in numpy by backpropagation
 through time, on the driver, from a bounded sample: at most ``SAMPLE_TEXTS`` different texts
 a language, and of each ``PIECES`` stretches of ``PIECE_CHARS`` code points.  Sampling is done in
-Spark by text hash; rows whose id falls into the held-out fold are never read for it.
+Spark by text hash, at a share of the language's different texts, so that copies neither crowd
+the sample nor empty it; rows whose id falls into the held-out fold are never read for it.
 
 Prediction is a narrow Arrow function of the text alone: no shuffle, and a task holds one
 Arrow batch and ``AT_ONCE`` windows.
@@ -228,7 +229,9 @@ def training_pieces(docs: DataFrame, doc_id: str, text: str, lang: str) -> list[
     """The bounded sample: stretches of texts outside the held-out fold."""
     rows = docs.filter(F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & ~held_out(doc_id) & (F.length(text) > 0))
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
-    count = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # different texts, not rows: copies would press the share down
+    texts = rows.select("lang", "key").distinct()
+    count = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not count:
         return []
     # a share of the texts by hash that leaves about twice as many as wanted, then the smallest hashes

@@ -658,6 +658,18 @@ def test_language_edges(spark, docs, none):
     assert none.select(lang_id.identify("text", None)).collect() == []
 
 
+def test_copies_do_not_empty_the_sample(spark):
+    ids = F.col("id")
+    hot = F.when(ids < 60, F.concat(F.lit("another text "), ids.cast("string"))).otherwise("a hot text with many copies")
+    few = F.concat(F.lit("a small language "), (ids % 2).cast("string"))
+    docs = spark.range(40000).select(
+        ids.alias("doc_id"), F.when(ids < 20000, hot).otherwise(few).alias("text"), F.when(ids < 20000, "big").otherwise("few").alias("lang")
+    )
+    pieces = lang_id.training_pieces(docs, "doc_id", "text", "lang")
+    learnt = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60)) + 1
+    assert collections.Counter(lang for lang, _ in pieces) == {"big": learnt * lang_id.PIECES, "few": 2 * lang_id.PIECES}
+
+
 def test_padding_changes_nothing():
     model = lang_id.train([("a", b"some text here and there"), ("b", b"und noch etwas text dazu")], steps=3)
     text = np.frombuffer(b"some words", np.uint8).astype(np.int64)[None]
