@@ -8,6 +8,13 @@ tuples of the bins are the signature.  Equal tuples mean the same k-mers in the
 order, so the share of equal bins falls with the edit distance and not only with the
 overlap.  One hash evaluation a k-mer serves all bins.
 
+With ``whole`` every bin is a slot of its own over all k-mers of the text: a slot's order is that
+of the hashes less the bin's first value, modulo 2^64, so its smallest are the next ones on the
+ring of hashes, from later bins where its own has too few.  All 64 slots of a text with two
+k-mers hold an order then, however short it is; slots of a short text share tuples, which
+widens the spread of its likeness but not its mean.  Without ``whole`` a bin with one k-mer
+holds no order.
+
 Inside a row, hashes carry their place in their low bits, so that two sorts of plain
 longs give runs of equal k-mers (the occurrence numbers) and the smallest of each bin.
 
@@ -93,8 +100,8 @@ def _numbered(kmers: Column) -> Column:
     return F.when(n > 0, let(opens, number)).otherwise(kmers)
 
 
-def _tuples(numbered: Column) -> Column:
-    """``bin << 32 | hash of the bin's smallest in text order`` for each bin that has any."""
+def _tuples(numbered: Column, whole: bool = False) -> Column:
+    """``bin << 32 | hash of the bin's smallest in text order`` for each bin that has any; ``whole``: for each slot."""
     low = F.filter(
         numbered, lambda x, i: (i < KEEP) | (_bin(x) != _bin(F.get(numbered, i - KEEP)))
     )
@@ -105,8 +112,7 @@ def _tuples(numbered: Column) -> Column:
             lambda i: i.isNotNull(),
         )
 
-        def one(i: Column) -> Column:
-            own = F.filter(F.slice(low, i + 1, KEEP), lambda x: _bin(x) == _bin(F.get(low, i)))
+        def one(i: Column, own: Column) -> Column:
             # place first, for the sort; then the hash alone
             ordered = F.sort_array(
                 F.transform(
@@ -118,18 +124,37 @@ def _tuples(numbered: Column) -> Column:
             )
             mask = F.lit((1 << (63 - PLACE_BITS)) - 1)
             hashed = F.xxhash64(F.transform(ordered, lambda y: y.bitwiseAND(mask)))
-            return F.shiftleft(_bin(F.get(low, i)), 32).bitwiseOR(F.shiftrightunsigned(hashed, 32))
+            return F.shiftrightunsigned(hashed, 32)
 
-        return F.transform(heads, one)
+        def own_bin(i: Column) -> Column:
+            own = F.filter(F.slice(low, i + 1, KEEP), lambda x: _bin(x) == _bin(F.get(low, i)))
+            return F.shiftleft(_bin(F.get(low, i)), 32).bitwiseOR(one(i, own))
+
+        def slots(i: Column, j: Column, heads: Column) -> Column:
+            """The head's tuple for its bin and the empty ones before it, around the ring."""
+            size = F.size(low)
+            ring = F.transform(F.sequence(F.lit(0), F.least(F.lit(KEEP), size) - 1), lambda k: F.get(low, F.pmod(i + k, size)))
+            before = F.get(heads, F.pmod(j - 1, F.size(heads)))
+            gap = F.pmod(_bin(F.get(low, i)) - _bin(F.get(low, before)) - 1, F.lit(BINS)).cast("int")
+            fill = F.sequence(F.lit(0), gap)
+            at = lambda k: F.shiftleft(F.pmod(_bin(F.get(low, i)) - k, F.lit(BINS)), 32)
+            return let(one(i, ring), lambda t: F.transform(fill, lambda k: at(k).bitwiseOR(t)))
+
+        if whole:
+            return let(heads, lambda h: F.flatten(F.transform(h, lambda i, j: slots(i, j, h))))
+        return F.transform(heads, own_bin)
 
     return let(low, hash_bins)
 
 
-def order_minhash(text: Column | str) -> Column:
-    """``array<long>``: the signature's tuples, one a bin in use, with the bin's number in the high bits."""
+def order_minhash(text: Column | str, whole: bool = False) -> Column:
+    """``array<long>``: the signature's tuples, one a bin in use, with the bin's number in the high bits.
+
+    ``whole``: one a slot, each from all k-mers of the text.
+    """
     text = F.col(text) if isinstance(text, str) else text
     words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0))
-    return let(words, lambda w: let(_kmers(w), lambda k: let(_numbered(k), _tuples)))
+    return let(words, lambda w: let(_kmers(w), lambda k: let(_numbered(k), lambda n: _tuples(n, whole))))
 
 
 def fingerprint(tuples: Column | str) -> Column:
@@ -161,8 +186,8 @@ def successors(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "hash", "n_chars", "next.next_id", "next.next_hash")
 
 
-def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Signatures of each text and of its edited text.
+def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """Signatures (``whole``: see above) of each text and of its edited text.
 
     ``doc_id, n_chars, edited_sha256, tuples, edited_tuples, near_edited, near_next``.
     """
@@ -195,8 +220,8 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
         "next_hash",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        order_minhash("text").alias("tuples"),
-        order_minhash("edited").alias("edited_tuples"),
+        order_minhash("text", whole).alias("tuples"),
+        order_minhash("edited", whole).alias("edited_tuples"),
     )
     printed = materialize(printed, "omh-signatures")
     release(docs.sparkSession)  # of the shuffled texts, before the signatures are shuffled

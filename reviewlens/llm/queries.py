@@ -176,7 +176,7 @@ def q_passages(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("op8_order_minhash")
 def q_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
-    prints = order_minhash.fingerprint_documents(table(spark, sf, "documents"))
+    prints = order_minhash.fingerprint_documents(table(spark, sf, "documents"), whole=True)
     return prints.select(
         "doc_id",
         "n_chars",

@@ -1,6 +1,7 @@
 """Each operator against a brute-force form, on hand-made rows with every edge case, and on the small tables."""
 
 import collections
+import functools
 import hashlib
 import re
 import zlib
@@ -397,6 +398,55 @@ def test_order_minhash_falls_with_reordering(spark):
     assert r["same"] == 1.0 and r["moved"] < 0.8
 
 
+def reordered(words, half):
+    """Halves swapped, or the blocks of eight words in reverse order."""
+    if half:
+        return words[len(words) // 2 :] + words[: len(words) // 2]
+    return [w for a in range(len(words) - 8, -1, -8) for w in words[a : a + 8]]
+
+
+def whole_brute(text):
+    """Two smallest of all k-mers in each slot's own order, in text order (without repeated k-mers)."""
+    every = (1 << 64) - 1
+    chain = lambda parts: functools.reduce(lambda h, p: xxhash.xxh64_intdigest(p, seed=h), parts, 42)
+    words = [w.encode() for w in text.split()]
+    low, items = order_minhash.PLACE, []
+    for i in range(len(words) - 1):
+        gram = (chain(words[i : i + 2]) & ~low & every) >> order_minhash.PLACE_BITS
+        gram -= (gram >> 35) << 36  # the sign stays
+        items.append(chain([(gram & every).to_bytes(8, "little"), (0).to_bytes(4, "little")]) & ~low & every | i)
+    out = set()
+    for slot in range(64):
+        two = sorted(items, key=lambda v: (v - (slot << 58)) & every)[:2]
+        kept = [v >> 29 for v in sorted(two, key=lambda v: v & low)]
+        out.add(slot << 32 | chain([(v & (1 << 35) - 1).to_bytes(8, "little") for v in kept]) >> 32)
+    return out
+
+
+def test_slots_hold_the_order_of_short_texts(spark):
+    rows = [
+        (n, half, " ".join(words), " ".join(reordered(words, half)))
+        for n in (16, 32, 64)
+        for half in (True, False)
+        for words in ([f"t{i}w{j}" for j in range(n)] for i in range(100))
+    ]
+    df = spark.createDataFrame(rows, "n int, half boolean, a string, b string")
+    signed = df.select("n", "half", "a", *[order_minhash.order_minhash(c, whole=True).alias(f"{c}s") for c in "ab"])
+    for r in signed.filter("n = 16").limit(3).collect():
+        assert set(r["as"]) == whole_brute(r["a"]) and len(r["as"]) == 64
+    mean = signed.groupBy("n", "half").agg(F.avg(order_minhash.likeness("as", "bs")).alias("m"))
+    got = {(r["n"], r["half"]): r["m"] for r in mean.collect()}
+    assert all(m < 0.55 for (_, half), m in got.items() if half), got
+    assert got[64, False] < 0.15, got
+
+
+def test_query_takes_whole_slots(spark, tmp_path):
+    texts = [(1, "one two"), (2, "a b c d e f g h"), (3, None), (4, "w")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: len(r["fingerprint"]) for r in QUERIES["op8_order_minhash"](spark, str(tmp_path)).collect()}
+    assert got == {1: 640, 2: 640, 3: 0, 4: 640}
+
+
 def test_order_minhash_runs_no_python(spark):
     df = order_minhash.fingerprint_documents(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
     assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
