@@ -9,7 +9,10 @@ template, not paragraphs, headings, list items or cells: shared passages are tex
 
 Elements that are never article text by their meaning go as well: menus, headers, footers,
 sidebars, notices, adverts, forms, comments, scripts, styles and what is hidden, told by
-their names, roles and the words of their class and id.
+their names and roles.  A class or an id tells it for containers only, not for headings,
+paragraphs, items or cells, and never for one that holds the first-level heading or most of the
+text that counts (comments: all of it).  Inside an article a whole token must be listed; on a
+page without one the token's last word (``site-footer``, not ``social-history`` or ``no-sidebar``).
 
 A host has at most ``1 / MIN_SHARE`` times as many templates as a page has elements, so they
 travel as one array a host, through an equi-join that adaptive execution can split for a
@@ -75,6 +78,10 @@ WORDS = frozenset(
     "login copyright header banner skip alert alerts announcement disclaimer paywall".split()
 )
 
+#: May well be longer than the article.
+DISCUSSION = frozenset("comment comments commentlist disqus respond replies".split())
+NEGATED = frozenset("no has with without".split())
+
 TOKEN = re.compile(
     r"""<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z].*""", re.S
 )
@@ -84,13 +91,15 @@ WATCHED = ("class", "id", "role", "hidden", "style")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parts", "content", "mark")
+    __slots__ = ("tag", "attrs", "parts", "content", "mark", "size", "title")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.attrs = tag, attrs
         self.parts: list[Node | str] = []
         self.content = False  # holds an article or main element
         self.mark = 0  # hash of the subtree, 0 without text
+        self.size = -1  # code points of text that is not white space, once measured
+        self.title = False  # holds a first-level heading, once measured
 
 
 def parse(html: str) -> Node:
@@ -153,8 +162,36 @@ def _heading(node: Node) -> bool:
     return any(not isinstance(p, str) and (p.tag in ("h1", "h2") or _heading(p)) for p in node.parts)
 
 
-def boilerplate(node: Node, inside: bool) -> bool:
-    """Whether an element is no article text by its meaning; ``inside`` an article."""
+def measure(node: Node) -> int:
+    """Size of every element's text, and whether it holds a first-level heading."""
+    node.size, node.title = 0, node.tag == "h1"
+    for part in node.parts:
+        if isinstance(part, str):
+            node.size += len("".join(part.split()))
+        else:
+            node.size += measure(part)
+            node.title |= part.title
+    return node.size
+
+
+def articles_size(node: Node) -> int:
+    return node.size if _article(node) else sum(articles_size(p) for p in node.parts if not isinstance(p, str))
+
+
+def listed(attrs: dict[str, str], inside: bool) -> set[str]:
+    """The words of the list that a class or id says."""
+    found = set()
+    for token in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        words = [w.lower() for w in WORD.findall(token)]
+        if token.lower() in WORDS:
+            found.add(token.lower())
+        elif not inside and words and words[-1] in WORDS and words[0] not in NEGATED:
+            found.add(words[-1])
+    return found
+
+
+def boilerplate(node: Node, inside: bool, root: Node) -> bool:
+    """Whether an element of a page is no article text by its meaning; ``inside`` an article."""
     if node.tag in DROPPED:
         return True
     if node.tag == "header":
@@ -166,10 +203,18 @@ def boilerplate(node: Node, inside: bool) -> bool:
         return True
     if attrs.get("role", "").lower() in ROLES:
         return True
-    words = {w.lower() for w in WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
-    if node.tag in ("article", "main"):
-        return not words.isdisjoint(("comment", "comments", "ad", "advert", "advertisement", "sponsored"))
-    return not node.content and not words.isdisjoint(WORDS)
+    if _article(node):
+        return not listed(attrs, True).isdisjoint(("comment", "comments", "ad", "advert", "sponsored", "advertisement"))
+    if node.content or node.tag in PARAGRAPHS:
+        return False
+    words = listed(attrs, inside)
+    if not words:
+        return False
+    if root.size < 0:
+        measure(root)
+    whole = articles_size(root) if root.content else root.size
+    most = node.size >= whole if words <= DISCUSSION else 2 * node.size > whole
+    return not (node.title or most and node.size)
 
 
 def mark(node: Node) -> int:
@@ -238,7 +283,7 @@ def main_text(root: Node, templates: frozenset[int] | set[int]) -> str:
             block = part.tag in BLOCKS
             if block:
                 flush()
-            if not boilerplate(part, inside and only):
+            if not boilerplate(part, inside and only, root):
                 template = part.mark in templates and part.mark and not part.content
                 if not (template and not (inside and part.tag in PARAGRAPHS)):
                     visit(part, inside or _article(part))

@@ -633,6 +633,24 @@ def test_odd_pages(html, text):
     assert text_of(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<article><p>one two three</p><h2 id='related-work'>Related</h2><p class='notice-period'>N</p><ul><li class=share>S</ul></article>", "one two three\n\nRelated\n\nN\n\nS"),
+        ("<article><div class='article-header'><h1>H</h1></div><section id='social-history'>S</section><p>one two three</p></article>", "H\n\nS\n\none two three"),
+        ("<article><p>one two three four</p><div class='x share'>s</div><section id=Comments>c</section></article>", "one two three four"),
+        ("<div class='no-sidebar'><h1>H</h1><p>all of it</p></div>", "H\n\nall of it"),
+        ("<div class='page header-fixed'><p>all of it</p></div>", "all of it"),
+        ("<div class=banner><h1>H</h1></div><p>one two three</p><section id='social-history'>S</section><div class='site-footer'>f</div>", "H\n\none two three\n\nS"),
+        ("<div class=widget>most of the text of this page</div><p>tail</p>", "most of the text of this page\n\ntail"),
+        ("<article><p>short</p><div class=comments>much longer than the article itself</div></article>", "short"),
+        ("<article class='ad-hoc report'><p>a</p></article>", "a"),
+    ],
+)
+def test_class_words_drop_no_text_of_the_article(html, text):
+    assert text_of(html) == text
+
+
 def test_templates_are_what_recurs_across_different_pages_of_a_host(spark):
     def site(i, host, extra=""):
         return (i, f"http://{host}/p{i}", f"<body><div>Welcome to {host}</div><article><p>shared passage</p><p>text {i}</p><div>call us {extra}</div></article><div>tail</div></body>")
