@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import ann, bpe, html_text, lang_id, minhash, order_minhash, packing, passages, sharding, url_trust
+from reviewlens.llm import (
+    ann,
+    bpe,
+    filter_audit,
+    hard_negatives,
+    html_text,
+    lang_id,
+    minhash,
+    order_minhash,
+    packing,
+    passages,
+    piece_bpe,
+    sharding,
+    url_trust,
+)
 from reviewlens.llm.common import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,3 +234,97 @@ select doc_id, n_shingles, component_id, doc_id = component_id as kept from n jo
 def q_packing(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
     return packing.piece_digest(packing.pack(table(spark, sf, "documents")))
+
+
+@register("op11_piece_bpe")
+def q_piece_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    ids = table(spark, sf, "documents").select("doc_id", piece_bpe.encode("text").alias("ids"))
+    both = ids.select("doc_id", "ids", piece_bpe.decode("ids").alias("decoded"))
+    return both.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register("op12_filter_audit")
+def q_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    return filter_audit.audit_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def _audit_oracle() -> str:
+    """Each step of each order counted by itself; Shapley sums from the removals of all orders."""
+    letters = filter_audit.FILTERS
+    steps = []
+    for order in permutations(letters):
+        done = 0
+        for i, letter in enumerate(order, 1):
+            bit = 1 << letters.index(letter)
+            steps.append(f"('{''.join(order)}', {i}, {done}, {bit})")
+            done |= bit
+    return f"""
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+f as (select text, min(doc_id) as first from d group by text),
+l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+m as (
+  select part, (len(words) < 50)::int + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::int
+         + 4 * (100 * len(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * len(d.text))::int
+         + 8 * regexp_matches(d.text, '[#$%&*|]')::int + 16 * coalesce(d.doc_id > f.first, false)::int as mask,
+         coalesce(l.good, 0) as good, coalesce(l.toxic, 0) as toxic
+  from d join f on d.text = f.text left join l on d.doc_id = l.doc_id),
+c as (select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from m group by part, mask),
+steps(filter_order, step, done, bit) as (values {', '.join(steps)}),
+e as (
+  select part, filter_order, step, bit,
+         sum(case when mask & (done | bit) = 0 then n else 0 end) as kept,
+         sum(case when mask & done = 0 and mask & bit <> 0 then n else 0 end) as removed,
+         sum(case when mask & done <> 0 and mask & bit <> 0 then n else 0 end) as redundant,
+         sum(case when mask = bit then n else 0 end) as unique_fails,
+         sum(case when mask & done = 0 and mask & bit <> 0 then good else 0 end) as good_lost,
+         sum(case when mask & done = 0 and mask & bit <> 0 then toxic else 0 end) as toxic_lost
+  from c cross join steps group by all)
+select part, filter_order, cast(step as integer) as step,
+       kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+       good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+       cast(sum(removed) over (partition by part, bit) as bigint) as shapley
+from e
+"""
+
+
+ORACLE["op12_filter_audit"] = _audit_oracle()
+
+
+@register("op13_hard_negatives")
+def q_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    label = F.col("label").cast("decimal(20,0)")  # no overflow
+    changed = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf, "embeddings"), label=changed)
+
+
+ORACLE["op13_hard_negatives"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+         cast(list_sum(list_transform(list_zip(a.q, c.q), lambda t: t[1] * t[2])) as bigint) as score
+  from v a join v c on a.vec_id <> c.vec_id and len(a.q) = len(c.q) where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (
+  select p.anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+         cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as integer) as "rank"
+  from p join pairs x on x.anchor_id = p.anchor_id and not same
+  where 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, "rank", negative_id, positive_score, negative_score from n where "rank" <= 10
+"""
