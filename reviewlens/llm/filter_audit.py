@@ -10,9 +10,9 @@ removals of all ``k 2^(k-1)`` edges, and these give
 * each filter's Shapley sum: a forward pass counts the paths that reach every state, a backward
   pass those that leave it, and an edge counts as often as their product says.
 
-Spark reads the documents once (``failures``: one narrow Arrow function over whole texts), finds
-first copies by a shuffle of text digests that is summed before it moves, and counts documents by
-(part, failed set).  Nothing is bound to a part's size; the lattice is worked out for many parts
+Spark reads the documents once (``failures``: one narrow Arrow function over whole texts), finds the
+smallest id of each text from digests, and counts documents by (part, failed set), summed before
+they move.  Nothing is bound to a part's size; the lattice is worked out for many parts
 side by side, from at most ``2^k`` counts a part.
 
 Edge cases: a null text is an empty one; an empty text fails "under 50 words" and, unless it is the
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlens.session import materialize
+
 #: Filters in the order of their bits: few words, few different words, capitals, symbols, copy.
 FILTERS = "ABCDE"
 MIN_WORDS = 50
@@ -95,34 +97,27 @@ def failures(text: Column | str) -> Column:
     return of_batch(F.col(text) if isinstance(text, str) else text)
 
 
-def counted(df: DataFrame, keys: Sequence[str], **marks: Column) -> DataFrame:
-    """Rows, and rows with each mark, by ``keys``."""
-    sums = [F.sum(F.coalesce(m.cast("long"), F.lit(0))).alias(name) for name, m in marks.items()]
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums)
-
-
 def document_masks(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "source"
 ) -> DataFrame:
     """``part, mask, n, good, toxic``: documents by part and set of failed filters.
 
-    Copies of a text fail the same of A to D, so texts are told apart by their digest only: rows
-    are summed by (digest, part), split at the smallest id of the text.
+    Texts are told apart by their digest.  The rows of a text that are no copies are those with its
+    smallest id, so they are found by a join on digest and id together: the copies of a hot text
+    are dealt by their ids.  The narrow rows are written once, as several joins read them.
     """
     rows = docs.select(
         F.col(doc_id).alias("id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), failures(text).alias("f")
     ).select("id", "part", "f.mask", "f.digest")
-    said = labels.select(
-        F.col("doc_id").alias("of"), (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic")
-    )
-    said = said.filter(F.col("of").isNotNull()).groupBy("of").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
-    told = rows.join(said, rows["id"] == said["of"], "left").drop("of")
-    # one row a (text, part, id side): of a hot text a task passes on one row a part and first id it saw
-    each = counted(told, ["digest", "mask", "part", "id"], good=F.col("good"), toxic=F.col("toxic"))
-    first = each.groupBy("digest").agg(F.min("id").alias("first")).withColumnRenamed("digest", "of")
-    copy = F.coalesce(F.col("id") > F.col("first"), F.lit(False)).cast("int")
-    joined = each.join(first, each["digest"] == first["of"]).withColumn("mask", F.col("mask") + copy * (1 << FILTERS.index("E")))
-    return joined.groupBy("part", "mask").agg(*(F.sum(c).alias(c) for c in ("n", "good", "toxic")))
+    rows = materialize(rows, "audited")
+    said = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id"))
+    said = said.agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
+    first = rows.filter(F.col("id").isNotNull()).groupBy("digest").agg(F.min("id").alias("id")).withColumn("first", F.lit(True))
+    told = rows.join(said, "id", "left").join(first, ["digest", "id"], "left")
+    copy = (F.col("id").isNotNull() & F.col("first").isNull()).cast("int")
+    mark = lambda c: F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).alias(c)
+    masked = told.withColumn("mask", F.col("mask") + copy * (1 << FILTERS.index("E")))
+    return masked.groupBy("part", "mask").agg(F.count(F.lit(1)).alias("n"), mark("good"), mark("toxic"))
 
 
 class Lattice:

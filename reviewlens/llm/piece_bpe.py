@@ -198,3 +198,19 @@ def decode(packed: Column | str, ranks: str | None = None, pattern: str | None =
         return pa.array((bpe.unpack(p.as_py()) for p in lists), pa.binary())
 
     return decode_batch(F.col(packed) if isinstance(packed, str) else packed)
+
+
+def round_trip(text: Column | str, ranks: str | None = None, pattern: str | None = None) -> Column:
+    """``struct<ids binary, decoded binary>``: the packed ids of ``text`` and what they decode to, in one pass.
+
+    The same as ``decode(encode(text))`` beside ``encode(text)``, which Spark would encode twice.
+    """
+
+    @F.arrow_udf("struct<ids:binary,decoded:binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        bpe = load(ranks, pattern)
+        ids = [bpe.pack(t.as_py()) for t in texts]
+        columns = [pa.array(ids, pa.binary()), pa.array(map(bpe.unpack, ids), pa.binary())]
+        return pa.StructArray.from_arrays(columns, ["ids", "decoded"])
+
+    return both(F.col(text) if isinstance(text, str) else text)

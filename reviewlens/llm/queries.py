@@ -239,8 +239,7 @@ def q_packing(spark: SparkSession, sf: str) -> DataFrame:
 @register("op11_piece_bpe")
 def q_piece_bpe(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
-    ids = table(spark, sf, "documents").select("doc_id", piece_bpe.encode("text").alias("ids"))
-    both = ids.select("doc_id", "ids", piece_bpe.decode("ids").alias("decoded"))
+    both = table(spark, sf, "documents").select("doc_id", piece_bpe.round_trip("text").alias("t")).select("doc_id", "t.*")
     return both.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
