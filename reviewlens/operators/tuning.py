@@ -1,12 +1,18 @@
 """K-fold cross-validation over parameter grids, on precomputed hash folds.
 
 Folds come from the ``fold`` column (``split.with_folds``), so they do not
-depend on partitioning.  Each (fold, model, grid point) fit is an independent
-Spark job; one pool of ``parallelism`` driver threads runs them, fold by fold, so all
-fits of a fold share one cached copy of its rows, which is released after the last.
-On a table partitioned by fold, a held-out read is that fold's folder alone.  The
-winning grid point of each model is refitted on all training rows.  Only metric
-numbers return to the driver.
+depend on partitioning.
+
+* Models whose loss is a sum over rows (logistic regression, linear SVC, perceptron) are fitted for all
+  folds and grid points together (``batched``): every iteration is one aggregate, and one set of jobs
+  scores and evaluates all held-out rows of all fits.
+* Forests are independent Spark fits, one a (fold, grid point); one pool of ``parallelism`` driver
+  threads runs them, fold by fold, so all fits of a fold share one cached copy of its rows, which
+  is released after the last.  On a table partitioned by fold, a held-out read is that fold's folder alone.
+
+The winning grid point of each model is refitted on all training rows by Spark's estimator; the perceptron's
+weights on all rows come with the others.
+Only sums of the size of the models, and metric numbers, reach the driver.
 """
 
 from __future__ import annotations
@@ -22,7 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from reviewlens.operators.models import DEFAULT_MODEL_SEED, Grid, ModelSpec, param_grid, params_text
+from reviewlens.operators import batched
+from reviewlens.operators.metrics import fit_metrics
+from reviewlens.operators.models import DEFAULT_MODEL_SEED, HIDDEN, Grid, ModelSpec, param_grid, params_text
 from reviewlens.operators.split import check_classes
 from reviewlens.schema import GRID_METRICS
 
@@ -61,6 +69,35 @@ class _Folds:
                     df.unpersist()
 
 
+#: Models fitted for all folds and points together, and the parameters that their grids may hold for that.
+BATCHED = {
+    "logistic_regression": {"regParam", "elasticNetParam", "maxIter", "tol"},
+    "linear_svc": {"regParam", "maxIter", "tol"},
+    "perceptron": {"blockSize", "maxIter", "tol"},
+}
+
+
+def _names(grid: Sequence[Mapping]) -> list[str]:
+    return [p.name for point in grid for p in point]
+
+
+def fold_scores(
+    spec: ModelSpec, blocks: batched.Blocks, seen: batched.Moments, grid: Sequence[Mapping], k: int, seed: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The tuning metric of every (fold, grid point), fitted, scored and evaluated together; every point's weights on all rows."""
+    points = [{p.name: v for p, v in point.items()} for point in grid]
+    layers = (blocks.dim, HIDDEN, 2) if spec.name == "perceptron" else ()
+    left_out = [*range(k), batched.NO_FOLD] if layers else range(k)
+    weights, _ = batched.fit_grid(spec.name, blocks, seen, points, left_out, layers, seed)
+    scored = batched.scores(blocks, weights[:k], range(k), layers).persist()
+    try:
+        values = fit_metrics(scored, [spec.metric])
+    finally:
+        scored.unpersist()
+    table = [[values[i * len(points) + j][spec.metric] for j in range(len(points))] for i in range(k)]
+    return np.array(table, float), weights[k:]
+
+
 def tune_models(
     specs: Sequence[ModelSpec],
     train: DataFrame,
@@ -83,7 +120,19 @@ def tune_models(
         pipe, est = spec.pipeline(n_features, seed=seed, features=features, label=label)
         pipes.append(pipe)
         maps.append(param_grid(est, (grids or {}).get(spec.name, spec.grid)) or [{}])
-    tasks = [(i, m, j) for i in range(k) for m in range(len(specs)) for j in range(len(maps[m]))]
+    scores = [np.zeros((k, len(grid))) for grid in maps]
+    whole: dict[int, np.ndarray] = {}  # weights on all rows, of models that are not refitted
+    together = [m for m, spec in enumerate(specs) if spec.name in BATCHED and set(_names(maps[m])) <= BATCHED[spec.name]]
+    if together:
+        blocks = batched.Blocks(train, features, label, fold)
+        try:
+            seen = batched.moments(blocks, k)
+            for m in together:
+                scores[m][:], whole[m] = fold_scores(specs[m], blocks, seen, maps[m], k, seed)
+        finally:
+            blocks.close()
+    alone = [m for m in range(len(specs)) if m not in together]
+    tasks = [(i, m, j) for i in range(k) for m in alone for j in range(len(maps[m]))]
     folds = _Folds(train, fold, {i: len(tasks) // k for i in range(k)})
 
     def run(task: tuple[int, int, int]) -> float:
@@ -95,13 +144,15 @@ def tune_models(
             folds.done(i)
 
     def refit(m: int) -> PipelineModel:
+        if len(whole.get(m, ())):
+            model = batched.perceptron_model(pipes[m].getStages()[0].copy(maps[m][best[m]]), train, whole[m][0, best[m]])
+            return PipelineModel(stages=[model])
         return pipes[m].fit(train, maps[m][best[m]])
 
     pool = ThreadPool(processes=max(1, parallelism))
     try:
         thread = inheritable_thread_target(train.sparkSession)
         values = pool.map(thread(run), tasks, chunksize=1)
-        scores = [np.zeros((k, len(grid))) for grid in maps]
         for (i, m, j), v in zip(tasks, values):
             scores[m][i, j] = v
         avg = [s.mean(axis=0).tolist() for s in scores]

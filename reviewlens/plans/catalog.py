@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from reviewlens.operators import metrics as M
 from reviewlens.operators import split as S
@@ -290,27 +292,46 @@ FOLDS = 10
 PARALLELISM = 8
 
 SETS = tuple(SE.FEATURE_SETS)
-#: Sections of this session by application, folder and feature set, and what was tuned in them.
-_FEATURES: dict[tuple[str, str, str], SE.Features] = {}
-_TUNED: dict[tuple[str, str, str, str], SE.SectionResult] = {}
+#: Sections of this session by application, content of the reviews and feature set, and what was tuned in them.
+_FEATURES: dict[tuple, SE.Features] = {}
+_TUNED: dict[tuple, SE.SectionResult] = {}
 
 
-def _features(spark: SparkSession, sf: str, feature_set: str) -> SE.Features:
+def _content(spark: SparkSession, sf: str) -> tuple:
+    """What the reviews hold, in a number: changed files are other reviews."""
+    rows = reviews_view(spark, sf)
+    hashed = F.xxhash64(*rows.columns).cast("decimal(38,0)")
+    return spark.sparkContext.applicationId, *rows.agg(F.count(F.lit(1)), F.sum(hashed)).first()
+
+
+def _sections(spark: SparkSession, sf: str, sets: tuple[str, ...], models: tuple[str, ...]) -> list[SE.SectionResult]:
+    """Each model tuned over its whole grid with all folds in each feature set, once a session.
+
+    The sets are worked on side by side: their fits are rounds of small jobs.
+    """
+    content = _content(spark, sf)
+
+    def section(feature_set: str) -> list[SE.SectionResult]:
+        feats = _features(spark, sf, feature_set, content)
+        for model in models:
+            key = (*content, feature_set, model)
+            if key not in _TUNED:
+                _TUNED[key] = SE.run_section(feats, [model], parallelism=PARALLELISM)
+        return [_TUNED[*content, feature_set, model] for model in models]
+
+    with ThreadPool(len(sets)) as pool:
+        found = pool.map(inheritable_thread_target(spark)(section), sets, chunksize=1)
+    return [result for results in found for result in results]
+
+
+def _features(spark: SparkSession, sf: str, feature_set: str, content: tuple | None = None) -> SE.Features:
     """A feature set's rows, made once a session: several queries tune on them."""
-    key = (spark.sparkContext.applicationId, sf, feature_set)
+    key = (*(content or _content(spark, sf)), feature_set)
     if key not in _FEATURES:
         _FEATURES[key] = SE.prepare_features(reviews_view(spark, sf), feature_set, k=FOLDS)
     return _FEATURES[key]
 
 
-def _section(spark: SparkSession, sf: str, feature_set: str, model: str) -> SE.SectionResult:
-    """One model tuned over its whole grid with all folds, once a session."""
-    key = (spark.sparkContext.applicationId, sf, feature_set, model)
-    if key not in _TUNED:
-        _TUNED[key] = SE.run_section(_features(spark, sf, feature_set), [model], parallelism=PARALLELISM)
-    return _TUNED[key]
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -335,7 +356,7 @@ for _set in SETS:
 
 
 def _tune_query(model: str, sets: tuple[str, ...]) -> Query:
-    return lambda spark, sf: _union([_section(spark, sf, s, model).grid_metrics for s in sets])
+    return lambda spark, sf: _union([r.grid_metrics for r in _sections(spark, sf, sets, (model,))])
 
 
 MODEL_NAMES = {"lr": "logistic_regression", "svc": "linear_svc", "rf": "random_forest", "mlp": "perceptron"}
@@ -361,12 +382,12 @@ register("tune_rf_closed")(_closed_query("random_forest", {"numTrees": [10], "ma
 
 @register("compare_models")
 def q_compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    return _union([_section(spark, sf, "summary", m).report for m in SPECS])
+    return _union([r.report for r in _sections(spark, sf, ("summary",), tuple(SPECS))])
 
 
 @register("compare_feature_sets")
 def q_compare_feature_sets(spark: SparkSession, sf: str) -> DataFrame:
-    return _union([_section(spark, sf, s, m).report for s in SETS for m in SPECS])
+    return _union([r.report for r in _sections(spark, sf, SETS, tuple(SPECS))])
 
 
 @register("compare_shape")

@@ -157,7 +157,7 @@ def run_section(
         parallelism=parallelism,
         check=False,
     )
-    rows = [row for t in tuned for row in report_rows(features.feature_set, t, features.test)]
+    rows = report_rows(features.feature_set, tuned, features.test)
     grid_metrics = tuned[0].grid_metrics
     for t in tuned[1:]:
         grid_metrics = grid_metrics.unionByName(t.grid_metrics)
