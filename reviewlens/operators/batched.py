@@ -43,6 +43,11 @@ NO_FOLD = -1
 Partial = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
+def partitions_for(rows: int, dim: int) -> int:
+    """Partitions of about ``TASK_BYTES`` of features."""
+    return max(1, ceil(rows * dim * 8 / TASK_BYTES))
+
+
 class Blocks:
     """Labelled rows as cached blocks of ``fold``, ``label`` and features; close when done."""
 
@@ -52,7 +57,7 @@ class Blocks:
         )
         size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d")).first()
         n, self.dim = size["n"], size["d"] or 0
-        self.partitions = max(1, ceil(n * self.dim * 8 / TASK_BYTES))
+        self.partitions = partitions_for(n, self.dim)
         dim = self.dim
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

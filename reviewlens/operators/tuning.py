@@ -49,8 +49,9 @@ class TuneResult:
 class _Folds:
     """Fit and held-out rows of each fold, cached while fits of that fold are to come."""
 
-    def __init__(self, train: DataFrame, fold: str, fits: dict[int, int]):
-        self.train, self.fold, self.left = train, fold, dict(fits)
+    def __init__(self, train: DataFrame, fold: str, fits: dict[int, int], partitions: int):
+        # small files share a task, by bytes: every level of a tree is a job
+        self.train, self.fold, self.left = train.coalesce(partitions), fold, dict(fits)
         self.rows: dict[int, tuple[DataFrame, DataFrame]] = {}
         self.lock = Lock()
 
@@ -133,7 +134,8 @@ def tune_models(
             blocks.close()
     alone = [m for m in range(len(specs)) if m not in together]
     tasks = [(i, m, j) for i in range(k) for m in alone for j in range(len(maps[m]))]
-    folds = _Folds(train, fold, {i: len(tasks) // k for i in range(k)})
+    partitions = batched.partitions_for(train.count(), n_features) if tasks else 1
+    folds = _Folds(train, fold, {i: len(tasks) // k for i in range(k)}, partitions)
 
     def run(task: tuple[int, int, int]) -> float:
         i, m, j = task
@@ -147,7 +149,7 @@ def tune_models(
         if len(whole.get(m, ())):
             model = batched.perceptron_model(pipes[m].getStages()[0].copy(maps[m][best[m]]), train, whole[m][0, best[m]])
             return PipelineModel(stages=[model])
-        return pipes[m].fit(train, maps[m][best[m]])
+        return pipes[m].fit(train if m in together else folds.train, maps[m][best[m]])
 
     pool = ThreadPool(processes=max(1, parallelism))
     try:
