@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import give_back, release
-from reviewlens.llm.hashing import mix
+from reviewlens.llm.common import give_back, release, unused
+from reviewlens.llm.hashing import Hashes, mix
 from reviewlens.session import materialize
 
 #: Words in a shingle, and the similarity in hundredths from which documents are linked.
@@ -52,6 +52,8 @@ SEED = 11
 #: Members of a pivot in a block, or of several small ones in a task; bits of a block unpacked at once.
 TASK_ROWS = 3000
 SIDE_BITS = 1 << 22
+#: Links of a partition while components are found.
+LINK_ROWS = 200_000
 #: Bytes of text worked on at once.
 STRETCH = 1_000_000
 
@@ -61,14 +63,10 @@ LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
 @lru_cache(maxsize=1)
-def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Value of each byte, powers of an odd base, powers of its inverse, and the permutations' odd factors."""
+def _factors() -> np.ndarray:
+    """The permutations' odd factors."""
     rng = np.random.default_rng(SEED)
-    odd = lambda n: rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
-    base = odd(1)[0]
-    inverse = np.uint64(pow(int(base), -1, 1 << 64))
-    powers = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(STRETCH, b, np.uint64)])) for b in (base, inverse)]
-    return odd(256), powers[0], powers[1], odd(BANDS * ROWS // 2)
+    return rng.integers(0, 1 << 63, BANDS * ROWS // 2, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def word_hashes(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +81,7 @@ def word_hashes(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     closes = solid.copy()
     closes[:-1] &= ~solid[1:] | edge[1:-1]
     a, b = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    value, power, inverse, _ = _constants()
-    if len(text) >= len(power):  # one text longer than a stretch: its own powers
-        full = lambda p: np.cumprod(np.concatenate([p[:1], np.full(len(text), p[1], np.uint64)]))
-        power, inverse = full(power), full(inverse)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[text] * power[: len(text)])])
-    return mix((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64)), a
+    return mix(Hashes(text).of(a, b) + (b - a).astype(np.uint64)), a
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +122,7 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, n
 
 def signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Row by row the minimum and maximum under each permutation; ``starts`` of non-empty sets."""
-    factors = _constants()[3]
+    factors = _factors()
     out = np.empty((len(starts), 2 * len(factors)), np.uint64)
     for i, factor in enumerate(factors):
         permuted = sets * factor
@@ -343,25 +336,31 @@ def links_beside_pivots(compared: DataFrame, labels: DataFrame, percent: int) ->
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, comp``: the smallest node reachable from each node of ``a, b`` links."""
+    """``node, comp``: the smallest node reachable from each node of ``a, b`` links.
+
+    Links are few next to the documents, and every round is some small shuffles: these have as many partitions
+    as the links need, not as many as the texts.
+    """
     links = materialize(links, "components-links")
+    many = max(1, ceil(links.count() / LINK_ROWS))
     ways = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = materialize(
-        ways.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("comp")),
-        "components-labels",
-    )
+    ways = materialize(ways.repartition(many, "a"), "components-ways")
+    dealt = lambda df, key: df.repartition(many, key)
+    first = dealt(ways, "a").groupBy("a").agg(F.min("b").alias("low"))
+    labels = materialize(first.select(F.col("a").alias("node"), F.least("a", "low").alias("comp")), "components-labels")
     while True:
-        near = ways.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("low"))
-        lower = labels.join(near.withColumnRenamed("a", "node"), "node").select(
+        named = dealt(labels.select(F.col("node").alias("b"), "comp"), "b")
+        near = dealt(dealt(ways, "b").join(named, "b"), "a").groupBy("a").agg(F.min("comp").alias("low"))
+        lower = dealt(labels, "node").join(near.withColumnRenamed("a", "node"), "node").select(
             "node", F.least("comp", "low").alias("comp"), F.col("comp").alias("was")
         )
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("further"))
-        step = lower.join(jump, "comp", "left").select(
+        step = dealt(lower, "comp").join(dealt(jump, "comp"), "comp", "left").select(
             "node", F.least(F.col("comp"), F.coalesce("further", "comp")).alias("comp"), "was"
         )
         step = materialize(step, "components-labels")
         labels = step.select("node", "comp")
-        if not step.filter("comp != was").limit(1).count():
+        if step.filter("comp != was").isEmpty():
             return labels
 
 
@@ -440,8 +439,9 @@ def deduplicate(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each component; of rows repeated with id and text, one."""
     found = near_duplicates(docs, doc_id, text, size, percent)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone_id"), F.col("hash").alias("__gone_hash"))
-    rows = docs.withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
-    same = (F.col(doc_id).cast("long") == F.col("__gone_id")) & (F.col("__hash") == F.col("__gone_hash"))
+    gone_id, gone_hash, own_hash = unused(docs, "__gone_id", "__gone_hash", "__hash")
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id), F.col("hash").alias(gone_hash))
+    rows = docs.withColumn(own_hash, F.xxhash64(F.col(text).cast("string")))
+    same = (F.col(doc_id).cast("long") == F.col(gone_id)) & (F.col(own_hash) == F.col(gone_hash))
     left = rows.join(gone.distinct(), same, "left_anti")
-    return left.dropDuplicates([doc_id, "__hash"]).drop("__hash")
+    return left.dropDuplicates([doc_id, own_hash]).drop(own_hash)
