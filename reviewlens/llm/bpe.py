@@ -37,9 +37,9 @@ TOKENIZER = "word_bpe_49k.json"
 #: Chunks in the table before it starts anew: memory (about 45 bytes each), not results.
 CACHE_ENTRIES = 1_000_000
 #: Code points of text worked on at once.
-STRETCH = 1_000_000
+STRETCH = 250_000
 #: Symbols of a matrix of fragments.
-MATRIX = 500_000
+MATRIX = 150_000
 #: Fragments up to these widths share a matrix; longer ones are merged one by one with a heap.
 WIDTHS = (4, 8, 12, 16, 24, 40, 64)
 #: Rank of a pair that no merge joins.

@@ -8,7 +8,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Most rows and bytes of an Arrow batch: what a Python worker holds at once.
 BATCH_ROWS = 2000
@@ -58,3 +58,15 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
     if trim:
         trim(0)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until ``df`` has no such column (Spark's names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -20,6 +20,7 @@ columns other than the id and the text are not read.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ END_ID = 1
 #: Sequences of one partition are numbered below this.
 PER_PARTITION = 1 << 40
 #: Rows of an output batch.
-BATCH_ROWS = 2000
+BATCH_ROWS = 500
 BYTES = 4  # of a token id
 
 
@@ -78,9 +79,9 @@ class LevelArray:
 
     def rest(self) -> Iterator[list]:
         """Close all open sequences by cutting, full ones first; the last tokens in powers of two."""
-        levels = [(h, s) for h in range(self.window - 1, 0, -1) for s in self.open[h]]
+        levels = deque((h, s) for h in range(self.window - 1, 0, -1) for s in self.open[h])
         while levels:
-            h, sequence = levels.pop(0)
+            h, sequence = levels.popleft()
             need = self.window - h
             while need and levels:
                 low, donor = levels.pop()

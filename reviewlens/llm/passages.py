@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import give_back, release
+from reviewlens.llm.common import give_back, release, unused
 from reviewlens.llm.hashing import Hashes
 from reviewlens.llm.suffix_array import common_prefixes, suffix_array
 from reviewlens.session import materialize
@@ -317,35 +317,58 @@ def cut_spans(text: bytes, spans: np.ndarray, length: int = LENGTH) -> tuple[byt
     return data, len(text) - len(data), runs_removed
 
 
-def cut_out(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with a column ``__cut``: null where nothing goes, else ``struct<kept binary, n_removed long, n_spans long>``."""
+def remaining_text(text: bytes, spans: np.ndarray, length: int = LENGTH) -> str:
+    """The text that a cut leaves; where it goes through a character, what is left of that goes, too."""
+    edges = np.stack([spans[::2], spans[1::2] + length - 1], axis=1)
+    parts, at = [], 0
+    for a, b in edges[np.argsort(edges[:, 0])].tolist():
+        if a > at:
+            parts.append(text[at:a].decode(errors="ignore"))  # only the ends of a part can be incomplete
+        at = max(at, b)
+    return "".join(parts) + text[at:].decode(errors="ignore")
+
+
+def cut_out(docs: DataFrame, out: str, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, as_text: bool = False) -> DataFrame:
+    """``docs`` with a column ``out``: null where nothing goes, else ``struct<kept, n_removed long, n_spans long>``.
+
+    ``kept`` are the remaining bytes, or with ``as_text`` the remaining text.
+    """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("hash"), body.alias("text"))
     spans = materialize(repeated_spans(rows, length), "passage-documents")
     release(docs.sparkSession)
-    spans = spans.select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), F.col("spans").alias("__spans"))
+    own_id, own_hash, own_spans = unused(docs, "__id", "__hash", "__spans")
+    spans = spans.select(F.col("doc_id").alias(own_id), F.col("hash").alias(own_hash), F.col("spans").alias(own_spans))
 
-    @F.arrow_udf("kept binary, n_removed long, n_spans long")
+    @F.arrow_udf(f"kept {'string' if as_text else 'binary'}, n_removed long, n_spans long")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        cuts = [
-            None if s is None else cut_spans(t, np.array(s, np.int64), length)
-            for t, s in zip(texts.cast(pa.binary()).to_pylist(), spans.to_pylist())
-        ]
-        kept, removed, count = zip(*(c or (None, None, None) for c in cuts)) if cuts else ((), (), ())
-        columns = [pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(count, pa.int64())]
+        kept, removed, count = [], [], []
+        for t, s in zip(texts.cast(pa.binary()), spans):
+            places = s.as_py()
+            if places is None:
+                parts = None, None, None
+            else:
+                raw, windows = t.as_py(), np.array(places, np.int64)
+                parts = cut_spans(raw, windows, length)
+                if as_text:
+                    parts = remaining_text(raw, windows, length), *parts[1:]
+            for column, value in zip((kept, removed, count), parts):
+                column.append(value)
+        give_back()
+        columns = [pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(removed, pa.int64()), pa.array(count, pa.int64())]
         return pa.StructArray.from_arrays(columns, ["kept", "n_removed", "n_spans"])
 
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__hash"))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(body) == F.col(own_hash))
     joined = docs.join(spans, same, "left")
-    some = F.col("__spans").isNotNull()
-    done = cut(F.when(some, body), F.col("__spans"))
-    return joined.withColumn("__cut", F.when(some, done)).drop("__id", "__hash", "__spans")
+    some = F.col(own_spans).isNotNull()
+    done = cut(F.when(some, body), F.col(own_spans))
+    return joined.withColumn(out, F.when(some, done)).drop(own_id, own_hash, own_spans)
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) for every row."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return cut_out(docs.select(doc_id, text), doc_id, text, length).select(
+    return cut_out(docs.select(doc_id, text), "__cut", doc_id, text, length).select(
         F.col(doc_id).alias("doc_id"),
         F.octet_length(body).cast("long").alias("n_bytes"),
         F.coalesce("__cut.n_removed", F.lit(0)).cast("long").alias("n_removed"),
@@ -359,7 +382,8 @@ def without_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     Where a cut goes through a character, what is left of it goes, too.
     """
-    left = cut_out(docs, doc_id, text, length)
-    remaining = F.when(F.col("__cut").isNotNull(), F.replace(F.make_valid_utf8(F.col("__cut.kept").cast("string")), F.lit("\ufffd"), F.lit(""))).otherwise(F.col(text))
-    left = left.withColumn(text, remaining)
-    return left.filter(F.col("__cut").isNull() | (F.length(text) > 0)).select(*docs.columns)
+    (out,) = unused(docs, "__cut")
+    left = cut_out(docs, out, doc_id, text, length, as_text=True)
+    changed = F.col(out).isNotNull()
+    left = left.withColumn(text, F.when(changed, F.col(f"{out}.kept")).otherwise(F.col(text)))
+    return left.filter(~changed | (F.length(text) > 0)).select(*docs.columns)

@@ -104,3 +104,43 @@ def test_stages_of_odd_rows(spark):
     assert sorted(r["doc_id"] or 0 for r in untold.collect()) == [0, 4, 4]
     second = corpus_pipeline.STAGES[1][1](spark, docs, SF_SMALL)
     assert sorted(r["doc_id"] or 0 for r in second.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_columns_with_names_that_stages_use(spark):
+    """Extra columns that clash with working columns stay as they are in every stage."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    names = ["__hash", "__cut", "__found", "__id", "__spans", "__gone_id", "__gone_hash", "__HASH_", "hash", "kept", "score"]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names}).persist()
+    assert isinstance(docs.schema, StructType) and docs.schema["__cut"] == StructField("__cut", StringType(), True)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() >= 60
+
+
+def test_characters_away_from_a_cut_stay(spark):
+    from reviewlens.llm import passages
+
+    shared = "".join(f"shared {i * i} ŝ " for i in range(60))
+    docs = spark.createDataFrame(
+        [(1, "own � start é" + shared + "é end �"), (2, "è" + shared + "è�"), (3, "ê� other")], "doc_id long, text string"
+    )
+    kept = {r["doc_id"]: r["text"] for r in passages.without_passages(docs).collect()}
+    assert kept[3] == "ê� other"
+    assert kept[1].startswith("own � start") and kept[1].endswith("end �") and "shared" not in kept[1]
+    assert kept[2].endswith("�") and "shared" not in kept[2]
+
+
+def test_a_cut_through_characters_leaves_none_behind():
+    import numpy as np
+
+    from reviewlens.llm.passages import remaining_text
+
+    text = "aéb�cèd".encode()  # a é(2) b U+FFFD(3) c è(2) d
+    assert remaining_text(text, np.array([2, 3]), 1) == "ab�cèd"  # the second byte of é
+    assert remaining_text(text, np.array([2, 9]), 1) == "aèd"[:1] + "d"  # from inside é into è
+    assert remaining_text(text, np.array([0, 1]), len(text)) == ""
