@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.llm import lang_id, minhash, packing, passages
-from reviewlens.llm.common import small_batches
+from reviewlens.llm.common import small_batches, unused
 from reviewlens.session import materialize
 
 #: Documents whose language is less certain than this, or hardly above chance among many languages, are rejected.
@@ -33,9 +33,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     model = lang_id.learn(docs)
     if model is None:
         return docs.filter(F.regexp_like("text", F.lit(r"\p{L}")))
-    told = docs.withColumn("__found", lang_id.identify("text", model))
+    (found,) = unused(docs, "__found")
+    told = docs.withColumn(found, lang_id.identify("text", model))
     least = min(MIN_LANGUAGE_SCORE, ABOVE_CHANCE / len(model.langs))
-    known = (F.col("__found.lang_pred") != lang_id.UNDETERMINED) & (F.col("__found.score") >= least)
+    known = (F.col(f"{found}.lang_pred") != lang_id.UNDETERMINED) & (F.col(f"{found}.score") >= least)
     return told.filter(known).select(*docs.columns)
 
 
