@@ -55,6 +55,14 @@ def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_reviews_csv(spark, path)
 
 
+@register("csv_scan_split")
+def q_csv_scan_split(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``csv_scan``, the files read in byte ranges."""
+    path = shared_path(spark, "csv_scan_split")
+    write_reviews_csv(reviews_view(spark, sf), path)
+    return read_reviews_csv(spark, path, split=True)
+
+
 # --- B. filters, label, drop ------------------------------------------------
 
 

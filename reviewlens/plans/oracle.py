@@ -104,6 +104,9 @@ ORACLE: dict[str, str] = {
     "csv_scan": _with(REVIEWS)
     + "select review_id, reviewer, cast(rating as double) as rating, review_summary, "
     "review_detail, helpful_str from reviews",
+    "csv_scan_split": _with(REVIEWS)
+    + "select review_id, reviewer, cast(rating as double) as rating, review_summary, "
+    "review_detail, helpful_str from reviews",
     "require_summary": _with(REVIEWS)
     + "select * from reviews where review_summary is not null and rating is not null",
     "require_detail": _with(REVIEWS)

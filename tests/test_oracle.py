@@ -32,7 +32,7 @@ def test_tuning_in_closed_form(spark):
 
 
 def test_no_python_in_relational_plans(spark):
-    for name in sorted(set(ORACLE) - {*ON_MID, *WHOLE_STUDY, "csv_scan"}):
+    for name in sorted(set(ORACLE) - {*ON_MID, *WHOLE_STUDY, "csv_scan", "csv_scan_split"}):
         plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
