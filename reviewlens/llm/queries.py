@@ -121,7 +121,7 @@ s0 as materialized (
 edges as materialized (
   select l.src, l.dst, 1 as way, l.n / o.total as share from l join (select src, sum(n) as total from l group by src) o on l.src = o.src
   union all
-  select l.dst, l.src, -1, l.n / o.total from l join (select dst, sum(n) as total from l group by dst) o on l.dst = o.dst),
+  select l.dst, l.src, -1, l.n / o.total from l join (select src, sum(n) as total from l group by src) o on l.src = o.src),
 {', '.join(steps)},
 bad as (select host from s{rounds} where distrust >= {url_trust.MIN_DISTRUST} and distrust > trust)
 select page_id, host, path, rule,

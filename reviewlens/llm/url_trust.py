@@ -4,9 +4,12 @@ A url is judged by the longest rule that fits it.  What no rule decides is judge
 host: trust flows from trusted hosts along links (personalised PageRank), distrust flows
 from blocked hosts against the links, to those that link to them.  Seeds are the hosts
 most of whose pages the rules allow, or block (a host without pages: its root url).  Each
-round a host passes on ``DAMPING`` of what it has, in equal parts per link; scores are
-relative to a seed's own 1.  A host is blocked if its distrust reaches ``MIN_DISTRUST`` and
-exceeds its trust.
+round a host passes on ``DAMPING`` of its trust, in equal parts per link; scores are
+relative to a seed's own 1.  Distrust is what each linker takes by the share that a link has in its
+*own* links: the damped chance that a walk from the host along links ends at a blocked
+one, its personalised PageRank seen from the far end.  So it is at most ``DAMPING`` for a host that is no seed, and
+does not fade with the number of other hosts that link to the same seed.  A host is blocked if its
+distrust reaches ``MIN_DISTRUST`` and exceeds its trust.
 
 Links are ``<a href>`` with a host of their own, outside comments and scripts, between
 different hosts; they are summed by (from, to) before any shuffle of them, so a hot host
@@ -14,7 +17,8 @@ or a hot link is one row.  The work is on hosts and host pairs; every round is a
 an aggregate, written to the shared folder.  Rounds end when no score changes by more
 than ``TOLERANCE``, which the damping bounds to about ``log(TOLERANCE) / log(DAMPING)``.
 
-Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and
+Edge cases: very long pages are searched whole, by expressions that keep no more than the
+links found; a null url, or one without ``://``, has an empty host and path, fits no rule and
 is allowed; null html has no links; repeated rows count as pages each and get a row each;
 an empty table gives no rows; other columns are not read; rules of equal length: the
 longer host first, then block before allow.
@@ -25,11 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.session import materialize
+from reviewlens.session import materialize, remove_path, shared_path, written
 
 ALLOW, BLOCK = "allow", "block"
 DAMPING = 0.85
-MIN_DISTRUST = 0.05
+#: Least distrust that blocks: 0.25 is what a host has some three in ten of whose links lead to a blocked one.
+MIN_DISTRUST = 0.25
 TOLERANCE = 1e-9
 
 # A-Z and a-z.
@@ -88,16 +93,14 @@ def propagate(
         ),
         "url-hosts",
     )
-    # trust goes forward by shares of the links out, distrust backward by shares of the links in
+    # trust goes forward, distrust backward, both by the shares that the links have in those of the linking host
     out = links.groupBy("src").agg(F.sum("n").alias("total"))
-    into = links.groupBy("dst").agg(F.sum("n").alias("total"))
-    share = (F.col("n") / F.col("total")).alias("share")
-    edges = materialize(
-        links.join(out, "src").select("src", "dst", F.lit(1).alias("way"), share)
-        .union(links.join(into, "dst").select("dst", "src", F.lit(-1), share)),
-        "url-edges",
-    )
+    shared = links.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
+    way = lambda a, b, way: F.struct(F.col(a).alias("src"), F.col(b).alias("dst"), F.lit(way).alias("way"))
+    ways = F.array(way("src", "dst", 1), way("dst", "src", -1))
+    edges = materialize(shared.select(F.explode(ways).alias("edge"), "share").select("edge.*", "share"), "url-edges")
     scores = base.select("host", F.col("trust_seed").alias("trust"), F.col("distrust_seed").alias("distrust"))
+    last = None
     while not edges.isEmpty():
         has = F.when(F.col("way") > 0, F.col("trust")).otherwise(F.col("distrust")) * F.col("share")
         sent = edges.join(scores.filter("trust > 0 or distrust > 0"), edges["src"] == scores["host"])
@@ -111,13 +114,17 @@ def propagate(
             (F.col("trust_seed") + gets("t")).alias("trust"),
             (F.col("distrust_seed") + gets("d")).alias("distrust"),
         )
-        new = materialize(new, "url-scores")
+        path = shared_path(seeds.sparkSession, "url-scores")
+        new = written(new, path)
         old = scores.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
         moved = new.join(old, "host").agg(
             F.max(F.greatest(F.abs(F.col("trust") - F.col("t")), F.abs(F.col("distrust") - F.col("d")))).alias("m")
         )
-        scores = new
-        if (moved.first()["m"] or 0.0) <= tolerance:
+        most = moved.first()["m"] or 0.0
+        if last:
+            remove_path(seeds.sparkSession, last)
+        scores, last = new, path
+        if most <= tolerance:
             break
     return scores
 

@@ -6,14 +6,17 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from reviewlens.llm import ann, bpe, html_text, lang_id, minhash, order_minhash, packing, passages, sharding, url_trust
 from reviewlens.llm.common import small_batches
-from reviewlens.llm.queries import QUERIES
+from reviewlens.llm.queries import ORACLE, QUERIES
 
 xxhash = pytest.importorskip("xxhash")
 
@@ -543,10 +546,9 @@ def test_rules(spark):
 
 
 def propagate_brute(hosts, links, seeds, damping=0.85):
-    out, into = collections.Counter(), collections.Counter()
-    for (a, b), n in links.items():
+    out = collections.Counter()
+    for (a, _), n in links.items():
         out[a] += n
-        into[b] += n
     trust = {h: float(seeds.get(h, 0) > 0) for h in hosts}
     distrust = {h: float(seeds.get(h, 0) < 0) for h in hosts}
     t, d = dict(trust), dict(distrust)
@@ -554,7 +556,7 @@ def propagate_brute(hosts, links, seeds, damping=0.85):
         t2, d2 = dict(trust), dict(distrust)
         for (a, b), n in links.items():
             t2[b] += damping * t[a] * n / out[a]
-            d2[a] += damping * d[b] * n / into[b]
+            d2[a] += damping * d[b] * n / out[a]
         t, d = t2, d2
     return t, d
 
@@ -585,11 +587,45 @@ def test_trust_and_distrust_flow_over_links(spark):
     for h in hosts:
         assert got[h] == pytest.approx((trust[h], distrust[h]), abs=1e-6)
     verdicts = {r["host"]: r["verdict"] for r in url_trust.judge_urls(df, RULES).collect()}
-    want = {h: "block" if distrust[h] >= 0.05 and distrust[h] > trust[h] else "allow" for h in hosts}
+    want = {h: "block" if distrust[h] >= url_trust.MIN_DISTRUST and distrust[h] > trust[h] else "allow" for h in hosts}
     assert {h: v for h, v in verdicts.items()} == {h: want[h] for h in verdicts}
     assert verdicts["farm.org"] == verdicts["second.org"] == "block" and verdicts["victim.org"] == "allow"
 
 
+@pytest.mark.parametrize("size", [2, 16, 18, 100])
+def test_a_farm_is_blocked_at_any_size(spark, size):
+    """Each farm host links to the blocked host alone; a directory links to it once among twenty hosts."""
+    pages = [(f"http://farm{i}.org/", page("http://bad.org/")) for i in range(size)]
+    pages += [("http://directory.org/", page("http://bad.org/", *[f"http://site{i}.org/" for i in range(19)]))]
+    pages += [("http://bad.org/", None), ("http://behind.org/", page("http://farm0.org/"))]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["host"]: r["verdict"] for r in url_trust.judge_urls(df, RULES).collect()}
+    farm = {f"farm{i}.org" for i in range(size)} | {"bad.org", "behind.org"}
+    assert {h for h, v in got.items() if v == "block"} == farm and got["directory.org"] == "allow"
+
+
+def test_url_verdicts_equal_the_sql_on_hosts_that_link_to_each_other(spark, tmp_dir):
+    """Random links, repeated rows and rules of the query: every row as DuckDB has it, and the flow decides some."""
+    rng = np.random.default_rng(4)
+    hosts = [f"h{i}.{end}" for i, end in enumerate(["org", "org", "org", "com", "net", "net"] * 3)]
+    pages = []
+    for i in range(200):
+        k, path = rng.integers(len(hosts)), rng.choice(["/", "/es/1", "/fr/2?x", "/en/3#y"], p=[0.1, 0.5, 0.2, 0.2])
+        html = None if i % 19 == 0 else page(*[f"http://{t}/" for t in rng.permutation(hosts[k + 1 :])[: rng.integers(0, 4)]])
+        pages.append((i, f"http://{hosts[k]}{path}", html))
+    pages += pages[:20] + [(900, None, "<p>"), (901, "no scheme", page("http://h0.org/"))]
+    table = pa.table(dict(zip(["page_id", "url", "html"], map(list, zip(*pages)))))
+    pq.write_table(table, f"{tmp_dir}/pages.parquet")
+    got = QUERIES["op1_url_trust"](spark, tmp_dir)
+    names = got.columns
+    with duckdb.connect() as db:
+        db.execute(f"create view pages as select * from read_parquet('{tmp_dir}/pages.parquet')")
+        want = db.execute(f"select {', '.join(names)} from ({ORACLE['op1_url_trust']})").fetchall()
+    rows = [tuple(r) for r in got.collect()]
+    assert sorted(rows, key=repr) == sorted(want, key=repr)
+    assert {v for _, _, _, rule, v in rows if rule is None} == {"allow", "block"}
+
+
 def test_url_filter_runs_no_python(spark):
     df = QUERIES["op1_url_trust"](spark, SF_SMALL)
     assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
