@@ -13,10 +13,14 @@ depend on partitioning.
 The winning grid point of each model is refitted on all training rows by Spark's estimator; the perceptron's
 weights on all rows come with the others.
 Only sums of the size of the models, and metric numbers, reach the driver.
+
+With a ``journal`` folder every finished unit is kept there (``journal``): a run that is started again on the
+same rows reads them and fits only what is not there yet, and the winners.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from reviewlens.operators import batched
+from reviewlens.operators.journal import ALL_ROWS, Journal, training_digest
 from reviewlens.operators.metrics import fit_metrics
 from reviewlens.operators.models import DEFAULT_MODEL_SEED, HIDDEN, Grid, ModelSpec, param_grid, params_text
 from reviewlens.operators.split import check_classes
@@ -112,8 +117,12 @@ def tune_models(
     seed: int = DEFAULT_MODEL_SEED,
     parallelism: int = 1,
     check: bool = True,
+    journal: str | None = None,
 ) -> list[TuneResult]:
-    """Cross-validate each spec over its grid and refit its best point on ``train``."""
+    """Cross-validate each spec over its grid and refit its best point on ``train``.
+
+    ``journal``: a folder of the shared store that keeps finished fits for a run started again.
+    """
     if check:
         check_classes(train, label, by=fold, groups=k, what="training folds")
     pipes, maps = [], []
@@ -124,26 +133,57 @@ def tune_models(
     scores = [np.zeros((k, len(grid))) for grid in maps]
     whole: dict[int, np.ndarray] = {}  # weights on all rows, of models that are not refitted
     together = [m for m, spec in enumerate(specs) if spec.name in BATCHED and set(_names(maps[m])) <= BATCHED[spec.name]]
-    if together:
+    texts = [[params_text(p) for p in grid] for grid in maps]
+    log = None
+    if journal:
+        log = Journal(train.sparkSession, journal, training_digest(train, features, label, fold, n_features, k, seed))
+
+    def kept(m: int, i: int, j: int) -> tuple | None:
+        return log.get(specs[m].name, specs[m].metric, i, texts[m][j]) if log else None
+
+    def keep(m: int, fits: list[tuple]) -> None:
+        if log:
+            log.put([(specs[m].name, specs[m].metric, i, texts[m][j], v, w) for i, j, v, w in fits])
+
+    todo = []
+    for m in together:
+        sides = [*range(k), ALL_ROWS] if specs[m].name == "perceptron" else range(k)
+        found = {(i, j): kept(m, i, j) for i in sides for j in range(len(maps[m]))}
+        if None in found.values():
+            todo.append(m)
+            continue
+        scores[m][:] = [[found[i, j][0] for j in range(len(maps[m]))] for i in range(k)]
+        if ALL_ROWS in sides:
+            whole[m] = np.array([[found[ALL_ROWS, j][1] for j in range(len(maps[m]))]])
+    if todo:
         blocks = batched.Blocks(train, features, label, fold)
         try:
             seen = batched.moments(blocks, k)
-            for m in together:
+            for m in todo:
                 scores[m][:], whole[m] = fold_scores(specs[m], blocks, seen, maps[m], k, seed)
+                fits = [(i, j, float(scores[m][i, j]), None) for i in range(k) for j in range(len(maps[m]))]
+                keep(m, fits + [(ALL_ROWS, j, None, w.tolist()) for own in whole[m] for j, w in enumerate(own)])
         finally:
             blocks.close()
     alone = [m for m in range(len(specs)) if m not in together]
-    tasks = [(i, m, j) for i in range(k) for m in alone for j in range(len(maps[m]))]
-    partitions = batched.partitions_for(train.count(), n_features) if tasks else 1
-    folds = _Folds(train, fold, {i: len(tasks) // k for i in range(k)}, partitions)
+    tasks = []
+    for i, m, j in [(i, m, j) for i in range(k) for m in alone for j in range(len(maps[m]))]:
+        if found := kept(m, i, j):
+            scores[m][i, j] = found[0]
+        else:
+            tasks.append((i, m, j))
+    partitions = batched.partitions_for(train.count(), n_features) if alone else 1
+    folds = _Folds(train, fold, dict(Counter(i for i, _, _ in tasks)), partitions)
 
     def run(task: tuple[int, int, int]) -> float:
         i, m, j = task
         fit_rows, held_out = folds.take(i)
         try:
-            return specs[m].evaluator(label).evaluate(pipes[m].fit(fit_rows, maps[m][j]).transform(held_out))
+            value = specs[m].evaluator(label).evaluate(pipes[m].fit(fit_rows, maps[m][j]).transform(held_out))
         finally:
             folds.done(i)
+        keep(m, [(i, j, float(value), None)])
+        return value
 
     def refit(m: int) -> PipelineModel:
         if len(whole.get(m, ())):
@@ -165,10 +205,9 @@ def tune_models(
         pool.close()
     out = []
     for m, spec in enumerate(specs):
-        texts = [params_text(p) for p in maps[m]]
-        rows = [(feature_set, spec.name, t, spec.metric, a, s) for t, a, s in zip(texts, avg[m], std[m])]
+        rows = [(feature_set, spec.name, t, spec.metric, a, s) for t, a, s in zip(texts[m], avg[m], std[m])]
         table = train.sparkSession.createDataFrame(rows, GRID_METRICS)
-        out.append(TuneResult(spec, models[m], texts[best[m]], texts, avg[m], std[m], table))
+        out.append(TuneResult(spec, models[m], texts[m][best[m]], texts[m], avg[m], std[m], table))
     return out
 
 

@@ -11,20 +11,25 @@ For one feature set (one or more text columns):
 5. cross-validate each model over its grid, refit the best point;
 6. score every best model on the same test rows with AUC, accuracy and F1.
 
-``Features.close`` removes the written rows; ``run_study`` closes each section.
+``Features.close`` removes the written rows; ``run_study`` closes each section.  With a ``journal`` folder
+features and fits are kept there, and a stopped study goes on.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlens.operators.compare import report_rows
+from reviewlens.operators.journal import rows_digest
 from reviewlens.operators.models import DEFAULT_MODEL_SEED, SPECS, Grid
 from reviewlens.operators.prepare import label_sentiment, require
 from reviewlens.operators.split import DEFAULT_SEED, check_classes, with_folds, with_split
@@ -39,7 +44,7 @@ from reviewlens.operators.text import (
 )
 from reviewlens.operators.tuning import TuneResult, tune_models
 from reviewlens.schema import MODEL_REPORT
-from reviewlens.session import remove_path, shared_path, written
+from reviewlens.session import path_exists, remove_path, shared_path, written
 
 FEATURE_SETS: dict[str, tuple[str, ...]] = {
     "summary": ("review_summary",),
@@ -76,6 +81,12 @@ def labelled_rows(reviews: DataFrame, text_cols: Sequence[str], threshold: float
     return label_sentiment(rows, threshold=threshold).select(KEY, LABEL, *text_cols)
 
 
+def _sides(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of a written feature table."""
+    train = table.filter(F.col("part") >= 0).withColumnRenamed("part", "fold")
+    return train, table.filter(F.col("part") == -1).drop("part")
+
+
 def prepare_features(
     reviews: DataFrame,
     feature_set: str = "summary",
@@ -90,6 +101,7 @@ def prepare_features(
     max_iter: int = DEFAULT_MAX_ITER,
     vocab_budget_bytes: int | None = None,
     persist: bool = True,
+    folder: str | None = None,
 ) -> Features:
     """Split, fit the text features on the training side, embed both sides.
 
@@ -97,20 +109,41 @@ def prepare_features(
     sorted by key and label, so that the forests' bootstrap samples do not depend on
     where the texts were read.  Adaptive execution sizes the layout and splits a
     partition that many copies (one key) would otherwise make hot.
+
+    With ``folder`` (in the shared store) rows and feature model are kept there, by a digest of the labelled
+    texts and the settings: a run started again reads what an earlier one finished, as Word2Vec
+    does not repeat exactly.  ``Features.close`` leaves them.
     """
     cols = tuple(text_cols) if text_cols is not None else FEATURE_SETS[feature_set]
     rows = with_split(labelled_rows(reviews, cols), KEY, train_percent, seed)
+    if folder:
+        settings = (feature_set, *cols, k, seed, train_percent, dim, min_count, w2v_seed, num_partitions, max_iter)
+        name = hashlib.sha256(rows_digest(rows, *settings).encode()).hexdigest()[:32]
+        folder = f"{folder.rstrip('/')}/features-{feature_set}-{name}"
+        # the model is saved last, and its stages after its metadata: the mark is what tells that both are whole
+        if path_exists(reviews.sparkSession, f"{folder}/done/_SUCCESS"):
+            schema = T.StructType().add(KEY, rows.schema[KEY].dataType).add(LABEL, rows.schema[LABEL].dataType)
+            schema = schema.add("features", VectorUDT()).add("part", T.IntegerType())
+            table = reviews.sparkSession.read.schema(schema).parquet(f"{folder}/rows")
+            train, test = _sides(table)
+            model = PipelineModel.load(f"{folder}/model")
+            return Features(feature_set, cols, model, train, test, dim * len(cols), k)
+        remove_path(reviews.sparkSession, folder)
     train_rows = rows.filter(F.col("split") == "train")
     model = fit_features(train_rows, cols, dim, min_count, w2v_seed, num_partitions, max_iter, vocab_budget_bytes)
     table = with_folds(embed(model, rows, [KEY, LABEL, "split"]), k, KEY, seed)
     paths = []
-    if persist:
+    if persist or folder:
         table = table.withColumn("part", F.when(F.col("split") == "train", F.col("fold")).otherwise(-1))
         table = table.hint("rebalance", "part").sortWithinPartitions("part", KEY, LABEL)
-        paths = [shared_path(reviews.sparkSession, f"features-{feature_set}")]
-        table = written(table.drop("fold", "split"), paths[0], "part")
-        train = table.filter(F.col("part") >= 0).withColumnRenamed("part", "fold")
-        test = table.filter(F.col("part") == -1).drop("part")
+        path = f"{folder}/rows" if folder else shared_path(reviews.sparkSession, f"features-{feature_set}")
+        table = written(table.drop("fold", "split"), path, "part")
+        if folder:
+            model.write().overwrite().save(f"{folder}/model")
+            reviews.sparkSession.range(0).write.parquet(f"{folder}/done")
+        else:
+            paths = [path]
+        train, test = _sides(table)
     else:
         train = table.filter(F.col("split") == "train").drop("split")
         test = table.filter(F.col("split") == "test").drop("split", "fold")
@@ -138,10 +171,11 @@ def run_section(
     grids: Mapping[str, Grid] | None = None,
     parallelism: int = 1,
     model_seed: int = DEFAULT_MODEL_SEED,
+    journal: str | None = None,
 ) -> SectionResult:
     """Tune each model on the training folds, then score all on the test side.
 
-    One pool of ``parallelism`` threads runs the fits of all models, fold by fold.
+    One pool of ``parallelism`` threads runs the fits of all models, fold by fold.  ``journal``: see ``tune_models``.
     """
     check_classes(features.train, LABEL, by="fold", groups=features.k, what="training folds")
     check_classes(features.test, LABEL, what="test side")
@@ -156,6 +190,7 @@ def run_section(
         seed=model_seed,
         parallelism=parallelism,
         check=False,
+        journal=journal,
     )
     rows = report_rows(features.feature_set, tuned, features.test)
     grid_metrics = tuned[0].grid_metrics
@@ -178,14 +213,19 @@ def run_study(
     grids: Mapping[str, Grid] | None = None,
     k: int = 10,
     parallelism: int = 1,
+    journal: str | None = None,
     **feature_kwargs,
 ) -> StudyResult:
-    """The whole sentiment study: each feature set, each model, same split and metrics."""
+    """The whole sentiment study: each feature set, each model, same split and metrics.
+
+    ``journal``: a folder of the shared store for features and finished fits.  A study that was stopped and is
+    started again on the same reviews goes on from there; the caller removes the folder.
+    """
     sections = []
     for fs in feature_sets:
-        feats = prepare_features(reviews, fs, k=k, **feature_kwargs)
+        feats = prepare_features(reviews, fs, k=k, folder=journal, **feature_kwargs)
         try:
-            sections.append(run_section(feats, models, grids, parallelism))
+            sections.append(run_section(feats, models, grids, parallelism, journal=journal))
         finally:
             feats.close()
     grid_metrics = sections[0].grid_metrics

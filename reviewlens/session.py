@@ -63,6 +63,12 @@ def written(df: DataFrame, path: str, partition_by: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the shared store has the file or folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
