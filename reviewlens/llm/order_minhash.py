@@ -1,6 +1,8 @@
 """Document fingerprints by order MinHash, in DataFrame functions only.
 
-A text is cut into words (longer ones into pieces of ``PIECE`` code points), its k-mers
+A text is cut into words.  Runs without white space of more than ``RUN`` code points are cut at places that
+their content chooses, so that an edit changes the words beside it and no others: after each
+printable ASCII character whose code divides by four, and around every other code point.  Its k-mers
 are ``KMER`` consecutive words, and each k-mer is numbered by its occurrence in the text.
 A hash of (k-mer, occurrence) puts it into one of ``BINS`` bins; each bin keeps its
 ``KEEP`` smallest hashes, puts them back into text order and hashes that tuple.  The
@@ -23,7 +25,7 @@ narrow table: neighbours inside a partition by a window, across partitions by th
 of first rows (one a partition).  Texts are shuffled once by document (both joins read that
 shuffle), and once more the stretch of text that the predecessor needs.
 
-Edge cases: a null or empty text has an empty fingerprint, equal to other empty ones
+Edge cases: very long texts are taken whole, an expression holding all of their words; a null or empty text has an empty fingerprint, equal to other empty ones
 (likeness 1) and unlike all others (0); a text with fewer words than a k-mer is one
 k-mer; rows repeated with id and text are one document in the order and each get a row;
 documents that share an id are ordered by text hash, those without an id come last; a
@@ -32,6 +34,7 @@ single document follows itself; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,7 +44,7 @@ from reviewlens.llm.common import release
 from reviewlens.session import materialize
 
 KMER = 2
-PIECE = 16
+RUN = 16
 BINS = 64
 KEEP = 2
 #: Low bits of a packed hash that hold the place in the text.
@@ -49,6 +52,11 @@ PLACE_BITS = 28
 PLACE = (1 << PLACE_BITS) - 1
 BIN_SHIFT = 64 - (BINS.bit_length() - 1)
 
+_SPACE = r" \t\n\x0b\f\r"
+_LAST, _OTHER = ("".join(re.escape(chr(c)) for c in range(33, 127) if (c % 4 == 0) == last) for last in (True, False))
+#: A whole word, or a part of a longer run.
+WORD = rf"(?<![^{_SPACE}])[^{_SPACE}]{{1,{RUN}}}(?![^{_SPACE}])|[{_OTHER}]*[{_LAST}]|[{_OTHER}]+|[^{_SPACE}!-~]"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once a row."""
@@ -153,7 +161,7 @@ def order_minhash(text: Column | str, whole: bool = False) -> Column:
     ``whole``: one a slot, each from all k-mers of the text.
     """
     text = F.col(text) if isinstance(text, str) else text
-    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0))
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
     return let(words, lambda w: let(_kmers(w), lambda k: let(_numbered(k), lambda n: _tuples(n, whole))))
 
 

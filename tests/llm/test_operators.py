@@ -343,7 +343,7 @@ def order_minhash_brute(text):
             h = xxhash.xxh64_intdigest(p, seed=h)
         return h
 
-    words = [w.encode() for w in re.findall(r"[^ \t\n\x0b\f\r]{1,%d}" % order_minhash.PIECE, text or "")]
+    words = [w.encode() for w in cut_words(text or "")]
     k, low = order_minhash.KMER, order_minhash.PLACE
     grams = [chain(words[i : i + k]) for i in range(len(words) - k + 1)] or ([chain(words)] if words else [])
     items, seen = [], collections.Counter()
@@ -401,6 +401,64 @@ def test_order_minhash_falls_with_reordering(spark):
     assert r["same"] == 1.0 and r["moved"] < 0.8
 
 
+def cut_words(text):
+    """Words by hand: runs between white space, those beyond 16 code points cut by their content."""
+    out = []
+    for run in re.split(r"[ \t\n\x0b\f\r]+", text):
+        if len(run) <= 16:
+            out += [run] * bool(run)
+            continue
+        part = ""
+        for c in run:
+            if not "!" <= c <= "~":
+                out += [part] * bool(part) + [c]
+                part = ""
+                continue
+            part += c
+            if ord(c) % 4 == 0:
+                out.append(part)
+                part = ""
+        out += [part] * bool(part)
+    return out
+
+
+@pytest.mark.parametrize("letters", ["chinese", "printable"])
+def test_one_edit_in_a_run_without_spaces_stays_local(spark, letters):
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0x4E00, 0x4E00 + 2000, 3000) if letters == "chinese" else rng.integers(33, 127, 3000)
+    text = "".join(map(chr, codes))
+    edits = [text[:at] + new + text[at + cut :] for at, new, cut in ((5, "一", 0), (700, "", 1), (1500, "a", 0), (2999, "z", 1))]
+    df = spark.createDataFrame([(text, e) for e in edits], "a string, b string")
+    signed = df.select(*[order_minhash.order_minhash(c, whole=True).alias(c) for c in "ab"])
+    near = [r[0] for r in signed.select(order_minhash.likeness("a", "b")).collect()]
+    assert min(near) > 0.8, near
+    words = df.select(F.regexp_extract_all("b", F.lit(order_minhash.WORD), F.lit(0))).collect()
+    assert [r[0] for r in words] == [cut_words(e) for e in edits]
+
+
+def test_registered_likeness_against_the_signatures(spark):
+    """near_edited and near_next of the query's form, from brute-force slots of texts without repeated bigrams."""
+    rng = np.random.default_rng(3)
+    texts = [(i, " ".join(rng.permutation([f"w{j}" for j in range(24)]))) for i in range(6)]
+    texts.append((6, texts[2][1].replace("w7 ", "")))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in order_minhash.fingerprint_documents(df, whole=True).collect()}
+    signs = {i: whole_brute(t) for i, t in texts}
+    by_id = dict(texts)
+
+    def share(a, b):
+        return len(a & b) / len({v >> 32 for v in a | b})
+
+    for i, t in texts:
+        after = by_id[i - 1] if i else by_id[6]
+        edited = t[: len(t) - len(t) // 3] + after[: len(t) // 3]
+        assert found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert set(found[i]["tuples"]) == signs[i]
+        assert found[i]["near_next"] == pytest.approx(share(signs[i], whole_brute(after)))
+        if len(set(zip(edited.split(), edited.split()[1:]))) == len(edited.split()) - 1:  # no bigram twice
+            assert found[i]["near_edited"] == pytest.approx(share(signs[i], whole_brute(edited)))
+
+
 def reordered(words, half):
     """Halves swapped, or the blocks of eight words in reverse order."""
     if half:
