@@ -3,25 +3,28 @@
 Every element's subtree is hashed (its name, its text, its children's hashes).  Spark counts
 in how many different pages of its host a subtree occurs; pages whose bodies are equal
 count once, so mirrored pages do not make a template.  A subtree that occurs in at least
-``MIN_PAGES`` pages and in a share of ``MIN_SHARE`` of the host's pages is template, and is
-deleted with all in it.  Inside the article (``<article>``, ``<main>``) only containers can be
-template, not paragraphs, headings, list items or cells: shared passages are text.
+``MIN_PAGES`` different pages of a host of any size is template, and is deleted with all in it.
+Inside the article (``<article>``, ``<main>``) only containers can be
+template, not paragraphs, headings, list items or cells: shared passages are text.  An article of
+which templates leave nothing keeps its own: a text that was copied into many pages is no template.
 
 Elements that are never article text by their meaning go as well: menus, headers, footers,
 sidebars, notices, adverts, forms, comments, scripts, styles and what is hidden, told by
-their names and roles.  A class or an id tells it for containers only, not for headings,
-paragraphs, items or cells, and never for one that holds the first-level heading or most of the
-text that counts (comments: all of it).  Inside an article a whole token must be listed; on a
-page without one the token's last word (``site-footer``, not ``social-history`` or ``no-sidebar``).
-
-A host has at most ``1 / MIN_SHARE`` times as many templates as a page has elements, so they
-travel as one array a host, through an equi-join that adaptive execution can split for a
-hot host.  Subtrees are counted after a distinct per page and host; a hot host or a hot
-subtree is one row a task.
+their names and roles, whatever share of the page they are.  A class or an id tells it for containers,
+never for one that holds the first-level heading.  Inside an article a whole token must be listed
+(reader comments: its last word, as in ``entry-comments``); on a page without one the token's
+last word does (``site-footer``, not ``social-history`` or ``no-sidebar``).  Paragraphs, items and cells go
+by a class of ``ASIDES``; headings stay.
+
+A page is known by two hashes of its html.  Rows (page, subtree) are counted, joined with what
+recurs and gathered to one short row a page (not more than its elements), which the pages then look up.
+What recurs is at most an eighth of those rows, so it is repeated for ``SALTS`` parts of a subtree's
+pages: a menu on a third of all pages meets it in many tasks.  Pages that are copies share one key,
+whose rows adaptive execution can split, as the other side is one row.
 
 Edge cases: null html is empty; a page without text gives an empty string; a cut-off tag,
-comment or script ends the page; a url without host has the empty host; repeated rows get a
-row each; an empty table gives no rows; other columns are not read.
+comment or script ends the page; a url without host has the empty host; very long pages are read whole, one
+at a time in a task; repeated rows get a row each; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +42,8 @@ from reviewlens.llm.url_trust import host_of
 from reviewlens.session import materialize
 
 MIN_PAGES = 8
-MIN_SHARE = 0.2
+#: Parts into which a subtree's pages are dealt for the join; not more than MIN_PAGES.
+SALTS = 8
 #: Elements nested deeper stand side by side, as in browsers.
 DEPTH = 400
 
@@ -73,13 +77,18 @@ ROLES = frozenset(
 WORDS = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos "
     "promotion sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies "
-    "consent gdpr notice notices newsletter subscribe subscription signup popup modal overlay share sharing social "
-    "related recommended comment comments commentlist disqus respond replies widget widgets toolbar pagination pager "
+    "consent gdpr notice notices newsletter subscribe subscription signup popup modal share sharing social "
+    "related recommended comment comments commentlist disqus respond replies toolbar pagination pager "
     "login copyright header banner skip alert alerts announcement disclaimer paywall".split()
 )
 
-#: May well be longer than the article.
 DISCUSSION = frozenset("comment comments commentlist disqus respond replies".split())
+#: What a class tells of a paragraph, an item or a cell.
+ASIDES = DISCUSSION | frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos "
+    "cookie cookies gdpr notice notices newsletter".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEGATED = frozenset("no has with without".split())
 
 TOKEN = re.compile(
@@ -91,15 +100,14 @@ WATCHED = ("class", "id", "role", "hidden", "style")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parts", "content", "mark", "size", "title")
+    __slots__ = ("tag", "attrs", "parts", "content", "mark", "title")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.attrs = tag, attrs
         self.parts: list[Node | str] = []
         self.content = False  # holds an article or main element
         self.mark = 0  # hash of the subtree, 0 without text
-        self.size = -1  # code points of text that is not white space, once measured
-        self.title = False  # holds a first-level heading, once measured
+        self.title = tag == "h1"  # is or holds a first-level heading
 
 
 def parse(html: str) -> Node:
@@ -150,6 +158,9 @@ def parse(html: str) -> Node:
             if name in ("article", "main"):
                 for open_ in stack:
                     open_.content = True
+            if name == "h1":
+                for open_ in stack:
+                    open_.title = True
     return root
 
 
@@ -162,22 +173,6 @@ def _heading(node: Node) -> bool:
     return any(not isinstance(p, str) and (p.tag in ("h1", "h2") or _heading(p)) for p in node.parts)
 
 
-def measure(node: Node) -> int:
-    """Size of every element's text, and whether it holds a first-level heading."""
-    node.size, node.title = 0, node.tag == "h1"
-    for part in node.parts:
-        if isinstance(part, str):
-            node.size += len("".join(part.split()))
-        else:
-            node.size += measure(part)
-            node.title |= part.title
-    return node.size
-
-
-def articles_size(node: Node) -> int:
-    return node.size if _article(node) else sum(articles_size(p) for p in node.parts if not isinstance(p, str))
-
-
 def listed(attrs: dict[str, str], inside: bool) -> set[str]:
     """The words of the list that a class or id says."""
     found = set()
@@ -185,12 +180,12 @@ def listed(attrs: dict[str, str], inside: bool) -> set[str]:
         words = [w.lower() for w in WORD.findall(token)]
         if token.lower() in WORDS:
             found.add(token.lower())
-        elif not inside and words and words[-1] in WORDS and words[0] not in NEGATED:
+        elif words and words[-1] in (DISCUSSION if inside else WORDS) and NEGATED.isdisjoint(words):
             found.add(words[-1])
     return found
 
 
-def boilerplate(node: Node, inside: bool, root: Node) -> bool:
+def boilerplate(node: Node, inside: bool) -> bool:
     """Whether an element of a page is no article text by its meaning; ``inside`` an article."""
     if node.tag in DROPPED:
         return True
@@ -205,16 +200,11 @@ def boilerplate(node: Node, inside: bool, root: Node) -> bool:
         return True
     if _article(node):
         return not listed(attrs, True).isdisjoint(("comment", "comments", "ad", "advert", "sponsored", "advertisement"))
-    if node.content or node.tag in PARAGRAPHS:
+    if node.content or node.tag in HEADINGS or node.title:
         return False
-    words = listed(attrs, inside)
-    if not words:
-        return False
-    if root.size < 0:
-        measure(root)
-    whole = articles_size(root) if root.content else root.size
-    most = node.size >= whole if words <= DISCUSSION else 2 * node.size > whole
-    return not (node.title or most and node.size)
+    if node.tag in PARAGRAPHS:
+        return not ASIDES.isdisjoint(attrs.get("class", "").lower().split())
+    return bool(listed(attrs, inside))
 
 
 def mark(node: Node) -> int:
@@ -261,6 +251,13 @@ def main_text(root: Node, templates: frozenset[int] | set[int]) -> str:
     """Blocks of the article, without templates (hashes) and boilerplate, joined by two line ends."""
     if templates:
         mark(root)
+        text = _blocks(root, templates)
+        if text or not root.content:
+            return text
+    return _blocks(root, frozenset())
+
+
+def _blocks(root: Node, templates: frozenset[int] | set[int]) -> str:
     blocks: list[str] = []
     line: list[str] = []
     only = root.content  # text outside of article and main does not count
@@ -283,10 +280,9 @@ def main_text(root: Node, templates: frozenset[int] | set[int]) -> str:
             block = part.tag in BLOCKS
             if block:
                 flush()
-            if not boilerplate(part, inside and only, root):
-                template = part.mark in templates and part.mark and not part.content
-                if not (template and not (inside and part.tag in PARAGRAPHS)):
-                    visit(part, inside or _article(part))
+            template = part.mark in templates and part.mark and not part.content
+            if not (template and not (inside and part.tag in PARAGRAPHS)) and not boilerplate(part, inside and only):
+                visit(part, inside or _article(part))
             if block:
                 flush()
 
@@ -295,58 +291,61 @@ def main_text(root: Node, templates: frozenset[int] | set[int]) -> str:
     return "\n\n".join(blocks)
 
 
+KEY = ["host", "page_a", "page_b"]
+
+
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """``host, page`` (hash of the body), ``subtree`` of rows ``host, html``; a null subtree for each page."""
+    """``host, page_a, page_b`` as in ``pages``, with ``body`` (its hash) and ``subtree``, for each subtree of ``html``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, body, marks = [], [], []
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                page, found = subtrees(parse(html or ""))
-                for m in (None, *found):
-                    hosts.append(host)
-                    body.append(page)
-                    marks.append(m)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(body, pa.int64()), pa.array(marks, pa.int64())],
-                ["host", "page", "subtree"],
-            )
-
-    return pages.mapInArrow(run, "host string, page long, subtree long")
-
-
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, templates``: hashes of the subtrees that recur across the host's pages (``host, html``)."""
-    each = page_subtrees(pages).distinct()
-    counted = materialize(each.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")), "html-subtrees")
-    total = counted.filter("subtree is null").select("host", F.col("n").alias("pages"))
-    many = (F.col("n") >= min_pages) & (F.col("n") >= F.lit(min_share) * F.col("pages"))
-    recurring = counted.filter(f"subtree is not null and n >= {int(min_pages)}").join(total, "host").filter(many)
-    return recurring.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+            rows, bodies, marks = [], [], []
+            for row, html in enumerate(batch.column("html")):
+                body, found = subtrees(parse(html.as_py()))
+                rows += [row] * len(found)
+                bodies += [body] * len(found)
+                marks += sorted(found)
+            keys = batch.select(KEY).take(pa.array(rows, pa.int64()))
+            columns = [*keys.columns, pa.array(bodies, pa.int64()), pa.array(marks, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*KEY, "body", "subtree"])
+
+    return pages.select(*KEY, "html").mapInArrow(run, "host string, page_a long, page_b long, body long, subtree long")
+
+
+def recurring(each: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host, subtree`` in at least ``min_pages`` different bodies of the host (rows ``host, subtree, body``)."""
+    different = each.select("host", "subtree", "body").distinct()
+    return different.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages).drop("n")
+
+
+def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host, page_a, page_b, templates``: the subtrees of a page that recur, for the pages that have any."""
+    each = materialize(page_subtrees(pages), "html-subtrees")
+    salts = F.array(*(F.lit(i) for i in range(SALTS)))
+    found = recurring(each, min_pages).withColumn("salt", F.explode(salts))
+    rows = each.withColumn("salt", F.pmod("page_a", F.lit(SALTS)).cast("int"))
+    met = rows.join(found, ["host", "subtree", "salt"])
+    return met.groupBy(*KEY).agg(F.collect_set("subtree").alias("templates"))
 
 
 def extract(
-    pages: DataFrame,
-    page_id: str = "page_id",
-    url: str = "url",
-    html: str = "html",
-    min_pages: int = MIN_PAGES,
-    min_share: float = MIN_SHARE,
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """``page_id, url, text, n_chars`` for every page."""
     rows = pages.select(
         F.col(page_id).alias("page_id"),
         F.col(url).alias("url"),
         host_of(F.col(url)).alias("host"),
-        F.col(html).cast("string").alias("html"),
+        F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"),
     )
-    templates = materialize(site_templates(rows.select("host", "html"), min_pages, min_share), "html-templates")
+    rows = rows.withColumn("page_a", F.xxhash64("html")).withColumn("page_b", F.xxhash64(F.lit("page"), "html"))
+    templates = materialize(page_templates(rows, min_pages), "html-templates")
 
     @F.arrow_udf("string")
     def text_of(html: pa.Array, marks: pa.Array) -> pa.Array:
         return pa.array(
-            [main_text(parse(h or ""), set(t or ())) for h, t in zip(html.to_pylist(), marks.to_pylist())], pa.string()
+            [main_text(parse(h.as_py()), set(m.as_py() or ())) for h, m in zip(html, marks)], pa.string()
         )
 
-    joined = rows.join(templates, "host", "left").select("page_id", "url", text_of("html", "templates").alias("text"))
+    joined = rows.join(templates, KEY, "left").select("page_id", "url", text_of("html", "templates").alias("text"))
     return joined.withColumn("n_chars", F.char_length("text").cast("long"))

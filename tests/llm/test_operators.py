@@ -765,6 +765,81 @@ def test_templates_are_what_recurs_across_different_pages_of_a_host(spark):
     assert html_text.extract(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<article><p>one</p><p class='advert'>buy</p><p class='Lead'>two</p></article>", "one\n\ntwo"),
+        ("<article><p>one</p><section class='entry-comments'><p>c</p></section></article>", "one"),
+        ("<article><p>one</p><ul><li class=comment>c</li><li>two</li></ul></article>", "one\n\ntwo"),
+        ("<div class=sidebar><p>far longer than the little article of this page</p></div><p>one</p>", "one"),
+        ("<article><div class=notice><p>far longer than the little article</p></div><p>one</p></article>", "one"),
+        ("<article><h2 class=notice>one</h2><section id='no-comments'><p>two</p></section></article>", "one\n\ntwo"),
+        ("<div class='content-with-sidebar'><p>one</p></div>", "one"),
+        ("<div class=comments><p>nothing but readers</p></div>", ""),
+    ],
+)
+def test_what_is_no_article_goes_whatever_its_share(html, text):
+    assert text_of(html) == text
+
+
+def site_of_templates(pages, rng):
+    """A host on which only counting tells: plain containers in changing places, each on some of its pages."""
+    blocks = [f"<div><p>block {b} of the site</p><div>inner {b % 3}</div></div>" for b in range(12)]
+    rows = []
+    for i in range(pages):
+        picked = [blocks[b] for b in np.flatnonzero(rng.random(12) < np.linspace(0.02, 0.6, 12))]
+        cut = rng.integers(0, len(picked) + 1)
+        article = f"<article><p>shared passage</p><div><p>own {i}</p></div>{''.join(picked[cut:])}</article>"
+        rows.append((i, "http://t.org/x", f"<body>{''.join(picked[:cut])}{article}</body>"))
+    return rows
+
+
+def subtrees_brute(node, article, inside, out):
+    """Elements as nested tuples, without hashes."""
+    kids = []
+    for part in node.parts:
+        if isinstance(part, str):
+            kids += ["".join(part.split())] if part.split() else []
+        else:
+            own = subtrees_brute(part, article, inside or part.tag == "article", out)
+            if own[1] and not part.content and not (inside and part.tag in html_text.PARAGRAPHS):
+                out.add(own)
+            kids += [own]
+    return (node.tag, tuple(k for k in kids if k and (isinstance(k, str) or k[1])))
+
+
+def test_templates_against_a_count_of_nested_tuples(spark):
+    rows = site_of_templates(100, np.random.default_rng(4))
+    counts = collections.Counter()
+    for _, _, html in rows:
+        seen = set()
+        subtrees_brute(html_text.parse(html), None, False, seen)
+        counts.update(seen)
+    want = sum(n >= html_text.MIN_PAGES for n in counts.values())
+    assert any(html_text.MIN_PAGES <= n < 20 for n in counts.values())  # less than a fifth of the pages
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    keyed = df.select(F.lit("t.org").alias("host"), "html", F.col("page_id").alias("page_a"), F.lit(0).cast("long").alias("page_b"))
+    assert html_text.recurring(html_text.page_subtrees(keyed)).count() == want
+    rare = {f"block {b} of the site" for b in range(12) if sum(f"block {b} " in h for _, _, h in rows) < html_text.MIN_PAGES}
+    for r in html_text.extract(df).collect():
+        blocks = r["text"].split("\n\n")
+        assert blocks[:2] == ["shared passage", f"own {r['page_id']}"]
+        assert all(b in rare for b in blocks[2:] if b.startswith("block"))
+
+
+def test_a_large_host_has_templates_on_few_of_its_pages(spark):
+    rows = [(i, "http://h.org/", f"<article><p>own {i}</p>{'<div>join us</div>' if i < 9 else ''}</article>") for i in range(900)]
+    rows += [(1000 + i, "http://h.org/", f"<div>page {i}</div><article><div>copied whole</div></article>") for i in range(9)]
+    rows += [rows[3]] * 3 + [(2000, "http://h.org/", "<article>" + "<p>long</p>" * 100_000 + "</article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = collections.defaultdict(list)
+    for r in html_text.extract(df).collect():
+        got[r["page_id"]].append(r["text"])
+    assert got[3] == ["own 3"] * 4 and got[500] == ["own 500"]
+    assert got[1004] == ["copied whole"]
+    assert got[2000] == ["\n\n".join(["long"] * 100_000)]
+
+
 def test_pages_of_the_small_table(spark):
     from html import unescape
 
