@@ -575,6 +575,16 @@ def test_estimates_stay_inside_their_bounds():
     assert (np.abs(estimate - x @ q) <= bound).mean() > 0.99
 
 
+@pytest.mark.parametrize("dim", [1, 2, 7, 8, 24, 65])
+def test_products_from_packed_bits_equal_those_of_the_signs(dim):
+    rng = np.random.default_rng(dim)
+    x, q = rng.standard_normal((300, dim)), rng.standard_normal((5, dim))
+    bits, _, _ = ann.encode(x)
+    signs = np.unpackbits(bits, axis=1, count=dim) * 2.0 - 1
+    got = ann.code_products(np.ascontiguousarray(bits.T), q)
+    assert np.abs(got - q @ signs.T).max() <= 2.0**-22 * (dim + 8) * np.abs(q).sum(axis=1).max()
+
+
 # --- op 1: urls ---------------------------------------------------------------
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "bad.org/"), ("allow", "good.org/")]
