@@ -363,6 +363,23 @@ for _set in SETS:
     register(f"embed_facts_{_set}")(_embed_facts_query(_set))
 
 
+def _repeatable(spark: SparkSession, sf: str, feature_set: str, passes: int) -> DataFrame:
+    feats = SE.prepare_features(reviews_view(spark, sf), feature_set, k=FOLDS, max_iter=passes, repeatable=True)
+    return SE.embedded_rows(feats)
+
+
+@register("embed_repeatable_both")
+def q_embed_repeatable_both(spark: SparkSession, sf: str) -> DataFrame:
+    return _repeatable(spark, sf, "both", 1)
+
+
+@register("embed_hashed_both")
+def q_embed_hashed_both(spark: SparkSession, sf: str) -> DataFrame:
+    """Random indexing: untrained vectors, a row a component."""
+    rows = _repeatable(spark, sf, "both", 0)
+    return rows.select("review_id", "sentiment", "split", F.posexplode("features").alias("component", "value"))
+
+
 def _tune_query(model: str, sets: tuple[str, ...]) -> Query:
     return lambda spark, sf: _union([r.grid_metrics for r in _sections(spark, sf, sets, (model,))])
 

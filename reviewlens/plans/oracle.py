@@ -337,6 +337,37 @@ ORACLE["embed_facts_summary"] = _embed_facts(["review_summary"])
 ORACLE["embed_facts_detail"] = _embed_facts(["review_detail"])
 ORACLE["embed_facts_both"] = _embed_facts(["review_summary", "review_detail"])
 
+
+
+def _embed_hashed(columns: list[str], dim: int = 100, seed: int = 42) -> str:
+    """Mean of hashed word vectors, in whole multiples of 2^-30, over the content tokens."""
+    present = " and ".join(f"{c} is not null" for c in [*columns, "rating"])
+    parts = ",\n".join(
+        f"t{i} as (select review_id, split, {_content_of(c)} as toks from side),\n"
+        f"w{i} as (select token from (select unnest(toks) as token from t{i} where split = 'train') "
+        "group by token having count(*) >= 5),\n"
+        f"u{i} as (select token, i, cast(floor((('0x' || substr(md5(concat(token, ':{seed}:', cast(i as varchar))), 1, 8))::bigint "
+        f"- 2147483648)::double * (1073741824::double / ({dim}::double * 4294967296::double))) as bigint) as unit "
+        f"from w{i}, unnest(range({dim})) r(i)),\n"
+        f"m{i} as (select review_id, token, count(*) as m from (select review_id, unnest(toks) as token from t{i}) x group by all),\n"
+        f"s{i} as (select review_id, i, sum(m * unit) as total from m{i} join u{i} using (token) group by all),\n"
+        f"d{i} as (select side.review_id, side.sentiment, side.split, cast(r.i + {i * dim} as integer) as component, "
+        f"coalesce(total::double / (len(toks)::double * 1073741824::double), 0::double) as value from side "
+        f"join t{i} using (review_id) cross join unnest(range({dim})) r(i) left join s{i} on s{i}.review_id = side.review_id and s{i}.i = r.i)"
+        for i, c in enumerate(columns)
+    )
+    return (
+        _with(REVIEWS)
+        + f", lab as (select *, case when rating > 5 then 1 else 0 end as sentiment from reviews where {present}),\n"
+        + f"side as (select *, case when {_bucket('review_id', '123', 100)} < 80 then 'train' else 'test' end as split from lab),\n"
+        + parts
+        + "\n"
+        + " union all ".join(f"select * from d{i}" for i in range(len(columns)))
+    )
+
+
+ORACLE["embed_hashed_both"] = _embed_hashed(["review_summary", "review_detail"])
+
 _FOLDED = (
     _with(REVIEWS, SUMMARY_LABELLED, TRAIN)
     + f", f as (select sentiment, {_bucket('review_id', '123:fold', 10)} as fold from train),\n"

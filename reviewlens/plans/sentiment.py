@@ -43,6 +43,7 @@ from reviewlens.operators.text import (
     fit_features,
 )
 from reviewlens.operators.tuning import TuneResult, tune_models
+from reviewlens.operators.word_vectors import embed_by_words, train_word_vectors
 from reviewlens.schema import MODEL_REPORT
 from reviewlens.session import path_exists, remove_path, shared_path, written
 
@@ -60,7 +61,7 @@ LABEL = "sentiment"
 class Features:
     feature_set: str
     text_cols: tuple[str, ...]
-    model: PipelineModel
+    model: PipelineModel | None  # none of repeatable vectors
     train: DataFrame  # review_id, sentiment, fold, features
     test: DataFrame  # review_id, sentiment, features
     n_features: int
@@ -102,6 +103,7 @@ def prepare_features(
     vocab_budget_bytes: int | None = None,
     persist: bool = True,
     folder: str | None = None,
+    repeatable: bool = False,
 ) -> Features:
     """Split, fit the text features on the training side, embed both sides.
 
@@ -113,11 +115,15 @@ def prepare_features(
     With ``folder`` (in the shared store) rows and feature model are kept there, by a digest of the labelled
     texts and the settings: a run started again reads what an earlier one finished, as Word2Vec
     does not repeat exactly.  ``Features.close`` leaves them.
+
+    ``repeatable`` takes the word vectors of ``operators.word_vectors``, which are equal in every run, with ``max_iter``
+    passes (0: hashed words, untrained); ``num_partitions`` and ``vocab_budget_bytes`` do not matter then.
     """
     cols = tuple(text_cols) if text_cols is not None else FEATURE_SETS[feature_set]
     rows = with_split(labelled_rows(reviews, cols), KEY, train_percent, seed)
     if folder:
         settings = (feature_set, *cols, k, seed, train_percent, dim, min_count, w2v_seed, num_partitions, max_iter)
+        settings += ("repeatable",) if repeatable else ()
         name = hashlib.sha256(rows_digest(rows, *settings).encode()).hexdigest()[:32]
         folder = f"{folder.rstrip('/')}/features-{feature_set}-{name}"
         # the model is saved last, and its stages after its metadata: the mark is what tells that both are whole
@@ -126,20 +132,30 @@ def prepare_features(
             schema = schema.add("features", VectorUDT()).add("part", T.IntegerType())
             table = reviews.sparkSession.read.schema(schema).parquet(f"{folder}/rows")
             train, test = _sides(table)
-            model = PipelineModel.load(f"{folder}/model")
+            model = None if repeatable else PipelineModel.load(f"{folder}/model")
             return Features(feature_set, cols, model, train, test, dim * len(cols), k)
         remove_path(reviews.sparkSession, folder)
     train_rows = rows.filter(F.col("split") == "train")
-    model = fit_features(train_rows, cols, dim, min_count, w2v_seed, num_partitions, max_iter, vocab_budget_bytes)
-    table = with_folds(embed(model, rows, [KEY, LABEL, "split"]), k, KEY, seed)
-    paths = []
+    model, paths = None, []
+    if repeatable:
+        words = {c: train_word_vectors(train_rows, c, dim, min_count, w2v_seed, max_iter) for c in cols}
+        paths = [path for _, path in words.values()]
+        embedded = embed_by_words(rows, {c: table for c, (table, _) in words.items()}, dim, [KEY, LABEL, "split"])
+    else:
+        model = fit_features(train_rows, cols, dim, min_count, w2v_seed, num_partitions, max_iter, vocab_budget_bytes)
+        embedded = embed(model, rows, [KEY, LABEL, "split"])
+    table = with_folds(embedded, k, KEY, seed)
     if persist or folder:
         table = table.withColumn("part", F.when(F.col("split") == "train", F.col("fold")).otherwise(-1))
         table = table.hint("rebalance", "part").sortWithinPartitions("part", KEY, LABEL)
         path = f"{folder}/rows" if folder else shared_path(reviews.sparkSession, f"features-{feature_set}")
         table = written(table.drop("fold", "split"), path, "part")
+        for word_path in paths:
+            remove_path(reviews.sparkSession, word_path)
+        paths = []
         if folder:
-            model.write().overwrite().save(f"{folder}/model")
+            if model is not None:
+                model.write().overwrite().save(f"{folder}/model")
             reviews.sparkSession.range(0).write.parquet(f"{folder}/done")
         else:
             paths = [path]
