@@ -36,14 +36,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators.text import DEFAULT_DIM, DEFAULT_MIN_COUNT, DEFAULT_W2V_SEED, content_col, tokenize, vocabulary
+from reviewlens.operators.text import DEFAULT_DIM, DEFAULT_MIN_COUNT, DEFAULT_W2V_SEED, content_col, tokenize
 from reviewlens.session import remove_path, shared_path, written
 
 #: Vectors are whole multiples of 2^-UNIT_BITS, below 2^LIMIT_BITS in size.
 UNIT_BITS = 30
 LIMIT_BITS = 8
 WINDOW_TOKENS = 1000
-SHARD_TOKENS = 400_000
+SHARD_TOKENS = 150_000
 #: Copies of a window that one row stands for until they are dealt.
 COPIES = 1000
 #: Tokens on whose vectors one step works, farthest pair, negatives a step, negatives a pair, and step size.
@@ -65,18 +65,17 @@ def hashed_start(word: Column, dim: int, seed: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), component)
 
 
-def windows(df: DataFrame, text_col: str, shards: int | None = None) -> DataFrame:
-    """``tokens, order, shard``: each window of content tokens, a row a copy, dealt to shards by content.
-
-    Without ``shards`` the windows before copies are told apart: ``tokens, n``.
-    """
+def windows(df: DataFrame, text_col: str) -> DataFrame:
+    """``tokens, n``: the different windows of content tokens, and how often each occurs."""
     tokens = F.col(content_col(text_col))
     starts = F.sequence(F.lit(0), F.floor((F.size(tokens) - 1) / WINDOW_TOKENS).cast("int"))
     cut = F.transform(starts, lambda i: F.slice(tokens, i * WINDOW_TOKENS + 1, WINDOW_TOKENS))
     rows = tokenize(df.select(text_col).filter(F.col(text_col).isNotNull()), text_col, stop_words=True)
-    counted = rows.filter(F.size(tokens) > 0).select(F.explode(cut).alias("tokens")).groupBy("tokens").agg(F.count(F.lit(1)).alias("n"))
-    if shards is None:
-        return counted
+    return rows.filter(F.size(tokens) > 0).select(F.explode(cut).alias("tokens")).groupBy("tokens").agg(F.count(F.lit(1)).alias("n"))
+
+
+def deal(counted: DataFrame, shards: int) -> DataFrame:
+    """``tokens, order, shard``: a row for each copy of a window, dealt by content and the copy's number."""
     blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES).cast("long"))))
     first = F.col("block") * COPIES
     copies = F.sequence(first, F.least(first + COPIES, F.col("n")) - 1)
@@ -96,25 +95,26 @@ def train_word_vectors(
 ) -> tuple[DataFrame, str]:
     """(``token, n, units``: each word's count and vector in units, the written table's path)."""
     spark = df.sparkSession
-    rows = df.select(text_col).filter(F.col(text_col).isNotNull())
-    words = vocabulary(rows, text_col, min_count).withColumn("units", hashed_start(F.col("token"), dim, seed))
-    words = words.withColumn("out", F.array_repeat(F.lit(0).cast("long"), dim))
-    path = shared_path(spark, "word-vectors")
-    table = written(words, path)
+    texts_path, held_path, path = (shared_path(spark, f"word-{name}") for name in ("windows", "shards", "vectors"))
+    texts = written(windows(df, text_col), texts_path)  # texts are read and cut into tokens once
+    counts = texts.select("n", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("n").alias("n"))
+    words = counts.filter(F.col("n") >= min_count).withColumn("units", hashed_start(F.col("token"), dim, seed))
+    table = written(words.withColumn("out", F.array_repeat(F.lit(0).cast("long"), dim)), path)
     if not passes:
+        remove_path(spark, texts_path)
         return table.drop("out"), path
-    total = windows(rows, text_col).agg(F.sum(F.size("tokens") * F.col("n"))).first()[0] or 0
+    total = texts.agg(F.sum(F.size("tokens") * F.col("n"))).first()[0] or 0
     shards = max(1, ceil(total / shard_tokens))
-    texts_path = shared_path(spark, "word-windows")
-    texts = written(windows(rows, text_col, shards), texts_path)
-    held = texts.select("shard", F.explode("tokens").alias("token")).groupBy("shard", "token").agg(F.count(F.lit(1)).alias("m"))
-    held_path = shared_path(spark, "word-shards")
+    dealt = deal(texts, shards)
+    held = dealt.select("shard", F.explode("tokens").alias("token")).groupBy("shard", "token").agg(F.count(F.lit(1)).alias("m"))
     held = written(held, held_path)
     schema = "token string, units array<long>, out array<long>"
+    # by an explicit number, as adaptive execution would join shards into one task by their bytes: they cost processor time
+    dealt = dealt.repartition(shards, "shard")
     for turn in range(passes):
-        theirs = held.join(table, "token").select("shard", "token", "m", "units", "out")
+        theirs = held.join(table, "token").select("shard", "token", "m", "units", "out").repartition(shards, "shard")
         train = _shard_trainer(seed, turn, passes)
-        trained = texts.groupBy("shard").cogroup(theirs.groupBy("shard")).applyInPandas(train, schema)
+        trained = dealt.groupBy("shard").cogroup(theirs.groupBy("shard")).applyInPandas(train, schema)
         mean = [F.sum(F.col(c)[i]).alias(f"{c}_{i}") for c in ("units", "out") for i in range(dim)]
         sums = trained.groupBy("token").agg(F.count(F.lit(1)).alias("k"), *mean)
         whole = lambda c: F.array(*[F.expr(f"{c}_{i} div k") for i in range(dim)])

@@ -57,7 +57,7 @@ def test_means_over_shards_against_plain_loops(spark):
     assert shards > 2
     start = as_dict(WV.train_word_vectors(df, "t", dim=5, passes=0)[0])
     dealt = {}
-    for r in WV.windows(df, "t", shards).collect():
+    for r in WV.deal(WV.windows(df, "t"), shards).collect():
         dealt.setdefault(r["shard"], []).append((r["order"], list(r["tokens"])))
     assert sum(len(t) for s in dealt.values() for _, t in s) == total
     sums = {}
@@ -117,7 +117,7 @@ def test_windows_keep_every_copy_and_token(spark, monkeypatch):
     monkeypatch.setattr(WV, "WINDOW_TOKENS", 5)
     monkeypatch.setattr(WV, "COPIES", 4)
     df = spark.createDataFrame([("w1 w2 w3 w4 w5 w6 w7",)] * 23 + [("w8",), (None,), ("",)], "t string")
-    rows = WV.windows(df, "t", 6).collect()
+    rows = WV.deal(WV.windows(df, "t"), 6).collect()
     assert sum(len(r["tokens"]) for r in rows) == 23 * 7 + 2  # an empty text has one empty token
     assert len({(tuple(r["tokens"]), r["order"]) for r in rows}) == 23 * 2 + 2
     assert len({r["shard"] for r in rows if len(r["tokens"]) == 5}) > 3  # copies spread
