@@ -4,8 +4,8 @@ Every element's subtree is hashed (its name, its text, its children's hashes).
 in how many different pages of its host a subtree occurs; pages whose bodies are equal
 count once, so mirrored pages do not make a template.  A subtree that occurs in at least
 ``MIN_PAGES`` different pages of a host of any size is template, and is deleted with all in it.
-Inside the article (``<article>``, ``<main>``) only containers can be
-template, not paragraphs, headings, list items or cells: shared passages are text.  An article of
+Only ``CONTAINERS`` can be
+template, not paragraphs, headings, list items, rows, cells or what stands in a line: shared passages are text.  An article of
 which templates leave nothing keeps its own: a text that was copied into many pages is no template.
 
 Elements that are never article text by their meaning go as well: menus, headers, footers,
@@ -16,8 +16,9 @@ never for one that holds the first-level heading.  Inside an article a whole tok
 last word does (``site-footer``, not ``social-history`` or ``no-sidebar``).  Paragraphs, items and cells go
 by a class of ``ASIDES``; headings stay.
 
-A page is known by two hashes of its html.  Rows (page, subtree) are counted, joined with what
-recurs and gathered to one short row a page (not more than its elements), which the pages then look up.
+A page is known by two hashes of its html.  Rows (page, subtree) of all containers are counted; those that stand where
+text counts and that meaning leaves (a small part) are joined with what recurs and gathered to one short row a page
+(not more than its elements), which the pages then look up: html is shuffled only where such rows are too many to broadcast.
 What recurs is at most an eighth of those rows, so it is repeated for ``SALTS`` parts of a subtree's
 pages: a menu on a third of all pages meets it in many tasks.  Pages that are copies share one key,
 whose rows adaptive execution can split, as the other side is one row.
@@ -55,6 +56,9 @@ BLOCKS = PARAGRAPHS | frozenset(
     "html body div section article main header footer nav aside form fieldset ul ol dl table thead tbody tfoot tr "
     "figure details dialog menu search hr center head legend optgroup option hgroup".split()
 )
+CONTAINERS = frozenset(
+    "div section header footer nav aside form fieldset ul ol dl table figure details dialog menu search center".split()
+)
 CLOSES = {  # a start tag that ends an open element, unless one of the second kind lies between
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -229,21 +233,22 @@ def _article(node: Node) -> bool:
     return node.tag in ("article", "main")
 
 
-def subtrees(root: Node) -> tuple[int, set[int]]:
-    """(the page's hash, hashes of the subtrees that could be template)."""
+def subtrees(root: Node) -> tuple[int, dict[int, bool]]:
+    """(the page's hash, the hash of each container and whether its text counts unless it is template)."""
     mark(root)
-    found: set[int] = set()
+    only = root.content
+    found: dict[int, bool] = {}
 
-    def visit(node: Node, inside: bool) -> None:
+    def visit(node: Node, inside: bool, kept: bool) -> None:
         for part in node.parts:
             if isinstance(part, str) or not part.mark:
                 continue
-            within = inside or _article(part)
-            if not part.content and not (inside and part.tag in PARAGRAPHS) and part.tag not in ("html", "body"):
-                found.add(part.mark)
-            visit(part, within)
+            stays = kept and not boilerplate(part, inside and only)
+            if part.tag in CONTAINERS and not part.content:
+                found[part.mark] = found.get(part.mark, False) or (stays and inside)
+            visit(part, inside or _article(part), stays)
 
-    visit(root, not root.content)
+    visit(root, not only, True)
     return root.mark, found
 
 
@@ -280,8 +285,8 @@ def _blocks(root: Node, templates: frozenset[int] | set[int]) -> str:
             block = part.tag in BLOCKS
             if block:
                 flush()
-            template = part.mark in templates and part.mark and not part.content
-            if not (template and not (inside and part.tag in PARAGRAPHS)) and not boilerplate(part, inside and only):
+            template = part.tag in CONTAINERS and part.mark in templates and not part.content
+            if not template and not boilerplate(part, inside and only):
                 visit(part, inside or _article(part))
             if block:
                 flush()
@@ -295,21 +300,23 @@ KEY = ["host", "page_a", "page_b"]
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """``host, page_a, page_b`` as in ``pages``, with ``body`` (its hash) and ``subtree``, for each subtree of ``html``."""
+    """``host, page_a, page_b`` as in ``pages``, with ``body`` (its hash), ``subtree`` and ``counts``, for each container of ``html``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, bodies, marks = [], [], []
+            rows, bodies, marks, counts = [], [], [], []
             for row, html in enumerate(batch.column("html")):
                 body, found = subtrees(parse(html.as_py()))
                 rows += [row] * len(found)
                 bodies += [body] * len(found)
-                marks += sorted(found)
+                marks += found.keys()
+                counts += found.values()
             keys = batch.select(KEY).take(pa.array(rows, pa.int64()))
-            columns = [*keys.columns, pa.array(bodies, pa.int64()), pa.array(marks, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*KEY, "body", "subtree"])
+            more = [pa.array(bodies, pa.int64()), pa.array(marks, pa.int64()), pa.array(counts, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*keys.columns, *more], [*KEY, "body", "subtree", "counts"])
 
-    return pages.select(*KEY, "html").mapInArrow(run, "host string, page_a long, page_b long, body long, subtree long")
+    schema = "host string, page_a long, page_b long, body long, subtree long, counts boolean"
+    return pages.select(*KEY, "html").mapInArrow(run, schema)
 
 
 def recurring(each: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -323,7 +330,7 @@ def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     each = materialize(page_subtrees(pages), "html-subtrees")
     salts = F.array(*(F.lit(i) for i in range(SALTS)))
     found = recurring(each, min_pages).withColumn("salt", F.explode(salts))
-    rows = each.withColumn("salt", F.pmod("page_a", F.lit(SALTS)).cast("int"))
+    rows = each.filter("counts").withColumn("salt", F.pmod("page_a", F.lit(SALTS)).cast("int"))
     met = rows.join(found, ["host", "subtree", "salt"])
     return met.groupBy(*KEY).agg(F.collect_set("subtree").alias("templates"))
 

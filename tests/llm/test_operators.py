@@ -804,15 +804,15 @@ def site_of_templates(pages, rng):
     return rows
 
 
-def subtrees_brute(node, article, inside, out):
-    """Elements as nested tuples, without hashes."""
+def subtrees_brute(node, out):
+    """Containers as nested tuples, without hashes."""
     kids = []
     for part in node.parts:
         if isinstance(part, str):
             kids += ["".join(part.split())] if part.split() else []
         else:
-            own = subtrees_brute(part, article, inside or part.tag == "article", out)
-            if own[1] and not part.content and not (inside and part.tag in html_text.PARAGRAPHS):
+            own = subtrees_brute(part, out)
+            if own[1] and not part.content and part.tag == "div":
                 out.add(own)
             kids += [own]
     return (node.tag, tuple(k for k in kids if k and (isinstance(k, str) or k[1])))
@@ -823,7 +823,7 @@ def test_templates_against_a_count_of_nested_tuples(spark):
     counts = collections.Counter()
     for _, _, html in rows:
         seen = set()
-        subtrees_brute(html_text.parse(html), None, False, seen)
+        subtrees_brute(html_text.parse(html), seen)
         counts.update(seen)
     want = sum(n >= html_text.MIN_PAGES for n in counts.values())
     assert any(html_text.MIN_PAGES <= n < 20 for n in counts.values())  # less than a fifth of the pages
@@ -838,14 +838,15 @@ def test_templates_against_a_count_of_nested_tuples(spark):
 
 
 def test_a_large_host_has_templates_on_few_of_its_pages(spark):
-    rows = [(i, "http://h.org/", f"<article><p>own {i}</p>{'<div>join us</div>' if i < 9 else ''}</article>") for i in range(900)]
+    rows = [(i, "http://h.org/", f"<article><p>own <b>and</b> {i}</p>{'<div>join us</div>' if i < 9 else ''}</article>") for i in range(900)]
+    rows += [(3000 + i, "http://h.org/", f"<article><table><tr><td>{i}<tr><td>yes</table></article>") for i in range(20)]
     rows += [(1000 + i, "http://h.org/", f"<div>page {i}</div><article><div>copied whole</div></article>") for i in range(9)]
     rows += [rows[3]] * 3 + [(2000, "http://h.org/", "<article>" + "<p>long</p>" * 100_000 + "</article>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
     got = collections.defaultdict(list)
     for r in html_text.extract(df).collect():
         got[r["page_id"]].append(r["text"])
-    assert got[3] == ["own 3"] * 4 and got[500] == ["own 500"]
+    assert got[3] == ["own and 3"] * 4 and got[500] == ["own and 500"] and got[3007] == ["7\n\nyes"]
     assert got[1004] == ["copied whole"]
     assert got[2000] == ["\n\n".join(["long"] * 100_000)]
 
