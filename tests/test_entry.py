@@ -28,6 +28,7 @@ def test_oracle_keys_are_queries():
         "embed_summary",
         "embed_detail",
         "embed_both",
+        "embed_repeatable_both",
         "compare_models",
         "compare_feature_sets",
     }
