@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import threading
 
 import pytest
 
@@ -84,3 +85,15 @@ def test_vote_aggregate_is_partial_then_one_shuffle(spark):
     assert "partial_sum" in plan and "partial_count" in plan
     got = {r.reviewer: r.review_count for r in V.helpful_rate(V.parse_votes(df)).collect()}
     assert got["hot"] == 300 and len(got) == 301
+
+
+def test_threads_have_local_properties_of_their_own(spark):
+    together = threading.Barrier(4)
+
+    def own(i):
+        spark.sparkContext.setLocalProperty("reviewlens.number", str(i))
+        together.wait(60)
+        return i, spark.sparkContext.getLocalProperty("reviewlens.number"), spark.range(i).count()
+
+    assert S.in_threads(spark, own, range(4), 4) == [(i, str(i), i) for i in range(4)]
+    assert S.in_threads(spark, own, [], 4) == []
