@@ -109,6 +109,19 @@ def test_sums_do_not_depend_on_partitions(train, blocks, seen, monkeypatch):
     assert np.allclose(got, want, atol=1e-9)
 
 
+def test_one_sum_reaches_the_driver(train, monkeypatch):
+    monkeypatch.setattr(batched, "TASK_BYTES", 1 << 12)
+    many = batched.Blocks(train)
+    assert many.table.rdd.getNumPartitions() == 4
+    sums, collect = [], type(many.table).collect
+    monkeypatch.setattr(type(many.table), "collect", lambda df: sums.append(collect(df)) or sums[-1])
+    total = many.total(lambda fold, y, x: x.sum(axis=0))
+    monkeypatch.undo()
+    assert [len(rows) for rows in sums] == [1]
+    assert np.allclose(total, np.sum([r["features"].toArray() for r in train.collect()], axis=0))
+    many.close()
+
+
 def test_metrics_by_fit_equal_one_by_one(spark):
     rng = np.random.default_rng(1)
     rows = [(int(f), int(rng.integers(2)), float(rng.integers(20)) / 20, int(rng.integers(2))) for f in range(5) for _ in range(60 + f)]
