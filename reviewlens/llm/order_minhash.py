@@ -23,7 +23,8 @@ longs give runs of equal k-mers (the occurrence numbers) and the smallest of eac
 The successor of each document in descending id order comes from a range-partitioned
 narrow table: neighbours inside a partition by a window, across partitions by the table
 of first rows (one a partition).  Texts are shuffled once by document (both joins read that
-shuffle), and once more the stretch of text that the predecessor needs.
+shuffle), and once more what the predecessor needs: a stretch of text and the signature, which is
+made a second time there, as that is cheaper on disk than to shuffle all signatures for a join.
 
 Edge cases: very long texts are taken whole, an expression holding all of their words; a null or empty text has an empty fingerprint, equal to other empty ones
 (likeness 1) and unlike all others (0); a text with fewer words than a k-mer is one
@@ -40,7 +41,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.llm.common import release
 from reviewlens.session import materialize
 
 KMER = 2
@@ -210,35 +210,28 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     # what the predecessor takes from each document
     taken = same(rows, links.withColumnsRenamed({"doc_id": "x_id", "hash": "x_hash"}), ("next_id", "next_hash"))
     taken = taken.select(
-        "x_id", "x_hash", "next_id", "next_hash", "n_chars", F.substring(F.col("text"), F.lit(1), third).alias("taken")
+        "x_id",
+        "x_hash",
+        "n_chars",
+        F.substring(F.col("text"), F.lit(1), third).alias("taken"),
+        order_minhash("text", whole).alias("next_tuples"),
     ).dropDuplicates(["x_id", "x_hash"])
     edited = same(rows, taken, ("x_id", "x_hash")).select(
         "doc_id",
-        "hash",
-        "next_id",
-        "next_hash",
         F.col("n_chars").cast("long").alias("n_chars"),
+        "next_tuples",
         "text",
         F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars") - third), "taken").alias("edited"),
     )
     printed = edited.select(
         "doc_id",
-        "hash",
-        "next_id",
-        "next_hash",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         order_minhash("text", whole).alias("tuples"),
         order_minhash("edited", whole).alias("edited_tuples"),
+        "next_tuples",
     )
-    printed = materialize(printed, "omh-signatures")
-    release(docs.sparkSession)  # of the shuffled texts, before the signatures are shuffled
-    other = printed.select(F.col("doc_id").alias("y_id"), F.col("hash").alias("y_hash"), F.col("tuples").alias("next_tuples"))
-    other = other.dropDuplicates(["y_id", "y_hash"])
-    paired = printed.join(
-        other, F.col("next_id").eqNullSafe(F.col("y_id")) & (F.col("next_hash") == F.col("y_hash"))
-    )
-    return paired.select(
+    return printed.select(
         "doc_id",
         "n_chars",
         "edited_sha256",

@@ -392,6 +392,12 @@ def xxhash_signed(text):
     return h - (1 << 64) if h >> 63 else h
 
 
+def test_order_minhash_joins_no_signatures(docs):
+    plan = order_minhash.fingerprint_documents(docs)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") + plan.count("BroadcastHashJoin") == 3
+    assert "tuples" not in "".join(line for line in plan.splitlines() if "Scan" in line)
+
+
 def test_order_minhash_falls_with_reordering(spark):
     words = [f"w{i}" for i in range(300)]
     turned = words[150:] + words[:150]
