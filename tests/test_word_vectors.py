@@ -145,6 +145,28 @@ def test_document_vectors_against_the_mean_of_their_words(spark):
     assert none.count() == 0 and WV.embed_by_words(empty, {"t": none}, 4, ["id"]).count() == 0
 
 
+def test_packed_vectors_come_back(spark):
+    units = [[0, -1, 1 << 30], [-(1 << 38), (1 << 38) - 1, -(1 << 31)], [1 << 32, -(1 << 32) - 5, 7]]
+    df = spark.createDataFrame([(str(i), u, u[::-1]) for i, u in enumerate(units)], "token string, units array<long>, out array<long>")
+    rows = WV.packed(df, ["units", "out"]).orderBy("token").collect()
+    assert WV.unpacked([r["units"] for r in rows], 3).tolist() == units
+    assert WV.unpacked([r["out"] for r in rows], 3).tolist() == [u[::-1] for u in units]
+    assert WV.unpacked([], 3).shape == (0, 3)
+
+
+def test_a_task_holds_one_block_of_texts(spark, monkeypatch):
+    df = texts(spark)
+    words, _ = WV.train_word_vectors(df, "t", dim=4)
+    taken = lambda: {(r["a"], r["b"]): r["vector"] for r in WV.document_vectors(df, "t", words, 4).collect()}
+    whole = taken()
+    monkeypatch.setattr(WV, "BLOCK_CHARS", 3000)
+    monkeypatch.setattr(WV, "STRETCH", 5)
+    found = WV.document_vectors(df, "t", words, 4)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "sum(" not in plan and "FlatMapCoGroupsInArrow" in plan  # no sums of vectors are shuffled
+    assert len(whole) > 250 and taken() == whole
+
+
 def test_features_repeat(spark, tmp_dir):
     rows = [(i, 8.0 if i % 2 else 2.0, " ".join(np.random.default_rng(i).choice((ANIMALS, TOOLS)[i % 2], 6))) for i in range(120)]
     df = spark.createDataFrame(rows, "review_id long, rating double, review_summary string")
