@@ -177,3 +177,35 @@ def test_features_repeat(spark, tmp_dir):
     first = taken()
     assert first == taken(persist=False) == taken(folder=tmp_dir) == taken(folder=tmp_dir)
     assert len(first) > 70
+
+
+def small_tables(spark, folder, n=120):
+    """``documents`` and ``labels`` of a scale-factor folder."""
+    rng = np.random.default_rng(1)
+    docs = [(i, "\n".join(" ".join(rng.choice((ANIMALS, TOOLS)[i % 2], 8)) for _ in range(3))) for i in range(1, n)]
+    docs += [(n, None), (n + 1, "the a"), (n + 2, docs[0][1])]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, i % 2) for i, _ in docs]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    return docs
+
+
+def test_registered_features_hold_no_vocabulary_on_the_driver(spark, tmp_dir, monkeypatch):
+    from pyspark.ml.feature import Word2Vec
+
+    from reviewlens.plans.catalog import QUERIES
+
+    def whole_vocabulary(*_):
+        raise AssertionError("Word2Vec keeps its vocabulary on the driver")
+
+    monkeypatch.setattr(Word2Vec, "_fit", whole_vocabulary)
+    docs = small_tables(spark, tmp_dir)
+    with_summary = sorted(i for i, t in docs if t is not None and i % 31)
+    for name, dims, ids in (
+        ("summary", 100, with_summary), ("detail", 100, sorted(i for i, t in docs if t is not None)), ("both", 200, with_summary)
+    ):
+        rows = QUERIES[f"embed_{name}"](spark, tmp_dir).collect()
+        assert sorted(r["review_id"] for r in rows) == ids
+        assert {len(r["features"]) for r in rows} == {dims}
+        facts = QUERIES[f"embed_facts_{name}"](spark, tmp_dir).collect()
+        assert {r["review_id"] for r in facts if r["is_zero"]} == {len(docs) - 1}  # stop words only
