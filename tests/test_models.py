@@ -144,3 +144,18 @@ def test_rows_without_an_id_are_used(spark):
     df = separable(spark).withColumn("review_id", F.when(F.col("review_id") % 4 != 0, F.col("review_id")))
     f = prepare_features(df, "summary", k=3, dim=4, num_partitions=1)
     assert f.train.count() + f.test.count() == 160 and f.train.filter("review_id is null").count() == 0
+
+
+def test_forest_tasks_hold_more_rows_than_the_blocks_of_sums(feats, monkeypatch):
+    from reviewlens.operators import batched, tuning
+
+    monkeypatch.setattr(batched, "TASK_BYTES", 1 << 12)
+    used, make = [], tuning._Folds
+
+    def folds(train, fold, fits, partitions):
+        used.append(partitions)
+        return make(train, fold, fits, partitions)
+
+    monkeypatch.setattr(tuning, "_Folds", folds)
+    found = tuning.tune(SPECS["random_forest"], feats.train, feats.n_features, feats.k, {"numTrees": [2], "maxDepth": [2]})
+    assert used == [1] and len(found.avg) == 1
