@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from reviewlens.operators import batched
+from reviewlens.operators import batched, solvers
 from reviewlens.operators import metrics as M
 from reviewlens.operators.models import LOGISTIC, SVC, SPECS
 from reviewlens.operators.tuning import tune
@@ -143,3 +143,44 @@ def test_tuning_picks_the_best_point_of_all(train):
     assert lasso.avg == [0.5] and lasso.std == [0.0]
     other = tune(LOGISTIC, train, DIM, FOLDS, {"regParam": [0.1], "threshold": [0.5]})  # not a batched parameter
     assert other.avg[0] > 0.6
+
+
+def hinge_rows():
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((1000, 3))
+    x[:, 0] = 1
+    return x, np.where(rng.standard_normal(1000) > 0, 1.0, -1.0)
+
+
+def run_hinge(x, sign, max_iter):
+    """(points by iteration, passes, points asked for) of a hinge fit that is answered point by point."""
+
+    def loss(w):
+        slack = np.maximum(0.0, 1.0 - sign * (x @ w))
+        return slack.mean() + 0.005 * float(w @ w), -(x.T @ (sign * (slack > 0))) / len(x) + 0.01 * w
+
+    solver, passes, points = solvers.owlqn(np.zeros(x.shape[1]), np.zeros(x.shape[1]), max_iter, 0.0, range(max_iter)), 0, 0
+    asked = next(solver)
+    while True:
+        passes, points = passes + 1, points + len(asked)
+        try:
+            asked = solver.send([loss(w) for w in asked])
+        except StopIteration as end:
+            return end.value, passes, points
+
+
+def test_a_search_asks_for_its_trials_together(monkeypatch):
+    """The hinge's searches take up to 20 trials each; one trial, then seven at a time made 410 passes here."""
+    x, sign = hinge_rows()
+    together, passes, _ = run_hinge(x, sign, 100)
+    monkeypatch.setattr(solvers, "_following", lambda step, shrink, count, grew: [step])
+    one_by_one, each, trials = run_hinge(x, sign, 100)
+    assert together.keys() == one_by_one.keys() and all(np.array_equal(together[i], one_by_one[i]) for i in together)
+    assert each == trials > 5 * len(together)
+    assert passes < 2.2 * len(together)
+
+
+def test_trials_that_may_follow():
+    assert solvers._following(1.0, 0.5, 3, False) == [1.0, 0.5, 0.25]
+    assert solvers._following(2.1, 0.5, 4, True) == [2.1, 1.05, 0.525, 0.2625, 1.05 * 2.1, 1.05 * 2.1 * 0.5]
+    assert solvers._following(3e-10, 0.5, 5, False) == [3e-10, 1.5e-10]
