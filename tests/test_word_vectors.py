@@ -209,3 +209,97 @@ def test_registered_features_hold_no_vocabulary_on_the_driver(spark, tmp_dir, mo
         assert {len(r["features"]) for r in rows} == {dims}
         facts = QUERIES[f"embed_facts_{name}"](spark, tmp_dir).collect()
         assert {r["review_id"] for r in facts if r["is_zero"]} == {len(docs) - 1}  # stop words only
+
+
+def test_hashes_of_words_of_any_length():
+    words = ["", "a", "ünï", "日本", *("x" * n for n in range(40, 70)), "y" * 300, *(f"w{i}" for i in range(600))]
+    for dim, seed in ((100, 42), (1, 7), (1001, 3)):
+        assert WV.hashed_units(words, dim, seed).tolist() == [hashed(w, dim, seed) for w in words]
+    assert WV.hashed_units([], 5, 1).shape == (0, 5)
+
+
+def test_a_group_of_shards_sends_a_word_once(spark):
+    df = texts(spark)
+    shards = 5
+    dealt = WV.deal(WV.windows(df, "t"), shards)
+    words = [r["token"] for r in vocabulary(df.filter("t is not null"), "t").collect()]
+    words = spark.createDataFrame([(w,) for w in words], "token string").toArrow()
+    train = WV._group_trainer(42, 0, 1, 4, ["units"])
+    together = train(dealt.toArrow(), words).to_pylist()
+    assert sorted(r["token"] for r in together) == sorted(ANIMALS + TOOLS)
+    assert {r["k"] for r in together} == {shards}
+    apart = {}
+    for shard in range(shards):
+        for r in train(dealt.filter(F.col("shard") == shard).toArrow(), words).to_pylist():
+            k, n, units = apart.get(r["token"], (0, 0, np.zeros(4, np.int64)))
+            apart[r["token"]] = k + r["k"], n + r["n"], units + WV.unpacked([r["units"]], 4)[0]
+    for r in together:
+        k, n, units = apart[r["token"]]
+        assert (r["k"], r["n"], WV.unpacked([r["units"]], 4)[0].tolist()) == (k, n, units.tolist())
+
+
+def test_groups_change_no_vector(spark, monkeypatch):
+    kwargs = dict(dim=6, passes=2, shard_tokens=300)
+    df = texts(spark)
+    found = []
+    for tasks, shards in ((1, 100), (1, 3), (100, 1)):
+        monkeypatch.setattr(WV, "TASKS_A_CORE", tasks)
+        monkeypatch.setattr(WV, "SHARDS_A_TASK", shards)
+        found.append(as_dict(WV.train_word_vectors(df, "t", **kwargs)[0]))
+    assert found[0] == found[1] == found[2] and set(found[0]) == set(ANIMALS + TOOLS)
+
+
+def test_sums_of_a_word_go_on_in_the_next_batch():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    rows = [(w, int(rng.integers(1, 4)), int(rng.integers(1, 9)), rng.integers(-(10**6), 10**6, 3)) for w in "aaabccccd" for _ in range(2)]
+    for size in (1, 2, 3, 5, 18):
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in some]) for i in range(3)] + [WV._packed_rows(np.array([r[3] for r in some]))], ["token", "k", "n", "units"]
+            )
+            for some in (rows[i : i + size] for i in range(0, len(rows), size))
+        ]
+        got = [r for b in WV._means(3, ["units"])(iter(batches)) for r in b.to_pylist()]
+        assert [r["token"] for r in got] == list("abcd")
+        for r in got:
+            mine = [x for x in rows if x[0] == r["token"]]
+            k, sums = sum(x[1] for x in mine), sum(x[3] for x in mine)
+            assert r["n"] == sum(x[2] for x in mine) and r["units"] == [int(abs(s) // k * np.sign(s)) for s in sums]
+
+
+def test_packed_vectors_are_no_wider_than_their_largest_component(spark):
+    units = np.array([[1, -(1 << 23)], [1 << 23, 0], [-(1 << 31), 5], [1 << 31, 0], [0, -(1 << 38)]])
+    rows = WV._packed_rows(units).to_pylist()
+    assert [len(r) // 2 for r in rows] == [3, 4, 4, 5, 5]
+    assert WV.unpacked(rows, 2).tolist() == units.tolist()
+
+
+def test_every_block_has_a_task_of_its_own(spark, monkeypatch):
+    df = texts(spark)
+    words, _ = WV.train_word_vectors(df, "t", dim=4, passes=0)
+    monkeypatch.setattr(WV, "BLOCK_CHARS", 3000)
+    blocks = -(-df.agg(F.sum(F.length("t"))).first()[0] // 3000)
+    found = WV.document_vectors(df, "t", words, 4).select(F.pmod("a", F.lit(blocks)).alias("block"), F.spark_partition_id().alias("task"))
+    tasks = found.groupBy("task").agg(F.countDistinct("block").alias("n")).collect()
+    assert blocks > 4 and {r["n"] for r in tasks} == {1}
+
+
+def test_labels_are_joined_to_texts_once(spark, tmp_dir, monkeypatch):
+    from reviewlens.plans import sentiment as SE
+
+    plans = []
+    trained = SE.train_word_vectors
+
+    def seen(train, *args, **kwargs):
+        plans.append(train._jdf.queryExecution().optimizedPlan().toString())
+        return trained(train, *args, **kwargs)
+
+    monkeypatch.setattr(SE, "train_word_vectors", seen)
+    small_tables(spark, tmp_dir)
+    from reviewlens.sources.fixtures import reviews_view
+
+    feats = prepare_features(reviews_view(spark, tmp_dir), "both", k=3, dim=6, repeatable=True)
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    feats.close()
