@@ -184,3 +184,26 @@ def test_trials_that_may_follow():
     assert solvers._following(1.0, 0.5, 3, False) == [1.0, 0.5, 0.25]
     assert solvers._following(2.1, 0.5, 4, True) == [2.1, 1.05, 0.525, 0.2625, 1.05 * 2.1, 1.05 * 2.1 * 0.5]
     assert solvers._following(3e-10, 0.5, 5, False) == [3e-10, 1.5e-10]
+
+
+def test_the_best_svc_comes_with_the_folds(train, monkeypatch):
+    points = {"regParam": [0.01], "maxIter": [50]}
+    want = LinearSVC(labelCol="sentiment", regParam=0.01, maxIter=50).fit(train.coalesce(1))
+
+    def fitted_again(*_):
+        raise AssertionError("fitted once more, a job for each loss")
+
+    monkeypatch.setattr(LinearSVC, "_fit", fitted_again)
+    model = tune(SVC, train, DIM, FOLDS, points).best_model.stages[0]
+    assert np.allclose(model.coefficients.toArray(), want.coefficients.toArray(), atol=1e-6)
+    assert model.intercept == pytest.approx(want.intercept, abs=1e-6)
+    scored = [m.transform(train).select("prediction").collect() for m in (model, want)]
+    assert scored[0] == scored[1] and len(scored[0]) == 240
+
+
+def test_few_rows_are_summed_on_all_cores(train, blocks, monkeypatch):
+    assert blocks.partitions == 1
+    monkeypatch.setattr(batched, "SMALL_TASK_BYTES", 1 << 12)
+    many = batched.Blocks(train)
+    assert many.partitions == 4 and many.table.rdd.getNumPartitions() == 4
+    many.close()
