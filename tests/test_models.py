@@ -159,3 +159,30 @@ def test_forest_tasks_hold_more_rows_than_the_blocks_of_sums(feats, monkeypatch)
     monkeypatch.setattr(tuning, "_Folds", folds)
     found = tuning.tune(SPECS["random_forest"], feats.train, feats.n_features, feats.k, {"numTrees": [2], "maxDepth": [2]})
     assert used == [1] and len(found.avg) == 1
+
+
+def test_features_and_forests_of_the_sets_follow_each_other(spark, monkeypatch):
+    from threading import Lock
+    from time import sleep
+
+    from reviewlens.plans import catalog
+
+    running, most, lock = {}, {}, Lock()
+
+    def alone(kind):
+        with lock:
+            running[kind] = running.get(kind, 0) + 1
+            most[kind] = max(most.get(kind, 0), running[kind])
+        sleep(0.2)
+        with lock:
+            running[kind] -= 1
+        return kind
+
+    monkeypatch.setattr(catalog.SE, "prepare_features", lambda *_, **__: alone("features"))
+    monkeypatch.setattr(catalog.SE, "run_section", lambda _, models, **__: alone(models[0]))
+    monkeypatch.setattr(catalog, "_content", lambda *_: ("a test",))
+    monkeypatch.setattr(catalog, "reviews_view", lambda *_: None)
+    monkeypatch.setattr(catalog, "_FEATURES", {})
+    monkeypatch.setattr(catalog, "_TUNED", {})
+    found = catalog._sections(spark, "", catalog.SETS, ("random_forest",))
+    assert found == ["random_forest"] * 3 and most == {"features": 1, "random_forest": 1}
